@@ -105,7 +105,10 @@ class BatchScorer(HasInputCol, HasOutputCol, Transformer):
         scored = predict_batch_udf(
             make_predict, return_type=T.ArrayType(T.DoubleType()),
             batch_size=self.getMiniBatchSize(), input_tensor_shapes=[[size]])
-        return df.withColumn(self.getOutputCol(), array_to_vector(scored(values)))
+        # a null input keeps its row and gets a null output
+        filled = F.coalesce(values, F.array_repeat(F.lit(0.0).cast("float"), size))
+        return df.withColumn(self.getOutputCol(), F.when(
+            values.isNotNull(), array_to_vector(scored(filled))))
 
 
 class ImageFeaturizer(HasInputCol, HasOutputCol, Transformer):

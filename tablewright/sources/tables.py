@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablewright.base import StageBase, as_bool, param
 
 
 def load_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """Parquet table ``directory/name.parquet``; times without zone become UTC timestamps."""
-    df = spark.read.parquet(f"{directory}/{name}.parquet")
-    zoneless = {f.name: F.col(f"`{f.name}`").cast("timestamp") for f in df.schema
-                if isinstance(f.dataType, T.TimestampNTZType)}
-    return df.withColumns(zoneless) if zoneless else df
+    """Parquet table ``directory/name.parquet``."""
+    return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
 def load_csv(spark: SparkSession, path: str, schema=None, header: bool = True,
