@@ -201,7 +201,7 @@ def c2_cast_text(spark, sf):
     return DataConversion(col="small", convertTo="byte").transform(df)
 
 
-@query("c3_timestamp_to_long", "SELECT event_id, epoch_ms(ts) AS ts FROM events")
+@query("c3_timestamp_to_long", "SELECT event_id, epoch_us(ts) // 1000 AS ts FROM events")
 def c3_timestamp_to_long(spark, sf):
     return DataConversion(col="ts", convertTo="long").transform(
         table(spark, sf, "events").select("event_id", "ts"))
@@ -216,7 +216,7 @@ def c3_timestamp_to_text(spark, sf):
 
 
 @query("c4_text_and_long_to_timestamp", """
-SELECT event_id, epoch_ms(date_trunc('second', ts)) AS from_text, epoch_ms(ts) AS from_long FROM events""")
+SELECT event_id, epoch_ms(date_trunc('second', ts)) AS from_text, epoch_us(ts) // 1000 AS from_long FROM events""")
 def c4_text_and_long_to_timestamp(spark, sf):
     df = table(spark, sf, "events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("from_text"),

@@ -12,7 +12,7 @@ from tablewright.operators.timing import Timer
 LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 NUMBERS = LINEITEM[:8]
-NAN = "CAST('NaN' AS DOUBLE)"
+NAN = "any_value(CAST('NaN' AS DOUBLE))"
 
 
 def _per_column(columns: list[str], cells, source: str = "lineitem") -> str:

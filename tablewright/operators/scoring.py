@@ -106,9 +106,17 @@ class BatchScorer(HasInputCol, HasOutputCol, Transformer):
             make_predict, return_type=T.ArrayType(T.DoubleType()),
             batch_size=self.getMiniBatchSize(), input_tensor_shapes=[[size]])
         # a null input keeps its row and gets a null output
-        filled = F.coalesce(values, F.array_repeat(F.lit(0.0).cast("float"), size))
-        return df.withColumn(self.getOutputCol(), F.when(
-            values.isNotNull(), array_to_vector(scored(filled))))
+        given, scores = unused_name("_given", df.columns), unused_name("_scores", df.columns)
+        # The always-true condition keeps the optimizer from merging a large input
+        # expression into the function call, where lambda variables stop Spark from
+        # recognizing the call again.
+        work = df.withColumn(given, F.when(F.spark_partition_id() >= 0, values))
+        filled = F.coalesce(F.col(given), F.array_repeat(F.lit(0.0).cast("float"), size))
+        work = work.withColumn(scores, scored(filled))
+        out = work.withColumn(self.getOutputCol(), array_to_vector(F.col(scores)))
+        out = out.withColumn(self.getOutputCol(), F.when(
+            F.col(given).isNotNull(), F.col(self.getOutputCol())))
+        return out.drop(given, scores)
 
 
 class ImageFeaturizer(HasInputCol, HasOutputCol, Transformer):
