@@ -9,12 +9,11 @@ from pyspark.sql import types as T
 
 from tablewright.base import HasInputCols, HasOutputCols, as_str, param, require_columns
 from tablewright.functions.missing import drop_missing, is_numeric, no_nan
+from tablewright.plans.quantiles import sketch_accuracy
 
 __all__ = ["CleanMissingData", "CleanMissingDataModel", "drop_missing"]
 
 MODES = ("Mean", "Median", "Custom")
-# accuracy of the median sketch
-MEDIAN_ACCURACY = 10_000
 
 
 class CleanMissingData(HasInputCols, HasOutputCols, Estimator):
@@ -46,7 +45,8 @@ class CleanMissingData(HasInputCols, HasOutputCols, Estimator):
             if mode == "Mean":
                 learned = [F.avg(c) for c in clean]
             else:
-                learned = [F.percentile_approx(c, F.lit(0.5), F.lit(MEDIAN_ACCURACY)) for c in clean]
+                accuracy = sketch_accuracy(len(names))
+                learned = [F.percentile_approx(c, F.lit(0.5), F.lit(accuracy)) for c in clean]
             row = df.agg(*[e.cast("double").alias(f"v{i}") for i, e in enumerate(learned)]).first()
             values = list(row)
         return CleanMissingDataModel(inputCols=names, outputCols=self.getOutputCols(),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import HashingTF, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,8 @@ from tablewright.sources.images import IMAGE_TYPE
 # fixed values: hashing widths by learner family
 DEFAULT_WIDTH, TREE_WIDTH = 262144, 4096
 TIMESTAMP_SLOTS, DATE_SLOTS = 8, 5
+# the characters that \\s stands for
+WHITE_SPACE = " \t\n\x0b\f\r"
 NUMBERS = (T.IntegerType, T.BooleanType, T.LongType, T.ByteType, T.ShortType, T.FloatType,
            T.DoubleType, T.DecimalType)
 
@@ -43,7 +45,7 @@ def text_tokens(columns: list[Column]) -> Column:
     """Tokens of several text columns in turn: lower case, cut at each white-space
     character; empty tokens at the end of a text do not count."""
     def one(text: Column) -> Column:
-        trimmed = F.regexp_replace(F.lower(text), r"\s+$", "")
+        trimmed = F.rtrim(F.lower(text), F.lit(WHITE_SPACE))
         return F.when(trimmed.isNull() | (trimmed == ""), F.array().cast("array<string>")
                       ).otherwise(F.split(trimmed, r"\s"))
     return F.flatten(F.array(*[one(c) for c in columns]))
@@ -157,6 +159,20 @@ def _used_slots(df: DataFrame, texts: list[str], width: int) -> list[int]:
     return sorted(r["i"] for r in found.collect())
 
 
+def _keep_slots(df: DataFrame, hashed: str, selected: str, slots: list[int]) -> DataFrame:
+    """Hashed counts renumbered to the kept slots. The slot numbers are counted as words of a
+    fixed vocabulary: the work per row follows the words of the row, not the kept slots."""
+    names = unused_name("_slot_names", df.columns + [selected])
+    pairs = F.arrays_zip(F.unwrap_udt(hashed)["indices"].alias("i"),
+                         F.unwrap_udt(hashed)["values"].alias("n"))
+    repeated = F.flatten(F.transform(pairs, lambda p: F.array_repeat(
+        p["i"].cast("string"), p["n"].cast("int"))))
+    counter = CountVectorizerModel.from_vocabulary([str(s) for s in slots], inputCol=names,
+                                                   outputCol=selected)
+    out = counter.transform(df.withColumn(names, repeated)).drop(names)
+    return out.withMetadata(selected, {"ml_attr": {"num_attrs": len(slots)}})
+
+
 class AssembleFeaturesModel(HasFeaturesCol, Model):
     _state_names = ("entries", "texts", "width", "slots", "oneHot")
     _defaults = {"featuresCol": "features"}
@@ -207,8 +223,7 @@ class AssembleFeaturesModel(HasFeaturesCol, Model):
             tokens, hashed, selected = names
             work = work.withColumn(tokens, text_tokens([F.col(f"`{t}`") for t in self.texts]))
             work = HashingTF(inputCol=tokens, outputCol=hashed, numFeatures=self.width).transform(work)
-            work = VectorSlicer(inputCol=hashed, outputCol=selected,
-                                indices=self.slots).transform(work).drop(tokens, hashed)
+            work = _keep_slots(work, hashed, selected, self.slots).drop(tokens, hashed)
             inputs.append(selected)
             dropped.append(selected)
         return fast_vector_assemble(work, inputs, self.getFeaturesCol()).drop(*dropped)

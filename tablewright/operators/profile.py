@@ -22,12 +22,16 @@ PERCENTILE_FIELDS = ["P0.5", "P1", "P5", "P95", "P99", "P99.5"]
 PERCENTILE_PROBABILITIES = [0.005, 0.01, 0.05, 0.95, 0.99, 0.995]
 
 
+# buffer fields of the three moment aggregates of a column, and how many an aggregate may hold
+MOMENT_FIELDS, CODEGEN_FIELDS = 12, 96
+
+
 class SummarizeData(StageBase, Transformer):
     """Counts, quantiles, moments and tail percentiles of every column.
 
-    All counts and moments come from one aggregate; the one result row is turned into one
-    row per column. ``errorThreshold`` 0 gives exact rank quantiles, above 0 the sketch
-    joins the same aggregate.
+    Counts and moments come from generated-code aggregates, distinct counts and sketches from
+    another; each result row is turned into one row per column. ``errorThreshold`` 0 gives
+    exact rank quantiles, above 0 they come from the sketch.
     """
 
     counts = param("counts", "compute count statistics", as_bool)
@@ -64,55 +68,107 @@ class SummarizeData(StageBase, Transformer):
             numeric = [f.name for f in df.schema if is_numeric(f.dataType)]
             if numeric:
                 exact = exact_quantiles(df, numeric, probabilities)
-        # very wide tables are aggregated a slice of columns at a time
-        result = None
-        for start in range(0, len(df.columns), COLUMNS_PER_PASS):
-            part = self._summarize(df, df.schema.fields[start:start + COLUMNS_PER_PASS],
-                                   probabilities, exact)
-            result = part if result is None else result.unionByName(part)
-        return result
+        wide = self._sketches(df, probabilities if not exact else [])
+        plain = self._counts_and_moments(df)
+        # one row per column of the input on either side
+        both = plain.join(F.broadcast(wide), FEATURE) if wide is not None else plain
+        return self._assemble(df, both, probabilities, exact)
 
-    def _summarize(self, df, fields, probabilities, exact):
-        aggregates, rows = [], []
+    def _counts_and_moments(self, df: DataFrame) -> DataFrame:
+        """(Feature, total, present, variance, skewness, kurtosis). An aggregate leaves
+        whole-stage code generation when its buffers hold too many fields, so the columns are
+        dealt out to aggregates that stay below that; each column is read by one of them."""
+        parts, batch, used = [], [], 1
+        for field in df.schema:
+            cost = 1 + (MOMENT_FIELDS if self.getSample() and is_numeric(field.dataType) else 0)
+            if batch and used + cost > CODEGEN_FIELDS:
+                parts.append(self._one_aggregate(df, batch))
+                batch, used = [], 1
+            batch.append(field)
+            used += cost
+        parts.append(self._one_aggregate(df, batch))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    def _one_aggregate(self, df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+        aggregates, rows = [F.count(F.lit(1)).alias("total")], []
+        none = F.lit(None).cast("double")
         for i, field in enumerate(fields):
             column = F.col(f"`{field.name}`")
-            nan = F.lit(float("nan"))
-            cells = [F.lit(field.name).alias(FEATURE)]
-            if self.getCounts():
-                aggregates += [
-                    F.count(F.when(~is_missing(column, field.dataType), 1)).alias(f"n{i}"),
-                    F.approx_count_distinct(column).alias(f"d{i}"),
-                    F.count(F.when(is_missing(column, field.dataType), 1)).alias(f"m{i}")]
-                cells += [F.col(f"{k}{i}").cast("double").alias(name)
-                          for k, name in zip("ndm", COUNT_FIELDS)]
-            numeric = is_numeric(field.dataType)
-            clean = no_nan(column, field.dataType).cast("double")
-            quantiles = [nan] * len(probabilities)
-            if numeric and probabilities:
-                if exact:
-                    quantiles = [F.lit(v).cast("double") for v in exact[field.name]]
-                else:
-                    accuracy = int(round(1.0 / self.getErrorThreshold()))
-                    aggregates.append(F.percentile_approx(
-                        clean, F.array(*[F.lit(p) for p in probabilities]),
-                        F.lit(max(1, accuracy))).alias(f"q{i}"))
-                    quantiles = [F.col(f"q{i}")[j] for j in range(len(probabilities))]
-            if self.getBasic():
-                cells += [q.alias(n) for q, n in zip(quantiles, BASIC_FIELDS)]
-            if self.getSample():
-                if numeric:
-                    value = column.cast("double")
-                    aggregates += [f(value).alias(f"{k}{i}") for k, f in
-                                   (("v", F.var_samp), ("s", F.stddev_samp),
-                                    ("w", F.skewness), ("k", F.kurtosis))]
-                cells += [(F.col(f"{k}{i}") if numeric else nan).alias(name)
-                          for k, name in zip("vswk", SAMPLE_FIELDS)]
-            if self.getPercentiles():
-                tail = quantiles[-len(PERCENTILE_FIELDS):]
-                cells += [q.alias(n) for q, n in zip(tail, PERCENTILE_FIELDS)]
-            rows.append(F.struct(*cells))
-        one = df.agg(*aggregates) if aggregates else df.agg(F.lit(1).alias("_one"))
-        return one.select(F.inline(F.array(*rows)))
+            aggregates.append(F.count(F.when(~is_missing(column, field.dataType), 1)).alias(f"n{i}"))
+            moments = [none] * 3
+            if self.getSample() and is_numeric(field.dataType):
+                value = column.cast("double")
+                aggregates += [F.var_samp(value).alias(f"v{i}"), F.skewness(value).alias(f"w{i}"),
+                               F.kurtosis(value).alias(f"k{i}")]
+                moments = [F.col(f"{k}{i}") for k in "vwk"]
+            rows.append(F.struct(
+                F.lit(field.name).alias(FEATURE), F.col("total"), F.col(f"n{i}").alias("present"),
+                *[m.alias(n) for m, n in zip(moments, ("variance", "skewness", "kurtosis"))]))
+        return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+    def _sketches(self, df: DataFrame, probabilities: list[float]) -> DataFrame | None:
+        """(Feature, distinct, quantiles) from the aggregates that hold sketches."""
+        if not self.getCounts() and not probabilities:
+            return None
+        out = None
+        for start in range(0, len(df.columns), COLUMNS_PER_PASS):
+            aggregates, rows = [], []
+            for i, field in enumerate(df.schema.fields[start:start + COLUMNS_PER_PASS]):
+                column = F.col(f"`{field.name}`")
+                cells = [F.lit(field.name).alias(FEATURE)]
+                if self.getCounts():
+                    aggregates.append(F.approx_count_distinct(column).alias(f"d{i}"))
+                    cells.append(F.col(f"d{i}").alias("distinct"))
+                if probabilities:
+                    quantiles = F.lit(None).cast("array<double>")
+                    if is_numeric(field.dataType):
+                        accuracy = max(1, int(round(1.0 / self.getErrorThreshold())))
+                        aggregates.append(F.percentile_approx(
+                            no_nan(column, field.dataType).cast("double"),
+                            F.array(*[F.lit(p) for p in probabilities]), F.lit(accuracy)
+                        ).alias(f"q{i}"))
+                        quantiles = F.col(f"q{i}")
+                    cells.append(quantiles.alias("quantiles"))
+                rows.append(F.struct(*cells))
+            one = df.agg(*aggregates) if aggregates else df.agg(F.count(F.lit(1)))
+            part = one.select(F.inline(F.array(*rows)))
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def _assemble(self, df, table, probabilities, exact) -> DataFrame:
+        """Cells in the order of the result; columns that are no numbers get NaN."""
+        numeric = [f.name for f in df.schema if is_numeric(f.dataType)]
+        nan = F.lit(float("nan"))
+        is_number = F.col(FEATURE).isin(numeric) if numeric else F.lit(False)
+        if exact:
+            known = F.create_map(*[x for name in numeric for x in (
+                F.lit(name), F.array(*[F.lit(v).cast("double") for v in exact[name]]))])
+            quantiles = F.try_element_at(known, F.col(FEATURE))
+        else:
+            quantiles = F.col("quantiles") if probabilities else None
+        cells = [F.col(FEATURE)]
+        if self.getCounts():
+            cells += [c.cast("double").alias(n) for c, n in zip(
+                (F.col("present"), F.col("distinct"), F.col("total") - F.col("present")),
+                COUNT_FIELDS)]
+        position = 0
+        if self.getBasic():
+            cells += [F.when(is_number, quantiles[i]).otherwise(nan).alias(n)
+                      for i, n in enumerate(BASIC_FIELDS)] if quantiles is not None else \
+                     [nan.alias(n) for n in BASIC_FIELDS]
+            position = len(BASIC_FIELDS)
+        if self.getSample():
+            moments = (F.col("variance"), F.sqrt("variance"), F.col("skewness"), F.col("kurtosis"))
+            cells += [F.when(is_number, m).otherwise(nan).alias(n)
+                      for m, n in zip(moments, SAMPLE_FIELDS)]
+        if self.getPercentiles():
+            cells += [F.when(is_number, quantiles[position + i]).otherwise(nan).alias(n)
+                      for i, n in enumerate(PERCENTILE_FIELDS)] if quantiles is not None else \
+                     [nan.alias(n) for n in PERCENTILE_FIELDS]
+        return table.select(*cells)
 
 
 def summarize(df: DataFrame, **options) -> DataFrame:

@@ -52,8 +52,9 @@ def replace_words(text: Column, mapping: dict[str, str], norm: str = "identity")
     """Replace keys by their values, longest key first, left to right; the rest of a word
     that a key starts is dropped.
 
-    The text is cut into pieces by one regular expression: a key with its word rest, a run
-    of characters that start no key, or one character.
+    The text is cut into pieces by one regular expression: a key with its word rest, or the
+    run of characters up to the next key. The run is possessive, so that its length costs no
+    stack.
     """
     if norm not in NORMALIZERS:
         raise ValueError(f"unknown normalization {norm!r}")
@@ -65,7 +66,8 @@ def replace_words(text: Column, mapping: dict[str, str], norm: str = "identity")
     any_key = "(" + "|".join(spelled) + ")"
     starts = "".join(_variants(k[0], norm) for k in keys)
     pieces = F.regexp_extract_all(
-        text, F.lit(f"(?s){any_key}{WORD_REST}|{_class(starts, negated=True)}+|."), F.lit(0))
+        text, F.lit(f"(?s){any_key}{WORD_REST}|(?:{_class(starts, negated=True)}|(?!{any_key}).)++"),
+        F.lit(0))
     values = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
 
     def swap(piece: Column) -> Column:

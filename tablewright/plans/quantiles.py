@@ -21,6 +21,11 @@ COLUMNS_PER_PASS = 50
 COUNTERS_PER_JOB = 40
 
 
+def sketch_accuracy(columns: int) -> int:
+    """Accuracy of each sketch when so many are held at once."""
+    return max(10_000, min(1_000_000, SKETCH_BUDGET // max(1, columns)))
+
+
 def target_rank(probability: float, n: int) -> int:
     exact = Fraction(str(probability)) * n
     return max(1, -(-exact.numerator // exact.denominator))
@@ -63,7 +68,7 @@ def exact_quantiles(df: DataFrame, columns: list[str],
 
 
 def _pass(df, columns, probabilities):
-    accuracy = max(10_000, min(1_000_000, SKETCH_BUDGET // len(columns)))
+    accuracy = sketch_accuracy(len(columns))
     margin = 2.0 / accuracy
     # generated names: the input names may hold dots or quotes
     x = {c: F.col(f"x{i}") for i, c in enumerate(columns)}
