@@ -89,7 +89,7 @@ def h1_train_perceptron(spark, sf):
 def h1_train_on_text(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     df = table(spark, sf, "labels").join(docs, "doc_id").select("quality", "text")
-    model, _ = _fitted(spark, sf, NaiveBayes(), df, "quality")
+    model = TrainClassifier(model=NaiveBayes(), labelCol="quality", numFeatures=4096).fit(df)
     return _scored_counts(model.transform(df), "quality")
 
 

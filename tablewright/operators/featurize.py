@@ -72,13 +72,20 @@ def fast_vector_assemble(df: DataFrame, inputCols: list[str], outputCol: str) ->
             seen_other = seen_other or name
     assembled = VectorAssembler(inputCols=inputCols, outputCol=outputCol,
                                 handleInvalid="error").transform(df)
-    size = assembled.schema[outputCol].metadata.get("ml_attr", {}).get("num_attrs")
-    meta: dict = {"num_attrs": size}
+    # the size follows from the inputs; the attribute list of a wide result is not read back
+    meta: dict = {"num_attrs": sum(_width(df, name) for name in inputCols)}
     if nominal:
         meta["attrs"] = {"nominal": nominal}
     return assembled.withMetadata(outputCol, {"ml_attr": meta})
 
 
+def _width(df: DataFrame, name: str) -> int:
+    if not isinstance(df.schema[name].dataType, VectorUDT):
+        return 1
+    attributes = (df.schema[name].metadata or {}).get("ml_attr", {})
+    return int(attributes["num_attrs"]) if "num_attrs" in attributes else _vector_size(df, name)
+
+
 def _is_image(dtype: T.DataType) -> bool:
     return (isinstance(dtype, T.StructType)
             and [(f.name, f.dataType) for f in dtype] == [(f.name, f.dataType) for f in IMAGE_TYPE])
@@ -133,7 +140,8 @@ class AssembleFeatures(HasFeaturesCol, Estimator):
         slots = _used_slots(df, texts, width) if texts else None
         return AssembleFeaturesModel(
             featuresCol=self.getFeaturesCol(), entries=indexes + others, texts=texts, width=width,
-            slots=slots, oneHot=self.getOneHotEncodeCategoricals())
+            slots=slots, counter=_slot_counter(slots) if slots else None,
+            oneHot=self.getOneHotEncodeCategoricals())
 
 
 def _vector_size(df: DataFrame, name: str) -> int:
@@ -159,21 +167,28 @@ def _used_slots(df: DataFrame, texts: list[str], width: int) -> list[int]:
     return sorted(r["i"] for r in found.collect())
 
 
-def _keep_slots(df: DataFrame, hashed: str, selected: str, slots: list[int]) -> DataFrame:
-    """Hashed counts renumbered to the kept slots. The slot numbers are counted as words of a
-    fixed vocabulary: the work per row follows the words of the row, not the kept slots."""
+def _slot_counter(slots: list[int]) -> CountVectorizerModel:
+    """Counts the kept slot numbers as words of a fixed vocabulary."""
+    return CountVectorizerModel.from_vocabulary([str(s) for s in slots], inputCol="slots",
+                                                outputCol="selected")
+
+
+def _keep_slots(df: DataFrame, hashed: str, selected: str, counter: CountVectorizerModel,
+                size: int) -> DataFrame:
+    """Hashed counts renumbered to the kept slots. The work per row follows the words of the
+    row, not the number of kept slots."""
     names = unused_name("_slot_names", df.columns + [selected])
     pairs = F.arrays_zip(F.unwrap_udt(hashed)["indices"].alias("i"),
                          F.unwrap_udt(hashed)["values"].alias("n"))
     repeated = F.flatten(F.transform(pairs, lambda p: F.array_repeat(
         p["i"].cast("string"), p["n"].cast("int"))))
-    counter = CountVectorizerModel.from_vocabulary([str(s) for s in slots], inputCol=names,
-                                                   outputCol=selected)
-    out = counter.transform(df.withColumn(names, repeated)).drop(names)
-    return out.withMetadata(selected, {"ml_attr": {"num_attrs": len(slots)}})
+    out = counter.transform(df.withColumn(names, repeated), {
+        counter.inputCol: names, counter.outputCol: selected})
+    return out.withMetadata(selected, {"ml_attr": {"num_attrs": size}}).drop(names)
 
 
 class AssembleFeaturesModel(HasFeaturesCol, Model):
+    _nested_names = ("counter",)
     _state_names = ("entries", "texts", "width", "slots", "oneHot")
     _defaults = {"featuresCol": "features"}
 
@@ -223,7 +238,7 @@ class AssembleFeaturesModel(HasFeaturesCol, Model):
             tokens, hashed, selected = names
             work = work.withColumn(tokens, text_tokens([F.col(f"`{t}`") for t in self.texts]))
             work = HashingTF(inputCol=tokens, outputCol=hashed, numFeatures=self.width).transform(work)
-            work = _keep_slots(work, hashed, selected, self.slots).drop(tokens, hashed)
+            work = _keep_slots(work, hashed, selected, self.counter, len(self.slots)).drop(tokens, hashed)
             inputs.append(selected)
             dropped.append(selected)
         return fast_vector_assemble(work, inputs, self.getFeaturesCol()).drop(*dropped)
