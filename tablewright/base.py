@@ -65,11 +65,11 @@ class StageBase(Params, _Contents, MLReadable, MLWritable):
     def setParams(self, **values):
         free = self._nested_names + self._state_names + self._function_names
         for name, value in values.items():
+            setter = getattr(self, "set" + name[0].upper() + name[1:], None)
             if name in free:
-                setattr(self, name, value)
+                setter(value) if setter and value is not None else setattr(self, name, value)
             elif self.hasParam(name):
                 if value is not None:
-                    setter = getattr(self, "set" + name[0].upper() + name[1:], None)
                     setter(value) if setter else self._set(**{name: value})
             else:
                 raise TypeError(f"{type(self).__name__} has no parameter {name!r}")

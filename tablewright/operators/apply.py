@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.base import (
     HasInputCol, HasInputCols, HasOutputCol, HasOutputCols, StageBase, require_columns,
 )
+from tablewright.functions.vectors import elements
 
 
 class UDFTransformer(HasInputCol, HasInputCols, HasOutputCol, Transformer):
@@ -93,7 +94,7 @@ class ColumnFunction(StageBase, Transformer):
 
 def get_value_at(vector: Column | str, index: int) -> Column:
     """Element of a vector column."""
-    return vector_to_array(vector)[index]
+    return elements(vector)[index]
 
 
 def to_vector(array: Column | str) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Transformer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tablewright.base import (
     StageBase, as_bool, as_str, as_str_list, param, require_columns, unused_name,
 )
+from tablewright.functions.vectors import elements
 from tablewright.plans.lookup import lookup_join
 from tablewright.plans.staging import stage_table
 
@@ -47,7 +48,7 @@ class EnsembleByKey(StageBase, Transformer):
         known = self.getVectorDims().get(name)
         if known:
             return known
-        row = df.select(F.size(vector_to_array(f"`{name}`")).alias("n")).filter("n >= 0").first()
+        row = df.select(F.size(elements(f"`{name}`")).alias("n")).filter("n >= 0").first()
         return row["n"] if row else 0
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ class EnsembleByKey(StageBase, Transformer):
                 if dims > WIDE_DIMS:
                     long_vectors.append((source, target))
                     continue
-                values = vector_to_array(F.col(f"`{source}`"))
+                values = elements(F.col(f"`{source}`"))
                 means = F.array(*[F.avg(values[i]) for i in range(dims)])
                 # a group whose vectors are all null has no mean
                 present = F.count(f"`{source}`") > 0
@@ -87,7 +88,7 @@ class EnsembleByKey(StageBase, Transformer):
     def _join_long(groups, df, keys, source, target):
         """Vectors with many dimensions: average per (key, position), then put together."""
         parts = (df.select(*[f"`{k}`" for k in keys],
-                           F.posexplode(vector_to_array(F.col(f"`{source}`"))).alias("_i", "_v"))
+                           F.posexplode(elements(F.col(f"`{source}`"))).alias("_i", "_v"))
                  .groupBy(*keys, "_i").agg(F.avg("_v").alias("_v"))
                  .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_a"))
                  .select(*keys, array_to_vector(F.transform("_a", lambda s: s["_v"])).alias(target)))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tablewright.base import (
     HasFeaturesCol, StageBase, as_bool, as_int, as_str_list, param, require_columns, unused_name,
 )
+from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 from tablewright.functions.images import unsigned_bytes
 from tablewright.functions.missing import TIMESTAMPS, drop_missing, is_floating
@@ -148,8 +149,7 @@ def _vector_size(df: DataFrame, name: str) -> int:
     known = (df.schema[name].metadata or {}).get("ml_attr", {}).get("num_attrs")
     if known:
         return int(known)
-    from pyspark.ml.functions import vector_to_array
-    row = df.select(F.size(vector_to_array(F.col(f"`{name}`"))).alias("n")).filter("n >= 0").first()
+    row = df.select(F.size(elements(F.col(f"`{name}`"))).alias("n")).filter("n >= 0").first()
     return row["n"] if row else 0
 
 

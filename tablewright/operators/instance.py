@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.ml import Transformer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.base import StageBase
+from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 
 EPSILON = 1e-15
@@ -51,4 +51,4 @@ class ComputePerInstanceStatistics(StageBase, Transformer):
         predicted = roles.column_in_role(df.schema, model, roles.SCORED_LABELS_ROLE)
         probabilities = roles.column_in_role(df.schema, model, roles.PROBABILITIES_ROLE)
         return df.withColumn("log_loss", log_loss(
-            F.col(predicted), vector_to_array(F.col(probabilities)), classes))
+            F.col(predicted), elements(F.col(probabilities)), classes))

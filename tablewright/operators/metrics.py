@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Transformer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.base import HasLabelCol, as_str, param
+from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 from tablewright.functions.missing import drop_missing
 from tablewright.plans.ordering import running_totals
@@ -241,7 +241,7 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
         name = scores or predicted
         column = F.col(f"`{name}`")
         if isinstance(df.schema[name].dataType, VectorUDT):
-            column = vector_to_array(column)[1]
+            column = elements(column)[1]
         points = roc_points(df, class_number(F.col(f"`{label}`"), levels), column)
         self.rocCurve = roc_curve(points)
         return area_under_roc(points).first()["AUC"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Transformer
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tablewright.base import (
     HasInputCol, HasOutputCol, as_int, as_str, as_str_list, param, require_columns, unused_name,
 )
+from tablewright.functions.vectors import elements
 from tablewright.operators.images import ImageTransformer, UnrollImage
 
 ACTIVATIONS = {
@@ -79,7 +80,7 @@ class BatchScorer(HasInputCol, HasOutputCol, Transformer):
         require_columns(df, [name])
         dtype, column = df.schema[name].dataType, F.col(f"`{name}`")
         if isinstance(dtype, VectorUDT):
-            return vector_to_array(column, "float32")
+            return elements(column, "float32")
         if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.FloatType, T.DoubleType)):
             return column.cast("array<float>")
         raise TypeError(f"input column {name} must be an array of float or double, or a vector, "

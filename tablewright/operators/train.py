@@ -9,7 +9,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
     OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 from tablewright.base import (
     HasFeaturesCol, HasLabelCol, as_bool, as_int, param, require_columns,
 )
+from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 from tablewright.operators.categorical import LEVEL_TYPES, ValueIndexer, ValueIndexerModel
 from tablewright.operators.featurize import DEFAULT_WIDTH, TREE_WIDTH, Featurize
@@ -67,7 +67,7 @@ class _Trainer(HasLabelCol, HasFeaturesCol, Estimator):
         data = featurizer.transform(df).select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if isinstance(learner, MultilayerPerceptronClassifier):
-                size = data.select(F.size(vector_to_array(features)).alias("n")).first()["n"]
+                size = data.select(F.size(elements(features)).alias("n")).first()["n"]
                 learner = learner.setParams(layers=[size] + list(learner.getLayers())[1:])
             fitted = learner.fit(data)
         finally:

@@ -15,15 +15,14 @@ _FOLDER_KEY = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only a session on one machine without that
-    setting (tests, local runs) gets a temporary folder of its own."""
-    folder = spark.conf.get(_FOLDER_KEY, None)
+    """The session's checkpoint folder. Only a session on one machine without that setting
+    (tests, local runs) gets a temporary folder of its own."""
+    folder = spark.conf.get(_FOLDER_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_FOLDER_KEY} to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="tablewright-")
-        spark.conf.set(_FOLDER_KEY, folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablewright-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -73,7 +73,8 @@ def _shape(files: DataFrame, ratio: float, inspect_zip: bool, seed: int) -> Data
 def read_binary_files(spark: SparkSession, path: str, recursive: bool = False,
                       sampleRatio: float = 1.0, inspectZip: bool = True,
                       seed: int = 0) -> DataFrame:
-    """One row ``value=struct<path,bytes>`` per file below a directory or matching a glob."""
+    """One row ``value=struct<path,bytes>`` per file below a directory or matching a glob.
+    Spark's file scan leaves out files of length zero."""
     _check_ratio(sampleRatio)
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", str(recursive).lower()).load(path))

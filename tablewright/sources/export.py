@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.base import require_columns
+from tablewright.functions.vectors import elements
 
 DENSE, SPARSE = "dense", "sparse"
 
@@ -17,7 +17,7 @@ def _values(df: DataFrame, name: str) -> Column:
     """Array of doubles from a vector, an array or a number column."""
     dtype, column = df.schema[name].dataType, F.col(f"`{name}`")
     if isinstance(dtype, VectorUDT):
-        return vector_to_array(column)
+        return elements(column)
     if isinstance(dtype, T.ArrayType):
         return column.cast("array<double>")
     return F.array(column.cast("double"))
