@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablewright.functions.arrays import bind
+
 # fixed values: channel weights (out of 2^14) of the blue-green-red to gray conversion,
 # color codes, threshold types, and the small Gaussian kernels used when sigma is not positive
 GRAY_BLUE, GRAY_GREEN, GRAY_RED, GRAY_SHIFT = 1868, 9617, 4899, 14
@@ -26,11 +28,6 @@ SMALL_GAUSSIAN = {
 }
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times inside ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def unsigned_bytes(data: Column) -> Column:
     """Bytes as numbers 0 to 255."""
     text = F.decode(data, "ISO-8859-1")

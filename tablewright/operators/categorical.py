@@ -49,13 +49,13 @@ class ValueIndexer(HasInputCol, HasOutputCol, Estimator):
         name = self.getInputCol()
         require_columns(df, [name])
         dtype = _level_type(df.schema[name].dataType)
-        distinct = df.select(F.col(f"`{name}`").alias("level")).distinct()
-        first = distinct.limit(KEPT_LEVELS + 1).collect()
+        counts = df.groupBy(F.col(f"`{name}`").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+        first = counts.select("level").limit(KEPT_LEVELS + 1).collect()
         model = ValueIndexerModel(inputCol=name, outputCol=self.getOutputCol(),
                                   dataType=dtype.simpleString())
         if len(first) <= KEPT_LEVELS:
             return model.setLevels(sort_levels([r[0] for r in first]))
-        staged = stage_table(distinct, "levels")
+        staged = stage_table(counts, "levels")
         known = staged.filter(F.col("level").isNotNull())
         path = new_path(df.sparkSession, "level-index")
         dense_positions(known, "level", "position").write.parquet(path)
@@ -85,7 +85,7 @@ class ValueIndexerModel(HasInputCol, HasOutputCol, Model):
     def level_table(self, spark) -> DataFrame:
         """Levels and positions as a table."""
         if self.tablePath:
-            return spark.read.parquet(self.tablePath)
+            return spark.read.parquet(self.tablePath).select("level", "position")
         known = [(v, i) for i, v in enumerate(v for v in self.levels if v is not None)]
         schema = T.StructType([T.StructField("level", LEVEL_TYPES[self.dataType]),
                                T.StructField("position", T.LongType())])
@@ -112,10 +112,15 @@ class ValueIndexerModel(HasInputCol, HasOutputCol, Model):
         else:
             key = unused_name("_level", df.columns)
             position = unused_name("_position", df.columns)
-            table = self.level_table(df.sparkSession).select(
-                F.col("level").alias(key), F.col("position").alias(position))
-            small = self.levels is not None
-            joined = lookup_join(df.withColumn(key, source), table, [key], "left", small=small)
+            rows = unused_name("_rows", df.columns)
+            if self.levels is not None:
+                table, count_col, small = self.level_table(df.sparkSession), None, True
+            else:
+                table, count_col, small = df.sparkSession.read.parquet(self.tablePath), rows, False
+                table = table.withColumnRenamed("n", rows)
+            table = table.withColumnsRenamed({"level": key, "position": position})
+            joined = lookup_join(df.withColumn(key, source), table, [key], "left",
+                                 count_col=count_col, small=small)
             missing_key = F.col(key).isNull()
             if self.dataType == "double":
                 missing_key = missing_key | F.isnan(key)
@@ -170,10 +175,12 @@ class IndexToValue(HasInputCol, HasOutputCol, Transformer):
             source = df
         else:
             position, level = unused_name("_position", df.columns), unused_name("_level", df.columns)
+            rows = unused_name("_rows", df.columns)
             table = df.sparkSession.read.parquet(info["table"]).select(
-                F.col("position").cast("int").alias(position), F.col("level").alias(level))
+                F.col("position").cast("int").alias(position), F.col("level").alias(level),
+                F.col("n").alias(rows))
             source = lookup_join(df.withColumn(position, index), table, [position], "left",
-                                 small=False)
+                                 count_col=rows, small=False)
             value = F.col(level)
         result = F.when((index >= 0) & (index < count), value).when(index.isNull(), F.lit(None))
         if info["null_exists"]:

@@ -49,7 +49,7 @@ def text_tokens(columns: list[Column]) -> Column:
         trimmed = F.rtrim(F.lower(text), F.lit(WHITE_SPACE))
         return F.when(trimmed.isNull() | (trimmed == ""), F.array().cast("array<string>")
                       ).otherwise(F.split(trimmed, r"\s"))
-    return F.flatten(F.array(*[one(c) for c in columns]))
+    return one(columns[0]) if len(columns) == 1 else F.concat(*[one(c) for c in columns])
 
 
 def image_features(image: Column) -> Column:

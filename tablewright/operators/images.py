@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.base import HasInputCol, HasOutputCol, as_bool, param, require_columns
 from tablewright.functions import images as K
+from tablewright.functions.arrays import bind
 
 STEPS = {
     "resize": lambda m, p: K.resize(m, p["height"], p["width"]),
@@ -89,7 +90,7 @@ class ImageTransformer(HasInputCol, HasOutputCol, Transformer):
         for step in self.getStages():
             image = STEPS[step["action"]](image, step)
         if not _is_pixels(df, name):
-            image = K.bind(image, lambda m: K.to_image_struct(source["path"], m))
+            image = bind(image, lambda m: K.to_image_struct(source["path"], m))
         return df.withColumn(self.getOutputCol(), F.when(source.isNotNull(), image))
 
 
@@ -123,7 +124,7 @@ class ImageSetAugmenter(HasInputCol, HasOutputCol, Transformer):
         def flipped(code: int) -> Column:
             image = K.flip(pixels_of(df, name), code)
             if not _is_pixels(df, name):
-                image = K.bind(image, lambda m: K.to_image_struct(source["path"], m))
+                image = bind(image, lambda m: K.to_image_struct(source["path"], m))
             return F.when(source.isNotNull(), image)
 
         same = source if not _is_pixels(df, name) else K.pixel_image(

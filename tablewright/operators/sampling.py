@@ -28,13 +28,18 @@ def head(df: DataFrame, count: int) -> DataFrame:
     part, row = unused_name("_part", df.columns), unused_name("_row", df.columns)
     numbered = df.withColumn(part, F.spark_partition_id()).withColumn(
         row, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return _cut(numbered, part, row, count)
+
+
+def _cut(numbered: DataFrame, part: str, row: str, count: int) -> DataFrame:
+    """The first ``count`` rows by (part, row); all rows when there are fewer."""
     sizes = numbered.groupBy(part).count()
-    # one row per input partition
+    # one row per partition
     reached = sizes.withColumn("seen", F.sum("count").over(
         Window.orderBy(part).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     last = reached.filter(F.col("seen") >= count).orderBy(part).first()
     if last is None:
-        return df
+        return numbered.drop(part, row)
     rest = count - (last["seen"] - last["count"])
     return numbered.filter(
         (F.col(part) < last[part]) | ((F.col(part) == last[part]) & (F.col(row) < rest))
@@ -53,9 +58,32 @@ def hash_sample(df: DataFrame, keys: list[str], fraction: float, seed: int = 0)
 
 
 def exact_sample(df: DataFrame, keys: list[str], count: int, seed: int = 0) -> DataFrame:
-    """Exactly ``count`` rows (or all): the ones with the smallest key hashes."""
-    return df.orderBy(F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed)),
-                      *[F.col(f"`{k}`") for k in keys]).limit(count)
+    """Exactly ``count`` rows (or all): the ones with the smallest key hashes.
+
+    Small counts are a bounded top-k. Larger ones keep the rows whose hash can be among the
+    smallest, order and write only those, and cut where the count is reached.
+    """
+    columns = [F.col(f"`{k}`") for k in keys]
+    order = [F.xxhash64(*columns, F.lit(seed)), *columns]
+    if count <= ONE_TASK_ROWS:
+        return df.orderBy(*order).limit(count)
+    total = df.count()
+    if count >= total:
+        return df
+    hashed = unused_name("_hash", df.columns)
+    part, row = unused_name("_part", df.columns), unused_name("_row", df.columns)
+    # share of the hash range that holds the wanted rows, with room for chance
+    share = min(1.0, 1.05 * count / total + 0.001)
+    with_hash = df.withColumn(hashed, order[0])
+    while True:
+        limit = int(-(1 << 63) + share * (1 << 64)) if share < 1.0 else (1 << 63) - 1
+        near = with_hash.filter(F.col(hashed) <= F.lit(min(limit, (1 << 63) - 1)))
+        if share >= 1.0 or near.count() >= count:
+            break
+        share = min(1.0, share * 2)
+    numbered = near.orderBy(hashed, *columns).withColumn(part, F.spark_partition_id()).withColumn(
+        row, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return _cut(stage_table(numbered, "sample"), part, row, count).drop(hashed)
 
 
 class PartitionSample(StageBase, Transformer):

@@ -15,14 +15,14 @@ BROADCAST_ROWS = 200_000
 HOT_SHARE = 0.001
 
 
-def is_small(table: DataFrame, bound: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``bound + 1`` rows."""
-    return table.limit(bound + 1).count() <= bound
+def is_small(table: DataFrame, bound: int | None = None) -> bool:
+    """Whether the table's row count stays within the broadcast bound. Learned tables are
+    written tables, so the count comes from the file footers."""
+    return table.count() <= (BROADCAST_ROWS if bound is None else bound)
 
 
 def lookup_join(big: DataFrame, table: DataFrame, keys: list[str], how: str = "inner",
-                count_col: str | None = None, small: bool | None = None,
-                null_safe: bool = False) -> DataFrame:
+                count_col: str | None = None, small: bool | None = None) -> DataFrame:
     """Join ``table`` (one row per key) to ``big``.
 
     ``count_col`` names a column of ``table`` with the number of ``big`` rows per key; it
@@ -33,26 +33,25 @@ def lookup_join(big: DataFrame, table: DataFrame, keys: list[str], how: str = "i
         small = is_small(table)
     drop = [count_col] if count_col else []
     if small:
-        return _join(big, F.broadcast(table.drop(*drop)), keys, how, null_safe)
+        return big.join(F.broadcast(table.drop(*drop)), keys, how)
     if count_col is None or big.isStreaming:
-        return _join(big, table.drop(*drop), keys, how, null_safe)
+        return big.join(table.drop(*drop), keys, how)
     total = table.agg(F.sum(count_col).alias("t")).first()["t"] or 0
     hot = table.filter(F.col(count_col) > F.lit(total * HOT_SHARE))
     hot_keys = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
-    marked = _join(big, hot_keys, keys, "left", null_safe)
-    hot_part = _join(marked.filter(F.col("_hot")).drop("_hot"),
-                     F.broadcast(hot.drop(*drop)), keys, how, null_safe)
-    cold_part = _join(marked.filter(F.col("_hot").isNull()).drop("_hot"),
-                      table.drop(*drop), keys, how, null_safe)
-    return hot_part.unionByName(cold_part)
-
-
-def _join(left: DataFrame, right: DataFrame, keys, how, null_safe) -> DataFrame:
-    if not null_safe:
-        return left.join(right, keys, how)
-    renamed = right
-    condition = F.lit(True)
+    marked = big.join(hot_keys, keys, "left")
+    cold_rows = marked.filter(F.col("_hot").isNull()).drop("_hot")
+    hot_part = marked.filter(F.col("_hot")).drop("_hot").join(
+        F.broadcast(hot.drop(*drop)), keys, how)
+    added = [f for f in table.schema if f.name not in keys + drop]
+    no_key = F.lit(False)
     for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_right_{k}")
-        condition = condition & left[k].eqNullSafe(F.col(f"_right_{k}"))
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+        no_key = no_key | F.col(f"`{k}`").isNull()
+    cold_part = cold_rows.filter(~no_key).join(table.drop(*drop), keys, how)
+    parts = hot_part.unionByName(cold_part)
+    if how != "left":
+        return parts
+    # rows without a key match nothing; shuffled by key they would all meet in one task
+    alone = cold_rows.filter(no_key).withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in added})
+    return parts.unionByName(alone)

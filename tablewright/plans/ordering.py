@@ -77,7 +77,8 @@ def running_totals(df: DataFrame, order_col: str, totals: dict[str, str], descen
 
 
 def dense_positions(distinct: DataFrame, column: str, name: str) -> DataFrame:
-    """Zero-based position of every distinct value in ascending order, nulls first."""
+    """Zero-based position of every distinct value in ascending order, nulls first. Other
+    columns of ``distinct`` are kept."""
     counted = running_totals(distinct.withColumn("_one", F.lit(1).cast("long")), column,
                              {"_one": "_position"})
     return counted.select(*distinct.columns, (F.col("_position") - 1).alias(name))

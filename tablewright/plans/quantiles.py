@@ -69,16 +69,13 @@ def exact_quantiles(df: DataFrame, columns: list[str],
 
 def _pass(df, columns, probabilities):
     accuracy = sketch_accuracy(len(columns))
-    margin = 2.0 / accuracy
     # generated names: the input names may hold dots or quotes
     x = {c: F.col(f"x{i}") for i, c in enumerate(columns)}
     data = df.select(*[
         no_nan(F.col(f"`{c}`"), df.schema[c].dataType).cast("double").alias(f"x{i}")
         for i, c in enumerate(columns)])
 
-    probes = sorted({min(1.0, max(0.0, p + d)) for p in probabilities
-                     for d in (-margin, 0.0, margin)})
-    grid = F.array(*[F.lit(p) for p in probes])
+    grid = F.array(*[F.lit(p) for p in sorted(set(probabilities))])
     first = data.agg(*[
         e for i, c in enumerate(columns) for e in (
             F.count(x[c]).alias(f"n{i}"),

@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # small files: let a scan use all local cores
+        .config("spark.sql.files.openCostInBytes", "262144")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -166,7 +166,6 @@ def test_tf_idf_with_a_term_in_most_rows(spark, monkeypatch):
         ("common", 2, 300), (toks[1], 1, sum(d[1][1] == toks[1] for d in docs))))
     assert run() == want
     monkeypatch.setattr(lookup, "BROADCAST_ROWS", 2)
-    monkeypatch.setattr(lookup.is_small, "__defaults__", (2,))
     assert run() == want
 
 

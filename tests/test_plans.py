@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.operators.sampling import head
+from tablewright.operators.sampling import exact_sample, head
 from tablewright.plans import lookup, ordering, quantiles, staging
 from tests.conftest import values
 
@@ -66,6 +66,14 @@ def test_lookup_join_with_a_hot_key(spark, small):
     assert tuple(row) == (30_000, 30_000, 0)
 
 
+def test_lookup_left_join_keeps_rows_without_a_key(spark):
+    big = spark.range(9000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 40).alias("k"))
+    table = big.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("k is null or k < 30").withColumn("w", F.lit(1))
+    want = values(big.join(table.drop("n"), "k", "left"))
+    for small in (True, False):
+        assert values(lookup.lookup_join(big, table, ["k"], "left", count_col="n", small=small)) == want
+
+
 def test_hot_keys_are_broadcast_and_the_rest_is_shuffled(spark):
     big = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 0)
                                      .otherwise(F.col("id")).alias("k"))
@@ -98,3 +106,14 @@ def test_head_beyond_one_task(spark, monkeypatch):
     assert "SinglePartition" not in plan and "Limit" not in plan
     with pytest.raises(ValueError):
         head(df, 3_000_000_000)
+
+
+def test_exact_sample_beyond_one_task(spark, monkeypatch):
+    from tablewright.operators import sampling
+    df = spark.range(0, 3000, 1, 5).withColumn("v", F.lit("x"))
+    want = values(exact_sample(df, ["id"], 700, seed=2))
+    monkeypatch.setattr(sampling, "ONE_TASK_ROWS", 10)
+    assert values(exact_sample(df.repartition(3), ["id"], 700, seed=2)) == want and len(want) == 700
+    assert exact_sample(df, ["id"], 5000).count() == 3000
+    copies = spark.createDataFrame([(1,)] * 500 + [(2,)] * 20, "k int")
+    assert exact_sample(copies, ["k"], 300).count() == 300
