@@ -10,18 +10,26 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import functions as F
 
-from tablewright.catalog.common import query, table
-from tablewright.catalog.prepare import GAPS_SQL, WORDS, _with_gaps
 from tablewright.catalog import prepare
+from tablewright.catalog.common import (
+    CHANNELS, SIDE, image_sql, joined, pixel_values, query, table,
+)
+from tablewright.catalog.images import DENSE_SQL, _layer
+from tablewright.catalog.prepare import GAPS_SQL, WORDS, _with_gaps
 from tablewright.functions import roles
+from tablewright.functions.images import pixel_image
+from tablewright.operators.apply import get_value_at
 from tablewright.operators.balance import ClassBalancer
 from tablewright.operators.categorical import ValueIndexer
 from tablewright.operators.cleaning import CleanMissingData
+from tablewright.operators.featurize import AssembleFeatures
+from tablewright.operators.images import ImageTransformer
 from tablewright.operators.instance import ComputePerInstanceStatistics
 from tablewright.operators.metrics import (
     ComputeModelStatistics, area_under_roc, confusion_table, regression_metrics, roc_curve,
     roc_points,
 )
+from tablewright.operators.scoring import BatchScorer, dense_model
 from tablewright.operators.select_model import (
     DoubleRangeHyperParam, FindBestModel, HyperparamBuilder, IntRangeHyperParam, RandomSpace,
     TuneHyperparameters,
@@ -379,3 +387,53 @@ def i1_stream_scored(spark, sf):
     scored = _streamed(spark, apply_to_stream([model], stream))
     return scored.groupBy("l_quantity").agg(F.count(F.lit(1)).alias("n"),
                                             F.round(F.max("scores"), 3).alias("scores"))
+
+
+@query("i1_stream_images", image_sql("px[((i // 24) * 8 + 7 - (i // 3) % 8) * 3 + i % 3 + 1]", 192))
+def i1_stream_images(spark, sf):
+    stream = stream_table(spark, sf, "embeddings").select("vec_id", pixel_image(
+        F.lit(SIDE), F.lit(SIDE), F.lit(CHANNELS), pixel_values(F.col("embedding"))).alias("image"))
+    stage = ImageTransformer(inputCol="image", outputCol="out").flip(1)
+    out = apply_to_stream([stage], stream).select("vec_id", joined(F.col("out.pixels")).alias("pixels"))
+    return _streamed(spark, out)
+
+
+@query("i1_stream_features", """
+SELECT event_id, CAST(epoch_us(ts) // 1000 AS DOUBLE) AS ms, CAST(isodow(ts) AS DOUBLE) AS weekday,
+       value FROM events""")
+def i1_stream_features(spark, sf):
+    columns = ["event_id", "ts", "value"]
+    model = AssembleFeatures(columnsToFeaturize=["ts", "value"]).fit(table(spark, sf, "events").select(*columns))
+    stream = stream_table(spark, sf, "events").select(*columns)
+    out = _streamed(spark, apply_to_stream([model], stream).select("event_id", "features"))
+    return out.select("event_id", get_value_at("features", 0).alias("ms"),
+                      get_value_at("features", 2).alias("weekday"), get_value_at("features", 8).alias("value"))
+
+
+@query("i1_stream_batch_scored", f"""WITH {DENSE_SQL}
+SELECT vec_id, round(h[1], 6) AS s0, round(h[6], 6) AS s5 FROM dense""")
+def i1_stream_batch_scored(spark, sf):
+    model = dense_model([_layer("hidden", 64, 6, "identity")])
+    scorer = BatchScorer(inputCol="embedding", outputCol="s", model=model, outputNodeIndex=0, miniBatchSize=100)
+    stream = stream_table(spark, sf, "embeddings").select("vec_id", "embedding")
+    out = _streamed(spark, apply_to_stream([scorer], stream).select("vec_id", "s"))
+    return out.select("vec_id", F.round(get_value_at("s", 0), 6).alias("s0"),
+                      F.round(get_value_at("s", 5), 6).alias("s5"))
+
+
+@query("i1_stream_classified", """
+SELECT CAST(count(*) AS BIGINT) AS scored, CAST(0 AS BIGINT) AS different FROM lineitem""")
+def i1_stream_classified(spark, sf):
+    """A stream gets the same labels as the table."""
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus", "l_quantity",
+                                             F.year("l_shipdate").alias("year"))
+    learner = DecisionTreeClassifier(maxDepth=3)
+    model = TrainClassifier(model=learner, labelCol="l_linestatus").fit(df)
+    stream = stream_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_linestatus", "l_quantity", F.year("l_shipdate").alias("year"))
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "year", "scored_labels"]
+    streamed = _streamed(spark, apply_to_stream([model], stream).select(*columns))
+    batch = model.transform(df).select(*columns)
+    votes = streamed.withColumn("v", F.lit(1)).unionByName(batch.withColumn("v", F.lit(-1)))
+    sums = votes.groupBy(*columns).agg(F.sum("v").alias("v"), F.count_if(F.col("v") > 0).alias("n"))
+    return sums.agg(F.sum("n").alias("scored"), F.count_if(F.col("v") != 0).alias("different"))

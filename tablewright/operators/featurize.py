@@ -16,7 +16,7 @@ from tablewright.base import (
 from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 from tablewright.functions.images import unsigned_bytes
-from tablewright.functions.missing import TIMESTAMPS, drop_missing, is_floating
+from tablewright.functions.missing import TIMESTAMPS, drop_missing
 from tablewright.operators.categorical import category_count, one_hot
 from tablewright.sources.images import IMAGE_TYPE
 
