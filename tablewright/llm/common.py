@@ -40,3 +40,8 @@ def lookup(big: DataFrame, table: DataFrame, key: str, spread: Column, salts: in
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     return stage_table(df, f"llm-{label}")
+
+
+def held_out(doc_id: Column) -> Column:
+    """The rows that no model may learn from: a fifth of the ids, and rows without an id."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import license_scan, mixing, quality_rules, sharding, simhash, warc
+from tablewright.llm import (
+    language_id, license_scan, mixing, quality_model, quality_rules, sharding, simhash, warc,
+)
 from tablewright.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +25,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    return language_id.language_report(load_table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3(spark, sf_dir):
+    return quality_model.quality_scores(load_table(spark, sf_dir, "documents"),
+                                        load_table(spark, sf_dir, "labels"))
+
+
 @query("op5_license_scan")
 def op5(spark, sf_dir):
     return license_scan.license_report(load_table(spark, sf_dir, "documents"))
