@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import (
-    language_id, license_scan, mixing, quality_model, quality_rules, sharding, simhash, warc,
+    decontaminate, language_id, license_scan, line_dedup, mixing, quality_model, quality_rules, sharding, simhash, warc,
 )
 from tablewright.sources.tables import load_table
 
@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_decontaminate")
+def op1(spark, sf_dir):
+    return decontaminate.leaks(load_table(spark, sf_dir, "documents"),
+                               load_table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_language_id")
 def op2(spark, sf_dir):
     return language_id.language_report(load_table(spark, sf_dir, "documents"))
@@ -36,6 +42,11 @@ def op3(spark, sf_dir):
                                         load_table(spark, sf_dir, "labels"))
 
 
+@query("op4_line_dedup")
+def op4(spark, sf_dir):
+    return line_dedup.dedup_report(load_table(spark, sf_dir, "documents"))
+
+
 @query("op5_license_scan")
 def op5(spark, sf_dir):
     return license_scan.license_report(load_table(spark, sf_dir, "documents"))
