@@ -78,7 +78,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                    "chunk-hashes")
     # byte comparison: equal chunks are those with the same text; a hot one is summed per task first
     repeats = staged(
-        texts.mapInPandas(_chunks(True), f"{schema}, chunk string").join(often, "hash", "left_semi")
+        texts.mapInPandas(_chunks(True), f"{schema}, chunk string").join(often.hint("merge"), "hash", "left_semi")
         .withColumn("same", F.sha2("chunk", 256)).select("doc_id", "first", "lines", "hash", "chunk", "same"),
         "repeats")
     exact = staged(repeats.groupBy("hash", "chunk").agg(
@@ -95,7 +95,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``_removed`` is the number of lines that went."""
     gone = repeated_chunks(docs).groupBy("doc_id").agg(
         F.collect_list(F.struct("first", "lines")).alias("_gone"), F.sum("lines").alias("_removed"))
-    joined = docs.join(gone.withColumnRenamed("doc_id", "_id"), docs["doc_id"] == F.col("_id"), "left")
+    # a merge join at every size: the list of documents that lose lines grows with the corpus
+    joined = docs.join(gone.withColumnRenamed("doc_id", "_id").hint("merge"), docs["doc_id"] == F.col("_id"), "left")
     left = F.expr(r"""
         array_join(filter(split(text, '\n'), (l, i) ->
           NOT exists(_gone, r -> i >= r.first AND i < r.first + r.lines)), '\n')""")
