@@ -5,10 +5,10 @@ from __future__ import annotations
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.plans.staging import stage_table
+from tablewright.plans.staging import new_path
 
 #: Rows that a table may have to be broadcast after its rows were counted. The tables in
 #: question have a few numbers and one short text per row, so that this is some 10 MB.
@@ -38,8 +38,23 @@ def lookup(big: DataFrame, table: DataFrame, key: str, spread: Column, salts: in
             .join(salted, [key, "_salt"], "left").drop("_salt"))
 
 
+_written: list[str] = []
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    return stage_table(df, f"llm-{label}")
+    """Write ``df`` to the shared folder and read it back."""
+    path, schema = new_path(df.sparkSession, f"llm-{label}"), df.schema
+    df.write.parquet(path)
+    _written.append(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove the tables that ``staged`` has written so far: for callers that have written the
+    results which read them."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -205,5 +205,5 @@ def one_of_each(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) ->
                     .withColumn("_key", F.struct("doc_id", F.monotonically_increasing_id().alias("r"))),
                     "simhash")
     keys = staged(classes(marked, radius).select(F.col("_first.r").alias("_row")).distinct(), "kept")
-    return (marked.withColumn("_row", F.col("_key.r")).join(keys, "_row", "left_semi")
+    return (marked.withColumn("_row", F.col("_key.r")).join(keys.hint("merge"), "_row", "left_semi")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
