@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,13 @@ from tablewright.plans.staging import stage_table
 WIDE_DIMS = 512
 
 
+def _of_length(values: Column, dims: int) -> Column:
+    """The elements of a vector; an error where their number is another one."""
+    wrong = F.raise_error(F.concat(F.lit(f"vectors to average need {dims} elements, found "),
+                                   F.size(values).cast("string")))
+    return F.when(values.isNull() | (F.size(values) == dims), values).otherwise(wrong)
+
+
 class EnsembleByKey(StageBase, Transformer):
     """Group by keys and average numeric or vector columns.
 
@@ -63,20 +70,20 @@ class EnsembleByKey(StageBase, Transformer):
             elif isinstance(dtype, VectorUDT):
                 dims = self._dims(df, source)
                 if dims > WIDE_DIMS:
-                    long_vectors.append((source, target))
+                    long_vectors.append((source, target, dims))
                     continue
                 values = elements(F.col(f"`{source}`"))
                 means = F.array(*[F.avg(values[i]) for i in range(dims)])
                 # a group whose vectors are all null has no mean
-                present = F.count(f"`{source}`") > 0
-                narrow.append(array_to_vector(F.when(present, means)).alias(target))
+                present = F.count(_of_length(values, dims)) > 0
+                narrow.append(F.when(present, array_to_vector(means)).alias(target))
             else:
                 raise TypeError(
                     f"Cannot operate on type {dtype.simpleString()} with strategy mean")
         groups = df.groupBy(*[f"`{k}`" for k in keys]).agg(
             F.count(F.lit(1)).alias(count), *narrow)
-        for source, target in long_vectors:
-            groups = self._join_long(groups, df, keys, source, target)
+        for source, target, dims in long_vectors:
+            groups = self._join_long(groups, df, keys, source, target, dims)
         groups = groups.select(*[f"`{k}`" for k in keys], count, *[f"`{n}`" for n in names])
         if self.getCollapseGroup():
             return groups.drop(count)
@@ -85,10 +92,11 @@ class EnsembleByKey(StageBase, Transformer):
                            count_col=count)
 
     @staticmethod
-    def _join_long(groups, df, keys, source, target):
+    def _join_long(groups, df, keys, source, target, dims):
         """Vectors with many dimensions: average per (key, position), then put together."""
         parts = (df.select(*[f"`{k}`" for k in keys],
-                           F.posexplode(elements(F.col(f"`{source}`"))).alias("_i", "_v"))
+                           F.posexplode(_of_length(elements(F.col(f"`{source}`")), dims))
+                           .alias("_i", "_v"))
                  .groupBy(*keys, "_i").agg(F.avg("_v").alias("_v"))
                  .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_a"))
                  .select(*keys, array_to_vector(F.transform("_a", lambda s: s["_v"])).alias(target)))

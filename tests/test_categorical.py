@@ -178,3 +178,16 @@ def test_timer_reports_counts(spark, scores):
     assert (timer.lastReport["rows_in"], timer.lastReport["rows_out"]) == (3, 3)
     fitted = Timer(stage=ClassBalancer(inputCol="label1")).fit(scores)
     assert fitted.transform(scores).columns[-1] == "weight"
+
+
+@pytest.mark.parametrize("dims", [2, 600])
+def test_vectors_of_other_lengths_are_an_error(spark, dims):
+    from pyspark.ml.linalg import Vectors
+    rows = [("a", Vectors.dense([1.0] * dims)), ("a", Vectors.dense([3.0] * dims)), ("b", None)]
+    df = spark.createDataFrame(rows, ["k", "v"])
+    stage = EnsembleByKey(keys=["k"], cols=["v"])
+    means = {r["k"]: r["mean(v)"] for r in stage.transform(df).collect()}
+    assert means["a"].toArray().tolist() == [2.0] * dims and means["b"] is None
+    mixed = df.union(spark.createDataFrame([("a", Vectors.dense([1.0] * (dims + 1)))], df.schema))
+    with pytest.raises(Exception, match="need"):
+        EnsembleByKey(keys=["k"], cols=["v"], vectorDims={"v": dims}).transform(mixed).collect()
