@@ -68,10 +68,11 @@ def confusion_table(df: DataFrame, label: str, prediction: str,
 def class_number(label: Column, levels: list | None) -> Column:
     if levels is None:
         return label.cast("double")
-    out = F.lit(None).cast("double")
+    out = None  # one flat choice: nested ones are as deep as the number of levels
     for i, level in enumerate(v for v in levels if v is not None):
-        out = F.when(label == F.lit(level), F.lit(float(i))).otherwise(out)
-    return out
+        this = label == F.lit(level)
+        out = F.when(this, float(i)) if out is None else out.when(this, float(i))
+    return F.lit(None).cast("double") if out is None else out
 
 
 def _cells(confusion: DataFrame) -> list[tuple[float, float, int]]:
