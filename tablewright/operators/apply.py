@@ -53,7 +53,7 @@ class MultiColumnAdapter(HasInputCols, HasOutputCols, Estimator):
 
     def setBaseStage(self, value):
         if not (value.hasParam("inputCol") and value.hasParam("outputCol")):
-            raise ValueError("Need to pass a pipeline stage with inputCol and outputCol params")
+            raise ValueError("baseStage must have the params inputCol and outputCol")
         self.baseStage = value
         return self
 
@@ -79,7 +79,7 @@ class MultiColumnAdapter(HasInputCols, HasOutputCols, Estimator):
         require_columns(df, self.getInputCols())
         present = [c for c in self.getOutputCols() if c in df.columns]
         if present:
-            raise ValueError(f"DataFrame already contains specified columns: {', '.join(present)}")
+            raise ValueError(f"outputCols name columns of the table: {', '.join(present)}")
         return Pipeline(stages=self.stages()).fit(df)
 
 

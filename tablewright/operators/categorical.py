@@ -27,7 +27,7 @@ EXPRESSION_LEVELS = 32
 
 def _level_type(dtype: T.DataType) -> T.DataType:
     if dtype.simpleString() not in LEVEL_TYPES:
-        raise TypeError(f"Unsupported Categorical type {dtype.simpleString()}")
+        raise TypeError(f"a {dtype.simpleString()} column cannot be indexed")
     return LEVEL_TYPES[dtype.simpleString()]
 
 
@@ -163,12 +163,12 @@ class IndexToValue(HasInputCol, HasOutputCol, Transformer):
         require_columns(df, [name])
         info = roles.categorical_info(df.schema, name)
         if info is None:
-            raise ValueError(f"column {name} is not Categorical")
+            raise ValueError(f"column {name} has no levels to turn indexes back with")
         dtype, count = LEVEL_TYPES[info["type"]], info["count"]
         index = F.col(f"`{name}`").cast("int")
         wrong = F.raise_error(F.concat(
-            F.lit("Index greater than number of levels in metadata, index: "), index.cast("string"),
-            F.lit(f", levels: {count}")))
+            F.lit("no value for index "), index.cast("string"),
+            F.lit(f": the column has {count} levels")))
         if info["levels"] is not None:
             values = _level_array(info["levels"], dtype)
             value = F.element_at(values, index + 1)

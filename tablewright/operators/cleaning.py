@@ -40,7 +40,7 @@ class CleanMissingData(HasInputCols, HasOutputCols, Estimator):
         else:
             for name in names:
                 if not is_numeric(df.schema[name].dataType):
-                    raise TypeError("Only numeric types supported for numeric imputation")
+                    raise TypeError("means and medians need numeric columns: use mode Custom for others")
             clean = [no_nan(F.col(f"`{n}`"), df.schema[n].dataType) for n in names]
             if mode == "Mean":
                 learned = [F.avg(c) for c in clean]

@@ -66,7 +66,7 @@ def cast_column(column: Column, dtype: T.DataType, target: str) -> Column:
     bits = INTEGER_BITS.get(to.simpleString())
     if isinstance(dtype, T.StringType):
         if target == "boolean":
-            raise TypeError("String to Boolean not supported")
+            raise TypeError("text has no defined boolean value: compare it instead")
         if target == "string":
             return column
         number = column.try_cast("double")
@@ -111,7 +111,7 @@ def from_time(column: Column, target: str, pattern: str) -> Column:
         return F.unix_millis(moment)
     if target == "string":
         return F.date_format(moment, pattern)
-    raise TypeError("Date only converts to string or long")
+    raise TypeError("a time becomes text or a count of milliseconds (string, long), nothing else")
 
 
 def to_time(column: Column, dtype: T.DataType, pattern: str) -> Column:
@@ -119,5 +119,5 @@ def to_time(column: Column, dtype: T.DataType, pattern: str) -> Column:
         return F.to_timestamp(column, pattern)
     if isinstance(dtype, T.LongType):
         return F.timestamp_millis(column)
-    raise TypeError("Can only convert string or long to Date")
+    raise TypeError("times are made from text or counts of milliseconds (string, long)")
 

@@ -132,10 +132,10 @@ class AssembleFeatures(HasFeaturesCol, Estimator):
                 entry["kind"] = "date"
             elif _is_image(dtype):
                 if not self.getAllowImages():
-                    raise TypeError("Featurization of images columns disabled")
+                    raise TypeError(f"column {field.name} holds images: set allowImages to use them")
                 entry.update(kind="image", dims=_image_size(df, field.name))
             else:
-                raise TypeError(f"Unsupported type for assembly: {dtype.simpleString()}")
+                raise TypeError(f"column {field.name} of type {dtype.simpleString()} has no numeric form")
             others.append(entry)
         width = self.getNumberOfFeatures()
         slots = _used_slots(df, texts, width) if texts else None
@@ -195,14 +195,14 @@ class AssembleFeaturesModel(HasFeaturesCol, Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         for name in self.texts:
             if not isinstance(df.schema[name].dataType, T.StringType):
-                raise TypeError("Invalid column type specified during score, should be string "
-                                f"for column: {name}")
+                raise TypeError(f"column {name} was text when the model was fitted "
+                                "and is not now")
         temp, added = {}, {}
         taken = set(df.columns)
         for e in self.entries:
             if df.schema[e["name"]].dataType.simpleString() != e["type"]:
-                raise TypeError(f"Invalid column type specified during score, should be "
-                                f"{e['type']} for column: {e['name']}")
+                raise TypeError(f"column {e['name']} was {e['type']} when the model was fitted "
+                                "and is not now")
             tmp = unused_name(e["name"], taken)
             taken.add(tmp)
             temp[e["name"]] = tmp

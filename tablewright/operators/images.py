@@ -26,12 +26,12 @@ STEPS = {
 def _is_pixels(df: DataFrame, name: str) -> bool:
     dtype = df.schema[name].dataType
     if not isinstance(dtype, T.StructType):
-        raise TypeError("input column should have Image type")
+        raise TypeError("the input column holds no images")
     if "pixels" in dtype.fieldNames():
         return True
     if "bytes" in dtype.fieldNames() and "type" in dtype.fieldNames():
         return False
-    raise TypeError("input column should have Image type")
+    raise TypeError("the input column holds no images")
 
 
 def pixels_of(df: DataFrame, name: str) -> Column:
@@ -59,12 +59,12 @@ class ImageTransformer(HasInputCol, HasOutputCol, Transformer):
 
     def resize(self, height: int, width: int):
         if height < 0 or width < 0:
-            raise ValueError("width and height should be nonnegative")
+            raise ValueError("a size must not be negative")
         return self._add("resize", height=height, width=width)
 
     def crop(self, x: int, y: int, height: int, width: int):
         if min(x, y, height, width) < 0:
-            raise ValueError("crop values should be nonnegative")
+            raise ValueError("a cut must not have negative values")
         return self._add("crop", x=x, y=y, height=height, width=width)
 
     def colorFormat(self, format: int):

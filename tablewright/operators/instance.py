@@ -36,7 +36,7 @@ class ComputePerInstanceStatistics(StageBase, Transformer):
     def _transform(self, df: DataFrame) -> DataFrame:
         model = roles.first_model(df.schema)
         if model is None:
-            raise ValueError("Please score the model prior to evaluating")
+            raise ValueError("the table has no scored columns: transform it with a model first")
         label = roles.column_in_role(df.schema, model, roles.LABEL_ROLE)
         if roles.score_kind(df.schema, model) == roles.REGRESSION:
             score = F.col(roles.column_in_role(df.schema, model, roles.SCORES_ROLE))

@@ -34,7 +34,7 @@ def metric_kind(metric: str) -> str:
         return roles.REGRESSION
     if metric in CLASSIFICATION_COLUMNS or metric in (ALL_CLASSIFICATION, "areaUnderROC"):
         return roles.CLASSIFICATION
-    raise ValueError("Invalid metric specified")
+    raise ValueError(f"unknown metric {metric!r}")
 
 
 def higher_is_better(metric: str) -> bool:
@@ -181,7 +181,7 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
             label = roles.column_in_role(schema, model, roles.LABEL_ROLE)
             return model, label or self._get("labelCol"), roles.score_kind(schema, model)
         if not self.isDefined("labelCol") or self.getEvaluationMetric() == ALL:
-            raise ValueError("Please score the model prior to evaluating")
+            raise ValueError("the table has no scored columns: transform it with a model, or name label and metric")
         return None, self.getLabelCol(), metric_kind(self.getEvaluationMetric())
 
     def _column(self, schema, model, own: str, role: str) -> str | None:
@@ -200,7 +200,7 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
 
     def _regression(self, df, model, label, metric):
         if metric not in (ALL, ALL_REGRESSION) and metric not in REGRESSION_COLUMNS:
-            raise ValueError(f"Error: {metric} is not a regression metric")
+            raise ValueError(f"{metric} measures no regressor")
         scores = (self._column(df.schema, model, "scoresCol", roles.SCORES_ROLE)
                   or self._get("scoredLabelsCol"))
         table = regression_metrics(df, label, scores)
@@ -211,7 +211,7 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
         metric = "AUC" if metric == "areaUnderROC" else metric
         everything = metric in (ALL, ALL_CLASSIFICATION)
         if not everything and metric not in CLASSIFICATION_COLUMNS:
-            raise ValueError(f"Error: {metric} is not a classification metric")
+            raise ValueError(f"{metric} measures no classifier")
         predicted = self._column(df.schema, model, "scoredLabelsCol", roles.SCORED_LABELS_ROLE)
         scores = self._column(df.schema, model, "scoresCol", roles.SCORES_ROLE)
         levels = roles.get_levels(df.schema, label)
@@ -223,7 +223,7 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
         if metric == "AUC":
             known = levels if levels is not None else matrix.classes
             if len(known) > 2:
-                raise ValueError("Error: AUC is not available for multiclass case")
+                raise ValueError("AUC needs a label of two classes")
             cells.append(("AUC", self._auc(df, label, levels, scores, predicted)))
         else:
             values = matrix.binary() if binary else matrix.multiclass()

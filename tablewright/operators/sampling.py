@@ -22,7 +22,7 @@ def head(df: DataFrame, count: int) -> DataFrame:
     many rows come from the one where the count is reached; no row is moved.
     """
     if count > HEAD_LIMIT:
-        raise ValueError("Head limit 2b rows")
+        raise ValueError(f"head returns at most {HEAD_LIMIT} rows")
     if count <= ONE_TASK_ROWS:
         return df.limit(count)
     part, row = unused_name("_part", df.columns), unused_name("_row", df.columns)

@@ -44,7 +44,7 @@ def _cut(model: dict, name: str | None, index: int | None) -> list[dict]:
     """Layers up to and with the wanted output."""
     names = [layer["name"] for layer in model["layers"]]
     if (name is None) == (index is None):
-        raise ValueError("Must specify one and only one of outputNodeName or outputNodeIndex")
+        raise ValueError("name the output node either by outputNodeName or by outputNodeIndex")
     if name is not None:
         if name not in names:
             raise ValueError(f"model has no node {name!r}, only {names}")

@@ -36,13 +36,13 @@ def model_kind(model) -> str:
         return roles.CLASSIFICATION
     if isinstance(model, (TrainRegressor, TrainedRegressorModel, Regressor, RegressionModel)):
         return roles.REGRESSION
-    raise TypeError("Model type not supported for evaluation")
+    raise TypeError("the model is neither a trained classifier nor a trained regressor")
 
 
 def metric_column(kind: str, metric: str) -> str:
     names = REGRESSION_COLUMNS if kind == roles.REGRESSION else CLASSIFICATION_COLUMNS
     if metric not in names:
-        raise ValueError(f"Metric {metric} is not supported for {kind}")
+        raise ValueError(f"{metric} does not rank models of kind {kind}")
     return names[metric]
 
 
@@ -93,13 +93,13 @@ class FindBestModel(_Evaluated, Estimator):
 
     def _fit(self, df: DataFrame) -> "BestModel":
         if not self.models:
-            raise ValueError("No trained models to evaluate.")
+            raise ValueError("give at least one trained model")
         metric = self.getEvaluationMetric()
         kind = model_kind(self.models[0])
         for m in self.models:
             if model_kind(m) != kind:
-                raise ValueError("Models are inconsistent. Please evaluate only regressors or "
-                                 "classifiers.")
+                raise ValueError("all models must be of one kind: "
+                                 "classifiers or regressors")
         name = metric_column(kind, metric)
         data = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -51,7 +51,7 @@ class _Trainer(HasLabelCol, HasFeaturesCol, Estimator):
 
     def _learner(self):
         if not isinstance(self.model, Estimator):
-            raise TypeError(f"Unsupported learner type {type(self.model).__name__}")
+            raise TypeError(f"cannot train with a {type(self.model).__name__}: give a learner of the right kind")
         return self.model.copy()
 
     def _train(self, df: DataFrame, learner) -> PipelineModel:
@@ -93,7 +93,7 @@ class TrainClassifier(_Trainer):
             learner = OneVsRest(classifier=learner.setParams(
                 labelCol=label, featuresCol=self.getFeaturesCol()))
         elif isinstance(learner, GBTClassifier) and many:
-            raise ValueError("Multiclass Gradient Boosted Tree Classifier not supported yet")
+            raise ValueError("boosted trees separate two classes only: take another learner for this label")
         pipeline = self._train(ready, learner)
         return TrainedClassifierModel(labelCol=label, featuresCol=self.getFeaturesCol(),
                                       pipeline=pipeline, levels=levels)
@@ -105,12 +105,12 @@ class TrainClassifier(_Trainer):
             return df, given
         if roles.is_categorical(df.schema, label):
             if given is not None:
-                raise ValueError("Column is already categorical, cannot set label values")
+                raise ValueError(f"labels cannot be given: column {label} carries levels of its own")
             return df, roles.get_levels(df.schema, label)
         if given is not None:
             kind = df.schema[label].dataType.simpleString()
             if kind not in LEVEL_TYPES:
-                raise TypeError(f"Unsupported label type {kind}")
+                raise TypeError(f"labels of type {kind} cannot be listed")
             convert = {"int": int, "bigint": int, "double": float, "string": str,
                        "boolean": lambda v: str(v).lower() == "true"}[kind]
             levels = [convert(v) for v in given]
@@ -195,11 +195,11 @@ class TrainRegressor(_Trainer):
         require_columns(df, [label])
         dtype = df.schema[label].dataType
         if isinstance(dtype, T.StringType):
-            raise TypeError("Invalid type: Regressors are not able to train on a string label "
-                            f"column: {label}")
+            raise TypeError(f"label {label} holds text: a regressor needs numbers, "
+                            "convert the column first")
         if not isinstance(dtype, (T.IntegerType, T.BooleanType, T.FloatType, T.ByteType,
                                   T.LongType, T.ShortType, T.DoubleType)):
-            raise TypeError(f"Unknown type: {dtype.simpleString()}, for label column: {label}")
+            raise TypeError(f"label {label} is {dtype.simpleString()}: a regressor needs numbers")
         ready = df.withColumn(label, F.col(f"`{label}`").cast("double")).na.drop(subset=[label])
         pipeline = self._train(ready, self._learner())
         return TrainedRegressorModel(labelCol=label, featuresCol=self.getFeaturesCol(),

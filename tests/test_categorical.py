@@ -22,15 +22,15 @@ NAN = float("nan")
 @pytest.fixture(scope="module")
 def plain(spark):
     return spark.createDataFrame(
-        [(-3, 24, 0.32534, True, "piano"), (1, 5, 5.67, False, "piano"), (-3, 5, 0.32534, False, "guitar")],
+        [(17, 900, -2.5, False, "west"), (4, 31, 6.125, True, "east"), (4, 900, 6.125, True, "west")],
         "int int, long bigint, double double, bool boolean, string string")
 
 
 @pytest.fixture(scope="module")
 def gaps(spark):
     return spark.createDataFrame(
-        [("Alice", None, 44.3), (None, 60, None), ("Josh", 25, NAN), ("Bob", 25, 77.7),
-         ("Fred", 55, NAN), ("Josh", 21, 33.3)], "string string, int int, double double")
+        [("pine", 8, NAN), ("fir", None, 1.5), (None, 3, None), ("pine", 12, -6.0), ("yew", 3, 40.25)],
+        "string string, int int, double double")
 
 
 def index(df, name):
@@ -48,21 +48,21 @@ def test_there_and_back(plain, name):
 
 
 def test_missing_slots(gaps):
-    # levels: null, Alice, Bob, Fred, Josh
-    assert [r["string_cat"] for r in index(gaps, "string").collect()] == [0, 4, 3, 1, 2, 3]
-    assert [r["int_cat"] for r in index(gaps, "int").collect()] == [4, 3, 1, 1, 2, 0]
+    # levels: null, fir, pine, yew
+    assert [r["string_cat"] for r in index(gaps, "string").collect()] == [1, 0, 3, 1, 2]
+    assert [r["int_cat"] for r in index(gaps, "int").collect()] == [1, 3, 0, 2, 0]
     # NaN is a level of its own, but null and NaN both go to the null slot
-    assert [r["double_cat"] for r in index(gaps, "double").collect()] == [1, 4, 4, 2, 4, 0]
+    assert [r["double_cat"] for r in index(gaps, "double").collect()] == [4, 1, 4, 0, 2]
     back = IndexToValue(inputCol="double_cat", outputCol="b").transform(index(gaps, "double"))
-    assert [r["b"] for r in back.collect()] == [44.3, None, None, 77.7, None, 33.3]
+    assert [r["b"] for r in back.collect()] == [None, 1.5, None, -6.0, 40.25]
 
 
 def test_unseen_values(spark, plain, gaps):
     model = ValueIndexer(inputCol="string", outputCol="c").fit(plain)
-    new = spark.createDataFrame([("drum",), (None,), ("piano",)], "string string")
+    new = spark.createDataFrame([("north",), (None,), ("west",)], "string string")
     assert [r["c"] for r in model.transform(new).collect()] == [2, 2, 1]
     with_null = ValueIndexer(inputCol="string", outputCol="c").fit(gaps)
-    assert [r["c"] for r in with_null.transform(new).collect()] == [5, 4, 5]
+    assert [r["c"] for r in with_null.transform(new).collect()] == [4, 3, 4]
     with pytest.raises(Exception, match="levels"):
         IndexToValue(inputCol="c", outputCol="b").transform(model.transform(new)).collect()
 
@@ -107,51 +107,51 @@ def test_class_weights(spark, tmp_path):
 @pytest.fixture(scope="module")
 def scores(spark):
     return spark.createDataFrame(
-        [(0, "foo", 1.0, 0.1, Vectors.dense(1.0, 0.1)), (1, "bar", 4.0, -2.0, Vectors.dense(4.0, -2.0)),
-         (1, "bar", 0.0, -3.0, Vectors.sparse(2, {1: -3.0}))],
-        ["label1", "label2", "score1", "score2", "v1"])
+        [(5, "north", 2.0, 0.5, Vectors.dense(2.0, 0.5, 1.0)), (9, "south", -1.0, 3.0, Vectors.dense(-1.0, 3.0, 0.0)),
+         (9, "south", 7.0, 1.0, Vectors.sparse(3, {0: 7.0, 2: 4.0}))],
+        ["team", "place", "points", "fouls", "v1"])
 
 
 def test_ensemble_scalars(scores):
-    out = EnsembleByKey(keys=["label1"], cols=["score1"]).transform(scores)
-    assert values(out) == [(0, 1.0), (1, 2.0)] and out.columns[1] == "mean(score1)"
+    out = EnsembleByKey(keys=["team"], cols=["points"]).transform(scores)
+    assert values(out) == [(5, 2.0), (9, 3.0)] and out.columns[1] == "mean(points)"
 
 
 def test_ensemble_vectors(spark, scores, monkeypatch):
     from tablewright.operators import ensemble
-    stage = EnsembleByKey(keys=["label1", "label2"], cols=["score1", "v1"], colNames=["s", "v"])
-    want = [(0, "foo", 1.0, [1.0, 0.1]), (1, "bar", 2.0, [2.0, -2.5])]
+    stage = EnsembleByKey(keys=["team", "place"], cols=["points", "v1"], colNames=["s", "v"])
+    want = [(5, "north", 2.0, [2.0, 0.5, 1.0]), (9, "south", 3.0, [3.0, 1.5, 2.0])]
 
     def rows(df):
         return sorted((r[0], r[1], r["s"], r["v"].toArray().tolist()) for r in df.collect())
     assert rows(stage.transform(scores)) == want
     monkeypatch.setattr(ensemble, "WIDE_DIMS", 1)
     assert rows(stage.transform(scores)) == want
-    with_null = scores.withColumn("v1", F.when(F.col("score1") != 4.0, F.col("v1")))
-    got = EnsembleByKey(keys=["label1"], cols=["v1"]).transform(with_null)
-    assert {r[0]: r[1].toArray().tolist() for r in got.collect()} == {0: [1.0, 0.1], 1: [0.0, -3.0]}
+    with_null = scores.withColumn("v1", F.when(F.col("points") != -1.0, F.col("v1")))
+    got = EnsembleByKey(keys=["team"], cols=["v1"]).transform(with_null)
+    assert {r[0]: r[1].toArray().tolist() for r in got.collect()} == {5: [2.0, 0.5, 1.0], 9: [7.0, 0.0, 4.0]}
 
 
 def test_ensemble_back(scores):
-    out = EnsembleByKey(keys=["label1"], cols=["score1"], colNames=["score1"],
+    out = EnsembleByKey(keys=["team"], cols=["points"], colNames=["points"],
                         collapseGroup=False).transform(scores)
-    assert values(out, "label1", "score1", "score2") == [(0, 1.0, 0.1), (1, 2.0, -2.0), (1, 2.0, -3.0)]
+    assert values(out, "team", "points", "fouls") == [(5, 2.0, 0.5), (9, 3.0, 1.0), (9, 3.0, 3.0)]
     with pytest.raises(TypeError):
-        EnsembleByKey(keys=["label1"], cols=["label2"]).transform(scores)
+        EnsembleByKey(keys=["team"], cols=["place"]).transform(scores)
     with pytest.raises(ValueError):
         EnsembleByKey(strategy="max")
 
 
 def test_summary_of_mixed_columns(spark):
     df = spark.createDataFrame(
-        [(0, NAN, "guitars", None, True), (1, 1.0, "piano", 4, None), (2, 2.5, None, 5, True)],
+        [(40, NAN, "reed", None, False), (41, 6.0, "flute", 9, None), (42, 8.5, None, 3, False)],
         "numbers int, doubles double, words string, longs bigint, booleans boolean")
     rows = {r["Feature"]: r.asDict() for r in SummarizeData().transform(df).collect()}
     assert list(rows) and set(rows) == set(df.columns)
     assert (rows["doubles"]["Count"], rows["doubles"]["Missing Value Count"]) == (2.0, 1.0)
     assert rows["words"]["Count"] == 2.0 and math.isnan(rows["words"]["Median"])
-    assert (rows["numbers"]["Min"], rows["numbers"]["Median"], rows["numbers"]["Max"]) == (0.0, 1.0, 2.0)
-    assert rows["numbers"]["Sample Variance"] == 1.0 and rows["doubles"]["Max"] == 2.5
+    assert (rows["numbers"]["Min"], rows["numbers"]["Median"], rows["numbers"]["Max"]) == (40.0, 41.0, 42.0)
+    assert rows["numbers"]["Sample Variance"] == 1.0 and rows["doubles"]["Max"] == 8.5
     assert rows["booleans"]["Unique Value Count"] == 1.0
     for groups in ({"counts": True}, {"basic": True}, {"sample": True}, {"percentiles": True}, {}):
         stage = SummarizeData(**{g: groups.get(g, False) for g in ("counts", "basic", "sample", "percentiles")})
@@ -173,10 +173,10 @@ def test_summary_of_a_wide_table(spark):
 
 
 def test_timer_reports_counts(spark, scores):
-    timer = Timer(stage=SelectColumns(cols=["score1"]), disableMaterialization=False)
+    timer = Timer(stage=SelectColumns(cols=["points"]), disableMaterialization=False)
     assert timer.transform(scores).count() == 3
     assert (timer.lastReport["rows_in"], timer.lastReport["rows_out"]) == (3, 3)
-    fitted = Timer(stage=ClassBalancer(inputCol="label1")).fit(scores)
+    fitted = Timer(stage=ClassBalancer(inputCol="team")).fit(scores)
     assert fitted.transform(scores).columns[-1] == "weight"
 
 

@@ -26,11 +26,10 @@ def features(df, name="f"):
 
 
 def test_basic_types(spark):
-    rows = [(0, 2, 0.50, True, 0, 0, 12.0), (1, 3, 0.40, False, 1, 100, 30.0),
-            (0, 4, 0.78, True, 2, 50, 12.0), (0, 3, 0.78, True, 2, -128, 12.0)]
-    df = spark.createDataFrame(rows, "Label int, col1 bigint, col2 double, col3 boolean, col4 int, "
-                                     "col5 tinyint, col6 float")
-    out = Featurize(featureColumns={"f": [f"col{i}" for i in range(1, 7)]}).fit(df).transform(df)
+    rows = [(5, 11, 0.125, False, 3, 7, -1.5), (6, 12, 2.5, True, 9, -6, 0.25), (7, -3, 1e3, True, 4, 127, 8.0)]
+    df = spark.createDataFrame(rows, "key int, wide bigint, part double, flag boolean, whole int, "
+                                     "tiny tinyint, single float")
+    out = Featurize(featureColumns={"f": df.columns[1:]}).fit(df).transform(df)
     assert out.columns == df.columns + ["f"]
     assert features(out) == [[float(v) for v in r[1:]] for r in rows]
 
@@ -38,22 +37,21 @@ def test_basic_types(spark):
 def test_vectors_keep_nan_inside(spark):
     nan = float("nan")
     df = spark.createDataFrame(
-        [(Vectors.sparse(3, {0: 1.0, 2: 2.0}), 0.5, 0, Vectors.dense(1.0, 0.1, -1.5)),
-         (Vectors.dense(nan, 0.2, -1.23), 0.78, 2, Vectors.dense(1.0, 0.1, -1.22)), (None, 0.1, 1, None)],
-        ["col1", "col2", "col4", "col5"])
+        [(Vectors.sparse(4, {1: 3.0}), 2.5, 7, Vectors.dense(0.5, -4.0)),
+         (Vectors.dense(6.0, nan, 0.0, 1.5), -1.0, 8, Vectors.dense(9.0, 2.0)), (None, 0.0, 3, None)],
+        ["left", "part", "whole", "right"])
     got = features(AssembleFeatures(columnsToFeaturize=df.columns, featuresCol="f").fit(df).transform(df))
-    assert got[0] == [1.0, 0.0, 2.0, 0.5, 0.0, 1.0, 0.1, -1.5]
-    assert len(got) == 2 and math.isnan(got[1][0]) and len(got[1]) == 8
+    assert got[0] == [0.0, 3.0, 0.0, 0.0, 2.5, 7.0, 0.5, -4.0]
+    assert len(got) == 2 and math.isnan(got[1][1]) and len(got[1]) == 8
 
 
-TEXTS = [(0, 2, 0.50, 0.60, "pokemon are everywhere"), (1, 3, 0.40, 0.50, "they are in the woods"),
-         (0, 4, 0.78, 0.99, "they are in the water"), (1, 5, 0.12, 0.34, "they are in the fields"),
-         (0, 3, 0.78, 0.99, "pokemon - gotta catch em all")]
+TEXTS = [(4, 9, 1.25, -0.5, "rain fell on the hills"), (7, 8, 0.0, 2.5, "snow fell in april"),
+         (1, 6, 3.5, 0.75, "the hills stay dry in april")]
 
 
 def test_text_slots(spark, tmp_path):
-    df = spark.createDataFrame(TEXTS, "Label int, col1 int, col2 double, col3 double, col4 string")
-    model = AssembleFeatures(columnsToFeaturize=["col1", "col2", "col3", "col4"], featuresCol="f").fit(df)
+    df = spark.createDataFrame(TEXTS, "id int, n int, x double, y double, note string")
+    model = AssembleFeatures(columnsToFeaturize=["n", "x", "y", "note"], featuresCol="f").fit(df)
     got = features(model.transform(df))
     words = {w for r in TEXTS for w in r[4].split()}
     # words may share a hash slot, never more slots than words
@@ -64,10 +62,10 @@ def test_text_slots(spark, tmp_path):
     model.save(str(tmp_path / "m"))
     assert features(AssembleFeaturesModel.load(str(tmp_path / "m")).transform(df)) == got
     # words that were not seen when fitting have no slot; a missing text counts as no words
-    new = spark.createDataFrame([(0, 1, 1.0, 1.0, "zebra zebra are"), (0, 1, 1.0, 1.0, None)], df.schema)
+    new = spark.createDataFrame([(0, 1, 1.0, 1.0, "zebra zebra fell"), (0, 1, 1.0, 1.0, None)], df.schema)
     assert [sum(r[3:]) for r in features(model.transform(new))] == [1.0, 0.0]
     # fitting again gives the same slots at any layout
-    assert AssembleFeatures(columnsToFeaturize=["col4"]).fit(df.repartition(5)).slots == model.slots
+    assert AssembleFeatures(columnsToFeaturize=["note"]).fit(df.repartition(5)).slots == model.slots
 
 
 def test_text_tokens_follow_the_white_space(spark):
@@ -111,8 +109,8 @@ def test_unsupported_types(spark):
         AssembleFeatures(columnsToFeaturize=["image"]).fit(image)
 
 
-SENTENCES = [(0, "Hi I"), (1, "I wish for snow today"), (2, "we Cant go to the park, because of the snow!"),
-             (3, "")]
+SENTENCES = [(10, "Boats drift"), (11, "drift slowly past the harbor lights"),
+             (12, "No wind, so boats stay inside the HARBOR!"), (13, "")]
 
 
 def test_text_featurizer(spark, tmp_path):
@@ -128,26 +126,26 @@ def test_text_featurizer(spark, tmp_path):
     full = TextFeaturizer(inputCol="sentence", outputCol="features", useStopWordsRemover=True, useNGram=True,
                           useIDF=False, binary=True, minTokenLength=1).fit(df).transform(df)
     assert full.columns == ["label", "sentence", "features"]
-    with pytest.raises(TypeError, match="tokenized"):
+    with pytest.raises(TypeError, match="useTokenizer"):
         TextFeaturizer(inputCol="sentence", outputCol="f", useTokenizer=False).fit(df)
     tokens = df.select(F.split("sentence", " ").alias("t"))
     with pytest.raises(TypeError):
         TextFeaturizer(inputCol="t", outputCol="f").fit(tokens)
     assert TextFeaturizer(inputCol="t", outputCol="f", useTokenizer=False).fit(tokens).transform(
         tokens).count() == 4
-    with pytest.raises(ValueError, match="exists"):
+    with pytest.raises(ValueError, match="taken"):
         TextFeaturizer(inputCol="sentence", outputCol="label").fit(df)
 
 
 def test_exact_terms_follow_the_stages(spark):
     from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
-    df = spark.createDataFrame([(i, s) for i, s in SENTENCES] + [(4, "  two  leading"), (5, "tail  ")],
+    df = spark.createDataFrame([(i, s) for i, s in SENTENCES] + [(14, "  two  leading"), (15, "tail  ")],
                                "label int, sentence string")
     for length in (0, 2):
         stage = RegexTokenizer(inputCol="sentence", outputCol="t", minTokenLength=length).transform(df)
         both = stage.select("t", tokenize(F.col("sentence"), min_length=length).alias("mine"))
         assert all(r["t"] == r["mine"] for r in both.collect()), length
-    words = ["i", "the", "for"]
+    words = ["no", "the", "so"]
     clean = StopWordsRemover(inputCol="t", outputCol="c", stopWords=words).transform(stage)
     grams = NGram(inputCol="c", outputCol="g", n=2).transform(clean)
     both = grams.select("c", "g", remove_stop_words(F.col("t"), words).alias("mc"),

@@ -21,17 +21,17 @@ NAN = float("nan")
 @pytest.fixture(scope="module")
 def basic(spark):
     return spark.createDataFrame(
-        [(0, 0.0, "guitars", "drums", 3, True), (1, 1.0, "piano", "trumpet", 4, False),
-         (2, 2.0, "bass", "cymbals", 5, True)],
-        "numbers int, doubles double, words string, more string, longs bigint, booleans boolean")
+        [(7, 0.25, "oak", "moss", 40, False), (8, 1.5, "elm", "fern", 50, True),
+         (12, 3.25, "ash", "ivy", 61, False)],
+        "plot int, width double, tree string, below string, height bigint, felled boolean")
 
 
 def test_select_drop_rename(basic):
-    assert SelectColumns(cols=["words", "numbers"]).transform(basic).columns == ["words", "numbers"]
-    assert DropColumns(cols=["words", "more"]).transform(basic).columns == [
-        "numbers", "doubles", "longs", "booleans"]
-    assert RenameColumn(inputCol="words", outputCol="w").transform(basic).columns[2] == "w"
-    for stage in (SelectColumns(cols=["nope"]), DropColumns(cols=["nope", "words"])):
+    assert SelectColumns(cols=["tree", "plot"]).transform(basic).columns == ["tree", "plot"]
+    assert DropColumns(cols=["tree", "below"]).transform(basic).columns == [
+        "plot", "width", "height", "felled"]
+    assert RenameColumn(inputCol="tree", outputCol="w").transform(basic).columns[2] == "w"
+    for stage in (SelectColumns(cols=["nope"]), DropColumns(cols=["nope", "tree"])):
         with pytest.raises(ValueError, match="nope"):
             stage.transform(basic)
 
@@ -74,12 +74,11 @@ def test_folds_split_copies_of_one_row(spark):
         assert training.count() + validation.count() == 900
 
 
-# 12 rows, one of them all missing
-CLEAN = [(1, 2, 0.5, 0.6, 0), (1, 3, 0.4, None, None), (0, 4, 0.78, 0.99, 2), (1, 5, 0.12, 0.34, 3),
-         (0, 1, 0.5, 0.6, 0), (None, None, None, None, None), (0, 3, 0.78, 0.99, 2),
-         (1, 4, 0.12, 0.34, 3), (0, None, 0.5, 0.6, 0), (1, 2, 0.4, 0.5, None),
-         (0, 3, None, 0.99, 2), (1, 4, 0.12, 0.34, 3)]
-CLEAN_SCHEMA = "col1 int, col2 int, col3 double, col4 double, col5 int"
+# visits to a clinic; of one only the row is known
+CLEAN = [(3, 41, 61.5, None, 2), (None, 35, 70.25, 1.75, 1), (5, None, 82.0, 1.8, None),
+         (8, 29, None, 1.62, 4), (None, None, None, None, None), (2, 57, 59.75, 1.7, 4),
+         (11, 33, 90.5, None, 3)]
+CLEAN_SCHEMA = "visits int, age int, weight double, height double, grade int"
 
 
 @pytest.mark.parametrize("mode", ["Mean", "Median"])
@@ -137,24 +136,25 @@ def test_drop_missing(spark):
     assert values(drop_missing(df, ["x", "s"])) == [(1.0, "a")]
 
 
-NUMBERS = [(True, 1, 2, 3, 4, 5.0, 6.0, "7", "8.0"), (False, 9, 10, 11, 12, 14.5, 15.5, "16", "17.456"),
-           (True, -127, 345, 100099, 2 ** 40 + 99, 18.91, 20.21, "100", "200.12345")]
-NUMBER_SCHEMA = ("bool boolean, byte tinyint, short smallint, int int, long bigint, float float, "
-                 "double double, intstring string, doublestring string")
+# two rows that fit every type, one that wraps around in the narrow ones
+NUMBERS = [(False, 6, 20, 31, 45, 2.25, 3.75, "52", "61.5"), (True, -40, 77, -88, 90, -1.5, 0.75, "-13", "-99.9"),
+           (True, -100, 1000, 70000, 2 ** 33 + 5, 130.5, -7.25, "300", "-129.5")]
+NUMBER_SCHEMA = ("flag boolean, tiny tinyint, small smallint, whole int, wide bigint, single float, "
+                 "precise double, wholetext string, parttext string")
 
 
 @pytest.mark.parametrize("target,third", [
-    ("byte", (1, -127, 89, 3, 99, 18, 20, 100, -56)),
-    ("short", (1, -127, 345, -30973, 99, 18, 20, 100, 200)),
-    ("integer", (1, -127, 345, 100099, 99, 18, 20, 100, 200)),
-    ("long", (1, -127, 345, 100099, 2 ** 40 + 99, 18, 20, 100, 200)),
+    ("byte", (1, -100, -24, 112, 5, -126, -7, 44, 127)),
+    ("short", (1, -100, 1000, 4464, 5, 130, -7, 300, -129)),
+    ("integer", (1, -100, 1000, 70000, 5, 130, -7, 300, -129)),
+    ("long", (1, -100, 1000, 70000, 2 ** 33 + 5, 130, -7, 300, -129)),
 ])
 def test_convert_numbers(spark, target, third):
     df = spark.createDataFrame(NUMBERS, NUMBER_SCHEMA)
     out = DataConversion(col=",".join(df.columns), convertTo=target).transform(df)
     rows = [tuple(r) for r in out.collect()]
-    assert rows[0] == (1, 1, 2, 3, 4, 5, 6, 7, 8)
-    assert rows[1] == (0, 9, 10, 11, 12, 14, 15, 16, 17)
+    assert rows[0] == (0, 6, 20, 31, 45, 2, 3, 52, 61)
+    assert rows[1] == (1, -40, 77, -88, 90, -1, 0, -13, -99)
     assert rows[2] == third
 
 
@@ -170,39 +170,40 @@ def test_convert_edges(spark):
 
 
 def test_convert_times(spark):
-    texts = ["1986-07-27 12:48:00.123", "1988-11-01 11:08:48.456", "1993-08-06 15:32:00.789"]
+    texts = ["2003-02-28 23:59:59.250", "1999-12-31 00:00:00.001", "2020-02-29 06:07:08.900"]
     form = "yyyy-MM-dd HH:mm:ss.SSS"
-    df = spark.createDataFrame([(t,) for t in texts], "Col0 string")
-    moments = DataConversion(col="Col0", convertTo="date", dateTimeFormat=form).transform(df)
-    back = DataConversion(col="Col0", convertTo="string", dateTimeFormat=form).transform(moments)
+    df = spark.createDataFrame([(t,) for t in texts], "moment string")
+    moments = DataConversion(col="moment", convertTo="date", dateTimeFormat=form).transform(df)
+    back = DataConversion(col="moment", convertTo="string", dateTimeFormat=form).transform(moments)
     assert [r[0] for r in back.collect()] == texts
-    longs = DataConversion(col="Col0", convertTo="long").transform(moments)
+    longs = DataConversion(col="moment", convertTo="long").transform(moments)
     want = [int(datetime.datetime.fromisoformat(t + "000+00:00").timestamp() * 1000 + 0.5) for t in texts]
     assert [r[0] for r in longs.collect()] == want
-    assert values(DataConversion(col="Col0", convertTo="date").transform(longs)) == values(moments)
+    assert values(DataConversion(col="moment", convertTo="date").transform(longs)) == values(moments)
     with pytest.raises(TypeError):
-        DataConversion(col="Col0", convertTo="double").transform(moments)
+        DataConversion(col="moment", convertTo="double").transform(moments)
 
 
-MAP = {"happy": "sad", "hater": "sap", "sad": "sap", "sad doy": "sap"}
+MAP = {"river": "stream", "bridge": "ford", "stream": "creek", "stream bed": "valley"}
 
 
 def test_replace_words(spark):
-    df = spark.createDataFrame([("The happy sad boy drank sap",), ("The hater sad doy drank sap",),
-                                ("foo",), ("The hater",), ("",), ("saddest\nhappyish_9 sad",), (None,)],
-                               "words1 string")
-    out = TextPreprocessor(inputCol="words1", outputCol="w", map=MAP).transform(df)
+    df = spark.createDataFrame([("A river by the stream met a ford",), ("Old bridge over stream bed here",),
+                                ("none",), ("my bridge",), ("",), ("streamer\nriverside_9 stream",), (None,)],
+                               "place string")
+    out = TextPreprocessor(inputCol="place", outputCol="w", map=MAP).transform(df)
     assert [r["w"] for r in out.collect()] == [
-        "The sad sap boy drank sap", "The sap sap drank sap", "foo", "The sap", "", "sap\nsad sap", None]
+        "A stream by the creek met a ford", "Old ford over valley here", "none", "my ford", "",
+        "creek\nstream creek", None]
 
 
 def test_replace_words_normalized(spark):
-    df = spark.createDataFrame([("HAPPY Sad hater É",)], "t string")
+    df = spark.createDataFrame([("RIVER Stream bridge É",)], "t string")
     got = df.select(replace_words(F.col("t"), MAP, "lowerCase"), replace_words(F.col("t"), MAP, "upperCase"),
                     replace_words(F.col("t"), MAP), replace_words(F.col("t"), {"é": "e"}, "lowerCase"),
                     replace_words(F.col("t"), {})).first()
-    assert tuple(got) == ("sad sap sap É", "sad sap sap É", "HAPPY Sad sap É", "HAPPY Sad hater e",
-                          "HAPPY Sad hater É")
+    assert tuple(got) == ("stream creek ford É", "stream creek ford É", "RIVER Stream ford É",
+                          "RIVER Stream bridge e", "RIVER Stream bridge É")
 
 
 def test_replace_words_special_characters_and_long_text(spark):
@@ -215,31 +216,31 @@ def test_replace_words_special_characters_and_long_text(spark):
 
 
 def test_user_functions(basic, tmp_path):
-    stage = UDFTransformer(inputCols=["numbers", "doubles"], outputCol="out", udf=lambda a, b: a + b)
-    assert [r["out"] for r in stage.transform(basic).collect()] == [0.0, 2.0, 4.0]
+    stage = UDFTransformer(inputCols=["plot", "width"], outputCol="out", udf=lambda a, b: a + b)
+    assert [r["out"] for r in stage.transform(basic).collect()] == [7.25, 9.5, 15.25]
     stage.save(str(tmp_path / "u"))
     assert values(UDFTransformer.load(str(tmp_path / "u")).transform(basic)) == values(stage.transform(basic))
     with pytest.raises(ValueError):
-        UDFTransformer(inputCol="numbers", inputCols=["numbers"], outputCol="o", udf=lambda a: a)
+        UDFTransformer(inputCol="plot", inputCols=["plot"], outputCol="o", udf=lambda a: a)
     row_function = F.udf(lambda v: v + 1, "int")
-    assert UDFTransformer(inputCol="numbers", outputCol="o", udf=row_function).transform(
-        basic).agg(F.sum("o")).first()[0] == 6
+    assert UDFTransformer(inputCol="plot", outputCol="o", udf=row_function).transform(
+        basic).agg(F.sum("o")).first()[0] == 30
     assert ColumnFunction(function=lambda d: d.limit(1)).transform(basic).count() == 1
 
 
 def test_many_columns(basic, tmp_path):
-    adapter = MultiColumnAdapter(baseStage=ValueIndexer(), inputCols=["words", "more"],
+    adapter = MultiColumnAdapter(baseStage=ValueIndexer(), inputCols=["tree", "below"],
                                  outputCols=["w", "m"])
     out = adapter.fit(basic).transform(basic)
-    assert values(out, "words", "w", "m") == [("bass", 0, 0), ("guitars", 1, 1), ("piano", 2, 2)]
-    fused = MultiColumnAdapter(baseStage=StringIndexer(), inputCols=["words", "more"],
+    assert values(out, "tree", "w", "m") == [("ash", 0, 1), ("elm", 1, 0), ("oak", 2, 2)]
+    fused = MultiColumnAdapter(baseStage=StringIndexer(), inputCols=["tree", "below"],
                                outputCols=["w", "m"])
     assert len(fused.stages()) == 1 and fused.fit(basic).transform(basic).columns[-2:] == ["w", "m"]
     adapter.save(str(tmp_path / "a"))
     again = MultiColumnAdapter.load(str(tmp_path / "a"))
     assert values(again.fit(basic).transform(basic)) == values(out)
     with pytest.raises(ValueError):
-        adapter.setParams(outputCols=["words", "m"]).fit(basic)
+        adapter.setParams(outputCols=["tree", "m"]).fit(basic)
     with pytest.raises(ValueError):
         MultiColumnAdapter(baseStage=SelectColumns(cols=["a"]))
 
