@@ -15,7 +15,7 @@ from tablewright.base import HasInputCol, HasOutputCol, require_columns, unused_
 from tablewright.functions import roles
 from tablewright.plans.lookup import lookup_join
 from tablewright.plans.ordering import dense_positions
-from tablewright.plans.staging import new_path, stage_table
+from tablewright.plans.staging import stage_table
 
 LEVEL_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
                "string": T.StringType(), "boolean": T.BooleanType()}
@@ -57,9 +57,7 @@ class ValueIndexer(HasInputCol, HasOutputCol, Estimator):
             return model.setLevels(sort_levels([r[0] for r in first]))
         staged = stage_table(counts, "levels")
         known = staged.filter(F.col("level").isNotNull())
-        path = new_path(df.sparkSession, "level-index")
-        dense_positions(known, "level", "position").write.parquet(path)
-        model.tablePath = path
+        model.levelTable = stage_table(dense_positions(known, "level", "position"), "level-index")
         model.tableCount = known.count()
         model.nullExists = staged.filter(F.col("level").isNull()).limit(1).count() > 0
         return model
@@ -69,7 +67,9 @@ class ValueIndexerModel(HasInputCol, HasOutputCol, Model):
     """Value to index. Null and NaN get the number of levels; unseen values get the same,
     or one more when there was a null level."""
 
-    _state_names = ("levels", "dataType", "tablePath", "tableCount", "nullExists")
+    _state_names = ("levels", "dataType", "tableCount", "nullExists")
+    # saved with the model
+    _nested_names = ("levelTable",)
 
     def setLevels(self, levels: list) -> "ValueIndexerModel":
         self.levels = list(levels)
@@ -82,10 +82,14 @@ class ValueIndexerModel(HasInputCol, HasOutputCol, Model):
         self.dataType = dtype if isinstance(dtype, str) else dtype.simpleString()
         return self
 
+    def table_folder(self) -> str:
+        """Where the level table lies: inside the saved model once it was loaded from there."""
+        return self.levelTable.inputFiles()[0].rsplit("/", 1)[0]
+
     def level_table(self, spark) -> DataFrame:
         """Levels and positions as a table."""
-        if self.tablePath:
-            return spark.read.parquet(self.tablePath).select("level", "position")
+        if self.levelTable is not None:
+            return self.levelTable.select("level", "position")
         known = [(v, i) for i, v in enumerate(v for v in self.levels if v is not None)]
         schema = T.StructType([T.StructField("level", LEVEL_TYPES[self.dataType]),
                                T.StructField("position", T.LongType())])
@@ -116,7 +120,7 @@ class ValueIndexerModel(HasInputCol, HasOutputCol, Model):
             if self.levels is not None:
                 table, count_col, small = self.level_table(df.sparkSession), None, True
             else:
-                table, count_col, small = df.sparkSession.read.parquet(self.tablePath), rows, False
+                table, count_col, small = self.levelTable, rows, False
                 table = table.withColumnRenamed("n", rows)
             table = table.withColumnsRenamed({"level": key, "position": position})
             joined = lookup_join(df.withColumn(key, source), table, [key], "left",
@@ -132,7 +136,7 @@ class ValueIndexerModel(HasInputCol, HasOutputCol, Model):
                 *[f"`{c}`" for c in order if c in kept or c == target])
         if self.levels is not None:
             return roles.set_levels(out, target, self.levels, dtype)
-        return roles.set_level_table(out, target, self.tablePath, count, has_null, dtype)
+        return roles.set_level_table(out, target, self.table_folder(), count, has_null, dtype)
 
 
 def _index_tree(column: Column, levels: list, unseen: int) -> Column:

@@ -82,7 +82,14 @@ def test_expression_join_and_table_agree(spark, monkeypatch, tmp_path):
     back = IndexToValue(inputCol="i", outputCol="b").transform(out)
     assert all(r["v"] == r["b"] for r in back.collect())
     in_table.save(str(tmp_path / "m"))
-    assert values(ValueIndexerModel.load(str(tmp_path / "m")).transform(df)) == want
+    again = ValueIndexerModel.load(str(tmp_path / "m"))
+    # the levels come from the saved model, also for the way back
+    assert again.table_folder().endswith("/m/nested/levelTable")
+    out = again.transform(df)
+    assert values(out) == want
+    assert roles.categorical_info(out.schema, "i")["table"] == again.table_folder()
+    back = IndexToValue(inputCol="i", outputCol="b").transform(out)
+    assert all(r["v"] == r["b"] for r in back.collect())
 
 
 def test_unsupported_level_type(spark):
