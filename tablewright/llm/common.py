@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tablewright.plans.staging import new_path
 
-#: Rows that a table may have to be broadcast after its rows were counted. The tables in
-#: question have a few numbers and one short text per row, so that this is some 10 MB.
-BROADCAST_ROWS = 50_000
+#: Bytes of a table's keys, and of ``ROW_BYTES`` for the numbers beside each, up to which it is
+#: broadcast; both are summed over the whole table first.
+BROADCAST_BYTES, ROW_BYTES = 8 << 20, 128
 
 
 def ship_with_job() -> None:
@@ -24,36 +26,50 @@ def ship_with_job() -> None:
 
 
 def lookup(big: DataFrame, table: DataFrame, key: str, spread: Column, salts: int = 32,
-           bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join of ``table`` (one row per ``key``, written, no null keys) to ``big``.
+           bound: int = BROADCAST_BYTES) -> DataFrame:
+    """Left join of ``table`` (one row per ``key``, written, no null keys, a few numbers beside
+    the key) to ``big``.
 
-    Up to ``bound`` counted rows it is broadcast. Beyond, every key is dealt to ``salts``
+    Up to ``bound`` measured bytes it is broadcast. Beyond, every key is dealt to ``salts``
     keys by the hash of ``spread``, so that one hot key is no single group; rows of ``big``
     without a key match nothing and are spread in the same way.
     """
-    if table.count() <= bound:
+    size = table.agg(F.sum(F.octet_length(F.col(key).cast("string")) + ROW_BYTES).alias("b")).first()["b"]
+    if (size or 0) <= bound:
         return big.join(F.broadcast(table), key, "left")
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
             .join(salted, [key, "_salt"], "left").drop("_salt"))
 
 
-_written: list[str] = []
+#: Where the paths of written tables are noted, innermost last; see ``noted``.
+_notes: list[list[str]] = []
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     path, schema = new_path(df.sparkSession, f"llm-{label}"), df.schema
+    if _notes:
+        _notes[-1].append(path)
     df.write.parquet(path)
-    _written.append(path)
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Remove the tables that ``staged`` has written so far: for callers that have written the
-    results which read them."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """The paths that ``staged`` writes to inside of the block are added to ``paths``."""
+    _notes.append(paths)
+    try:
+        yield
+    finally:
+        _notes.pop()
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables and empty the list: for callers that have written all results
+    which read them."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -100,15 +100,18 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
         .otherwise("allow"))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_q``, ``_base``, ``_failed``, ``_host``, ``_rate``, ``_verdict``, ``_kept``.
+def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (None: all) with ``_q``, ``_base``, ``_failed``, ``_host``,
+    ``_rate``, ``_verdict``, ``_kept``.
 
     The measured rows are written once: the texts are read a single time, the sums by host
     and the final rows both come from the written table.
     """
+    columns = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
     measured = staged(
         measure(docs).withColumn("_base", base_failed()).withColumn("_failed", rule_failed())
-        .withColumn("_host", F.coalesce("source", F.lit(""))), "measured")
+        .withColumn("_host", F.coalesce("source", F.lit("")))
+        .select(*columns, "_q", "_base", "_failed", "_host"), "measured")
     verdicts = staged(host_verdicts(measured).select(
         "_host", F.col("rate").alias("_rate"), F.col("verdict").alias("_verdict")), "verdicts")
     spread = F.struct("_q.word_chars", "_q.n_words", "_q.n_symbols")
@@ -119,7 +122,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """One row per document: measures, verdicts."""
-    return judge(docs.select("doc_id", "text", "source")).select(
+    return judge(docs.select("doc_id", "text", "source"), keep=["doc_id"]).select(
         "doc_id", *[f"_q.{c}" for c in FEATURES if c != "n_lines"],
         F.col("_base").alias("base_failed"), F.col("_kept").alias("kept"),
         F.col("_verdict").alias("host_verdict"))
