@@ -92,12 +92,17 @@ def with_posteriors(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list
 
 
 def rate(gradients: list[list[float]]) -> Column:
-    """A document's rate after the steps with these gradients, from its posterior ``_p``."""
-    r = F.lit(1.0)
-    for g in gradients:
-        pull = sum((F.lit(v) * F.col("_p")[d] for d, v in enumerate(g)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), F.lit(1 - RIDGE) * r + F.lit(RIDGE) - pull)
-    return r
+    """A document's rate after the steps with these gradients, from its posterior ``_p``. The
+    steps are a constant that is folded over, so that further steps make no larger plan."""
+    if not gradients:
+        return F.lit(1.0)
+
+    def step(r: Column, g: Column) -> Column:
+        pull = sum((g[d] * F.col("_p")[d] for d in range(len(gradients[0]))), F.lit(0.0))
+        return F.greatest(F.lit(0.0), F.lit(1 - RIDGE) * r + F.lit(RIDGE) - pull)
+
+    steps = F.array(*[F.array(*[F.lit(float(v)) for v in g]) for g in gradients])
+    return F.aggregate(steps, F.lit(1.0), step)
 
 
 def fit_rates(table: DataFrame, domains: list[str], targets: dict[str, float]) -> list[list[float]]:
