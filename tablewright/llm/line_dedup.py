@@ -1,14 +1,18 @@
-"""Removal of repeated passages by content-defined chunks of lines.
+"""Removal of repeated passages by rolling hashes of lines.
 
-A text's lines are hashed, and a rolling hash over the last ``WINDOW`` line hashes says after
-which lines a chunk ends. A boundary depends on the lines before it alone, so a passage is cut
-in the same way wherever it stands. Chunks of several lines whose hash occurs more than once
-in the corpus are compared byte by byte (they are grouped by their text), and of equal chunks
-the first one - smallest document id, then smallest line - stays.
+A text's lines are hashed, and a rolling hash over ``WINDOW`` lines is taken at every line, so
+that a passage of ``WINDOW`` or more lines has the same hashes wherever it stands. Windows
+whose hash occurs more than once in the corpus are compared byte by byte (they are grouped by
+their text). A line goes if one of its windows stands at an earlier place - smaller document
+id, then smaller line - as well: overlapping windows join to the whole run that two places have
+in common, and nothing beyond it. The first place of every line stays.
+
+Lines without a word are no passage by themselves: a window has to hold another line, and the
+blank lines between two lines go with the two.
 
 Defined results: a null text has no lines and stays null, an empty one stays empty; documents
 without an id are left as they are; repeated rows share their decisions, as they share id and
-lines; of a chunk that stands twice in a document the first stays; extra columns are not read
+lines; of a passage that stands twice in a document the first stays; extra columns are not read
 by ``dedup_report``; an empty table gives an empty result. Lines are compared whole.
 """
 
@@ -23,83 +27,86 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import ship_with_job, staged
 
+#: Lines of the shortest passage that is found.
 WINDOW = 2
-#: A chunk ends where the rolling hash has this remainder: every fourth line on average.
-DIVISOR = 4
-LEAST_LINES = 2
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
 
-def cuts(lines: list[str], window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int]]:
-    """(first line, number of lines) of the text's chunks."""
+def windows(lines: list[str]) -> list[tuple[int, int, int]]:
+    """(first line, number of lines, signed hash) of the text's windows: every ``WINDOW`` lines
+    that are not all blank, and every run of blank lines with the line before and after it."""
     hashes = [xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines]
-    found, start, rolling = [], 0, 0
-    leaves = pow(_BASE, window, 1 << 64)
-    for i, h in enumerate(hashes):
-        rolling = (rolling * _BASE + h) & _MASK
-        if i >= window:
-            rolling = (rolling - hashes[i - window] * leaves) & _MASK
-        if (rolling >> 32) % divisor == 0:
-            found.append((start, i + 1 - start))
-            start = i + 1
-    if start < len(lines):
-        found.append((start, len(lines) - start))
+    spans, before = [], None
+    for i, line in enumerate(lines):
+        if line and not line.isspace():
+            if before is not None and i - before > WINDOW:
+                spans.append((before, i + 1 - before))
+            before = i
+        if i + 1 >= WINDOW and before is not None and before > i - WINDOW:
+            spans.append((i + 1 - WINDOW, WINDOW))
+    found = []
+    for first, count in spans:
+        rolling = count
+        for h in hashes[first:first + count]:
+            rolling = (rolling * _BASE + h) & _MASK
+        found.append((first, count, rolling - ((rolling >> 63) << 64)))
     return found
 
 
-def _chunks(with_text: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].astype("int64"), batch["text"]):
-                lines = text.split("\n")
-                if len(lines) < LEAST_LINES:
-                    continue
-                for first, count in cuts(lines):
-                    if count < LEAST_LINES:
-                        continue
-                    chunk = "\n".join(lines[first:first + count])
-                    digest = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"))
-                    digest -= (digest >> 63) << 64
-                    rows.append((doc_id, first, count, digest, chunk) if with_text
-                                else (doc_id, first, count, digest))
-            yield pd.DataFrame(rows, columns=["doc_id", "first", "lines", "hash", *["chunk"] * with_text])
-    return run
-
-
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, first, lines): the chunks to remove, written."""
+def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(doc_id, first, h) for doc_id, text in zip(batch["doc_id"].astype("int64"), batch["text"])
+                for first, _, h in windows(text.split("\n"))]
+        yield pd.DataFrame(rows, columns=["doc_id", "first", "hash"])
+
+
+def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The windows whose hash is among the document's repeated ones, with their text."""
+    for batch in batches:
+        rows = []
+        for doc_id, text, repeated in zip(batch["doc_id"].astype("int64"), batch["text"], batch["repeated"]):
+            lines, repeated = text.split("\n"), set(repeated)
+            rows += [(doc_id, first, count, h, "\n".join(lines[first:first + count]))
+                     for first, count, h in windows(lines) if h in repeated]
+        yield pd.DataFrame(rows, columns=["doc_id", "first", "lines", "hash", "passage"])
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, first, lines): the windows to remove, written."""
     ship_with_job()
     texts = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    schema = "doc_id long, first int, lines int, hash long"
-    light = staged(texts.mapInPandas(_chunks(False), schema), "chunks")
-    often = staged(light.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"),
-                   "chunk-hashes")
-    # byte comparison: equal chunks are those with the same text; a hot one is summed per task first
+    light = staged(texts.mapInPandas(_hashed, "doc_id long, first int, hash long"), "windows")
+    place = F.struct("doc_id", "first")
+    often = staged(light.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+                   .filter("a < b").select("hash"), "window-hashes")
+    held = staged(light.join(often.hint("merge"), "hash", "left_semi").select("doc_id", "hash"), "repeated")
+    by_doc = held.groupBy("doc_id").agg(F.collect_set("hash").alias("repeated"))  # a document's own lines
+    # byte comparison: equal windows are those with the same text; a hot one is summed per task first
     repeats = staged(
-        texts.mapInPandas(_chunks(True), f"{schema}, chunk string").join(often.hint("merge"), "hash", "left_semi")
-        .withColumn("same", F.sha2("chunk", 256)).select("doc_id", "first", "lines", "hash", "chunk", "same"),
-        "repeats")
-    exact = staged(repeats.groupBy("hash", "chunk").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("kept"),
-        F.first("same").alias("same")).filter("n > 1").drop("chunk", "n"), "exact")
+        texts.join(by_doc.hint("merge"), "doc_id").select("doc_id", "text", "repeated")
+        .mapInPandas(_passages, "doc_id long, first int, lines int, hash long, passage string")
+        .withColumn("same", F.sha2("passage", 256)), "repeats")
+    exact = staged(repeats.groupBy("hash", "passage").agg(
+        F.count("*").alias("n"), F.min(place).alias("kept"),
+        F.first("same").alias("same")).filter("n > 1").drop("passage", "n"), "exact")
     there = (repeats["hash"] == exact["hash"]) & (repeats["same"] == exact["same"])
     is_kept = (F.col("kept.doc_id") == F.col("doc_id")) & (F.col("kept.first") == F.col("first"))
-    return staged(repeats.drop("chunk").join(exact, there).filter(~is_kept)
+    return staged(repeats.drop("passage").join(exact, there).filter(~is_kept)
                   .select("doc_id", "first", "lines").distinct(), "removed")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated chunks taken out of ``text``; all rows and columns stay.
+    """``docs`` with the repeated passages taken out of ``text``; all rows and columns stay.
     ``_removed`` is the number of lines that went."""
-    gone = repeated_chunks(docs).groupBy("doc_id").agg(
-        F.collect_list(F.struct("first", "lines")).alias("_gone"), F.sum("lines").alias("_removed"))
+    # windows overlap: a document's removed lines are counted once
+    gone = repeated_windows(docs).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(
+        F.sequence("first", F.expr("first + lines - 1"))))).alias("_gone")).withColumn("_removed", F.size("_gone"))
     # a merge join at every size: the list of documents that lose lines grows with the corpus
     joined = docs.join(gone.withColumnRenamed("doc_id", "_id").hint("merge"), docs["doc_id"] == F.col("_id"), "left")
     left = F.expr(r"""
-        array_join(filter(split(text, '\n'), (l, i) ->
-          NOT exists(_gone, r -> i >= r.first AND i < r.first + r.lines)), '\n')""")
+        array_join(transform(array(split(text, '\n')), ls ->
+          transform(array_except(sequence(0, size(ls) - 1), _gone), i -> ls[i]))[0], '\n')""")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
     return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
                          F.coalesce("_removed", F.lit(0)).alias("_removed"))

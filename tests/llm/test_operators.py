@@ -189,6 +189,32 @@ def test_line_dedup(spark, empty):
     assert len(rows_of(line_dedup.dedup_report(df))) == len(rows)
 
 
+def test_line_dedup_finds_every_short_passage(spark):
+    """Planted passages of 2 to 6 lines: exactly the lines of brute force go."""
+    rows = []
+    for i in range(60):
+        passage = [f"passage {i} line {k} " + " ".join(WORDS[(i + k + j) % len(WORDS)] for j in range(28))
+                   for k in range(2 + i % 5)]
+        for copy in range(2):
+            own = [f"own line {i} {copy} {k}" for k in range(6)]
+            rows.append((2 * i + copy, own[:1 + i % 4] + passage + own[1 + i % 4:]))
+    rows += [(900, ["", "", "", "once"]), (901, ["other", "", "", ""]), (902, ["a", "", "", "", "b", "x"]),
+             (903, ["y", "a", "", "", "", "b"]), (904, ["p", "q", "r"]), (905, ["q", "r", "s"]), (906, ["p", "q", "r", "s"])]
+    first, expected = {}, {}
+    for i, lines in sorted(rows):
+        gone = set()
+        for at in range(len(lines)):
+            for to in range(at + 2, len(lines) + 1):
+                part = tuple(lines[at:to])
+                if any(part) and (i, at) != first.setdefault(part, (i, at)):
+                    gone.update(range(at, to))
+        expected[i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone))
+    df = spark.createDataFrame([(i, "\n".join(lines)) for i, lines in rows], "doc_id long, text string")
+    assert {r["doc_id"]: (r["text"], r["_removed"]) for r in line_dedup.remove_repeats(df).collect()} == expected
+    assert all(expected[2 * i + 1][1] == 2 + i % 5 and expected[2 * i][1] == 0 for i in range(60))
+    assert {line for _, lines in rows for line in lines} == {x for t, _ in expected.values() for x in t.split("\n")}
+
+
 def test_decontamination(spark, empty):
     items = [(1, PROSE[2]), (2, "the quick brown fox jumps over nine lazy dogs today. The answer is forty two."),
              (3, None), (4, "tiny item")]
