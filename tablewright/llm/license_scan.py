@@ -1,6 +1,6 @@
 """License scan by ordered signature rules (DataFrame and SQL functions only).
 
-A text that has one of the license stems is held against the rules whose keyword it
+A text is held against the rules whose keyword - a literal of all the rule's matches - it
 contains. Every match is an interval of the text. A detection goes if another one with the
 same or a higher priority contains its interval; of equal intervals the higher priority,
 then the earlier rule stays. All of it happens inside the row, nothing is shuffled.
@@ -19,7 +19,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.license_rules import STEMS, WEIGHT, rules
+from tablewright.llm.license_rules import WEIGHT, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed by the result's definition: a word before A-Z are lower-cased, and after.
@@ -34,9 +34,13 @@ def _quoted(text: str) -> str:
 
 @cache
 def _rule_array() -> str:
-    return "array(" + ", ".join(
-        f"named_struct('l', {_quoted(r.label)}, 'p', {r.priority}, 'k', {_quoted(r.keyword)},"
-        f" 'x', {_quoted(r.pattern)}, 'o', {i})" for i, r in enumerate(rules())) + ")"
+    """The rules by keyword, so that each keyword is looked for once."""
+    groups: dict[str, list[str]] = {}
+    for i, r in enumerate(rules()):
+        groups.setdefault(r.keyword, []).append(
+            f"named_struct('l', {_quoted(r.label)}, 'p', {r.priority}, 'x', {_quoted(r.pattern)}, 'o', {i})")
+    return "array(" + ", ".join(f"named_struct('k', {_quoted(k)}, 'r', array({', '.join(own)}))"
+                                for k, own in groups.items()) + ")"
 
 
 _HIT = "struct<b: int, e: int, p: int, o: int, l: string>"
@@ -44,7 +48,7 @@ _HIT = "struct<b: int, e: int, p: int, o: int, l: string>"
 
 # all matches of the rules in ``t``: begin and end in code points, priority, rule order, label
 _HITS = """
-flatten(transform(filter({rules}, r -> contains(t, r.k)), r ->
+flatten(transform(flatten(transform(filter({rules}, k -> contains(t, k.k)), k -> k.r)), r ->
   aggregate(
     zip_with(regexp_extract_all(t, r.x, 0), split(t, r.x), (m, g) -> named_struct('m', m, 'g', g)),
     named_struct('at', 0, 'out', cast(array() AS array<{hit}>)),
@@ -93,10 +97,10 @@ filter(transform({words}, (w, i) -> CASE
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_n_words``, ``_base`` (places of the phrases) and ``_spans`` (detections
     that stay: begin, end, priority, label)."""
-    gated = F.col(f"`{text}`").rlike(STEMS)
-    lower = F.when(gated, F.translate(F.col(f"`{text}`"), UPPER, LOWER))
-    words = (f"transform(array(array_remove(split(coalesce(_lower, ''), {_quoted(_BETWEEN)}), '')),"
-             f" ws -> {_base('ws')})[0]")
+    lower = F.translate(F.col(f"`{text}`"), UPPER, LOWER)
+    # every phrase has this word, so other texts need not be cut to words
+    words = (f"transform(array(array_remove(split(if(contains(_lower, 'license'), _lower, ''),"
+             f" {_quoted(_BETWEEN)}), '')), ws -> {_base('ws')})[0]")
     return (docs.withColumn("_lower", lower)
             .withColumn("_n_words", F.regexp_count(
                 F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(_ANY_WORD)).cast("long"))

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 from tablewright.llm import (
-    decontaminate, language_id, license_scan, line_dedup, mixing, quality_model, quality_rules,
+    decontaminate, language_id, license_rules, license_scan, line_dedup, mixing, quality_model, quality_rules,
     sharding, simhash, warc,
 )
 
@@ -101,6 +101,52 @@ def test_license_containment(spark):
     assert [(s["l"], s["b"]) for s in spans] == [("gpl-3.0", 0), ("mit", text.index("SPDX"))]
 
 
+def example(parsed, pick, blank):
+    """A text that the parsed pattern matches; ``pick`` chooses among alternatives and repeats."""
+    out = ""
+    for kind, arg in parsed:
+        kind = str(kind)
+        if kind in ("LITERAL", "NOT_LITERAL"):
+            out += chr(arg) if kind == "LITERAL" else "x"
+        elif kind == "IN":
+            if str(arg[0][0]) == "CATEGORY":
+                out += {"CATEGORY_SPACE": blank, "CATEGORY_DIGIT": "1"}.get(str(arg[0][1]), "x")
+            else:
+                out += chr(arg[0][1][0] if str(arg[0][0]) == "RANGE" else arg[0][1])
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = arg
+            piece = example(inner, pick, blank)
+            space = piece.isspace() or piece.startswith(blank)
+            out += piece * (1 if space and most > 1 and least < 2 else least if pick % 2 else min(most, max(least, 1)))
+        elif kind == "SUBPATTERN":
+            out += example(arg[-1], pick, blank)
+        elif kind == "BRANCH":
+            out += example(arg[1][pick % len(arg[1])], pick, blank)
+    return out
+
+
+def test_license_rules_alone(spark):
+    """Every rule finds its own examples, bare and wrapped, with nothing else in the text."""
+    rows = []
+    for rule in license_rules.rules():
+        for pick in range(6):
+            for blank in (" ", "\n", " \n  "):
+                text = example(re._parser.parse(rule.pattern), pick, blank)
+                if re.fullmatch(rule.pattern, text):
+                    rows.append((rule.pattern, rule.keyword, text))
+    assert {r[0] for r in rows} == {r.pattern for r in license_rules.rules()}
+    assert all(keyword in text for _, keyword, text in rows)
+    rows += [("", "", t) for t in (
+        "CC BY-SA 4.0", "BSD-3-Clause", "cc0 1.0 universal", "wtfpl", "mit no attribution",
+        "proprietary and confidential", "Permission is hereby granted, free of charge", "do what the fuck you\nwant",
+        "as published by the Free Software Foundation", "affero general\npublic license version 3")]
+    df = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id long, text string")
+    for r in license_scan.scan(df).collect():
+        # its own match, or one that contains it
+        assert any(s["b"] == 0 and s["e"] == len(r["text"]) for s in r["_spans"]) or not rows[r["doc_id"]][0], r
+        assert r["_spans"], r
+
+
 def brute_fingerprint(text, width=4):
     words = spaced("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     if not words:
