@@ -277,6 +277,22 @@ def test_decontamination(spark, empty):
     assert not decontaminate.leaks(empty, bench).count()
 
 
+def test_decontamination_finds_short_items_at_every_offset(spark):
+    """Whole copies of items of 5 to 15 words, and an answered item of which 57% is there."""
+    items = [(n, " ".join(f"{WORDS[(n + k) % len(WORDS)]}{n}" for k in range(n))) for n in range(5, 16)]
+    question = [f"ask{k}" for k in range(16)]
+    items.append((90, " ".join(question) + ". " + " ".join(f"reply{k}" for k in range(5))))
+    rows = [(100 * n + at, " ".join([f"filler{(at * 31 + j * 7) % 97}" for j in range(40 + at)] + [t] + ["after"] * 9 + PROSE[:1]))
+            for n, t in items if n < 90 for at in range(8)]
+    # 7 and 5 of 21 words in their order, the answer whole, among words of every document
+    rows.append((9000, " ".join(PROSE[0].split()[:8] + question[:7] + [f"reply{k}" for k in range(5)] + PROSE[0].split()[:20])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(
+        df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found >= {(i, i // 100) for i, _ in rows}
+    assert all(item == doc // 100 for doc, item in found)
+
+
 def test_language(spark, docs, empty, sf):
     table = spark.read.parquet(f"{sf}/documents.parquet")
     found = language_id.language_report(table).join(table.select("doc_id", "lang"), "doc_id").filter("held_out")
