@@ -73,6 +73,19 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def pack(docs: DataFrame, *needed: str) -> tuple[DataFrame, str]:
+    """The columns ``needed`` of ``docs``, and all of its columns as one struct whose name is
+    returned: inside of it they can't clash with the columns that an operator adds."""
+    row = "_user_row"
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), *needed), row
+
+
+def unpack(rows: DataFrame, docs: DataFrame, row: str, **added: Column) -> DataFrame:
+    """The columns of ``docs`` out of the struct ``row`` of ``rows``, and ``added`` ones."""
+    return rows.select(*[F.col(row).getField(c).alias(c) for c in docs.columns],
+                       *[value.alias(name) for name, value in added.items()])
+
+
 def held_out(doc_id: Column) -> Column:
     """The rows that no model may learn from: a fifth of the ids, and rows without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))

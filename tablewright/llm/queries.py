@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import (
-    decontaminate, language_id, license_scan, line_dedup, mixing, quality_model, quality_rules, sharding, simhash, warc,
+    decontaminate, importance, language_id, license_scan, line_dedup, mixing, phrases, quality_model, quality_rules,
+    secret_scan, sharding, simhash, warc,
 )
 from tablewright.sources.tables import load_table
 
@@ -83,3 +84,43 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
 FROM p JOIN g USING (d)""")
 def op10(spark, sf_dir):
     return warc.capture_report(load_table(spark, sf_dir, "pages"))
+
+
+@query("op11_importance_resampling")
+def op11(spark, sf_dir):
+    return importance.resample_report(load_table(spark, sf_dir, "documents"),
+                                      load_table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_secret_scan")
+def op12(spark, sf_dir):
+    return secret_scan.secret_report(load_table(spark, sf_dir, "documents"))
+
+
+@query("op13_phrase_mining", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+             SELECT lang, unnest(regexp_split_to_array(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL)),
+     g AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+           FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                 FROM p, (SELECT unnest([1, 2, 3, 4]) AS k)) GROUP BY ALL),
+     n AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+     c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k > 1 AND f >= 30),
+     cut AS (SELECT lang, phrase, a, i, array_to_string(w[1:i], ' ') AS first, array_to_string(w[i + 1:], ' ') AS rest
+             FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+     s AS (SELECT cut.lang, cut.phrase, a, i, x.f AS l, y.f AS r,
+                  ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+           FROM cut JOIN g x ON x.lang = cut.lang AND x.phrase = cut.first
+                    JOIN g y ON y.lang = cut.lang AND y.phrase = cut.rest),
+     low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+     inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+                FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c))
+                GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM low LEFT JOIN inside USING (lang, phrase) JOIN n USING (lang)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000""")
+def op13(spark, sf_dir):
+    return phrases.collocations(load_table(spark, sf_dir, "documents"))
