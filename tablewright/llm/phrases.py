@@ -5,7 +5,7 @@ off after ``DEPTH`` words. All counting is by language.
 
 1. Vertical partitioning: words are counted, then pairs of frequent words. A prefix below ``LEAST`` ends
    there, as no phrase with it can be a candidate or a part of one. Pairs are the prefixes of the subtrees;
-   one with more than a quarter of a group's memory budget is extended by the next word, and again.
+   those of more than a quarter of a group's memory budget are extended to ``DEPTH`` words.
    Prefixes are dealt to groups by their hash, in as many groups as keep each one's total within the budget.
 2. Each group's suffixes, combined before they are shuffled, are sorted, which gives the leaves of its
    subtree from left to right with their totals. A node's count is the sum of its leaves; nodes above an
@@ -30,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import ship_with_job, staged
@@ -43,25 +43,38 @@ BITS, BLOCK_BITS = 1 << 25, 1 << 19
 #: Different phrases that a task counts before it hands them over.
 HELD = 1 << 19
 _SEED, _SALTS = 42, 64
-#: Letters A-Z in lower case, the characters that cut pieces as line ends.
-_CUT = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\x0b\x0c\r" else c for c in range(256))
+#: Stands for what cuts pieces; no byte of UTF-8.
+_BREAK = b"\xff"
+_CUT = bytes(c + 32 if 65 <= c <= 90 else 255 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
+_STRETCH = 1 << 20
 _COUNTS = "lang string, phrase string, n long"
 
 
-def pieces(text: str | None) -> Iterator[list[bytes]]:
-    """The words of every piece. Within a piece only blanks and tabs are white space."""
-    for piece in (text or "").encode("utf-8", "surrogatepass").translate(_CUT).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
+def words_of(text: str | None) -> Iterator[list[bytes]]:
+    """The words of the text with ``_BREAK`` between its pieces, in lists that end with a piece. Within a
+    piece only blanks and tabs are white space."""
+    data = (text or "").encode("utf-8", "surrogatepass").translate(_CUT)
+    at = 0
+    while at < len(data):
+        to = data.find(_BREAK, at + _STRETCH) + 1 or len(data)
+        yield data[at:to].replace(_BREAK, b" " + _BREAK + b" ").split()
+        at = to
 
 
-def _number(lang: str, phrase: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang.encode() + b"\t" + phrase, _SEED)
+def _number(lang: bytes, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(lang + b"\t" + word, _SEED)
 
 
-def _number_column() -> Column:
-    return F.xxhash64(F.concat_ws("\t", "lang", "phrase"))  # with the same seed
+def _joined(numbers: np.ndarray) -> np.ndarray:
+    """Numbers of the pairs of neighbouring words, from the numbers of the words."""
+    mixed = numbers[:-1] * np.uint64(0x9E3779B97F4A7C15) + numbers[1:]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _bits_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return numbers % np.uint64(BITS), (numbers >> np.uint64(32)) % np.uint64(BITS)
 
 
 # ---- tables of frequent prefixes ----
@@ -69,9 +82,11 @@ def _number_column() -> Column:
 def _bit_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(BITS, dtype=bool)
     for batch in batches:
-        h = batch.column(0).to_numpy().view(np.uint64)
-        for part in (h, h >> np.uint64(32)):
-            bits[(part % np.uint64(BITS)).astype(np.int64)] = True
+        for lang, phrase in zip(*(c.to_pylist() for c in batch.columns)):
+            own = lang.encode()
+            numbers = np.array([_number(own, w) for w in phrase.encode().split(b" ")], dtype=np.uint64)
+            for at in _bits_of(_joined(numbers) if len(numbers) > 1 else numbers):
+                bits[at] = True
     blocks = bits.reshape(-1, BLOCK_BITS)
     there = np.nonzero(blocks.any(axis=1))[0]
     for block in there:
@@ -92,53 +107,60 @@ def _joined_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def bit_table(frequent: DataFrame) -> bytes:
-    """``BITS`` bits, two of them set for each (lang, phrase) of a written table."""
+    """``BITS`` bits, two of them set for each word or pair of a written table (lang, phrase)."""
     table = np.zeros(BITS // 8, dtype=np.uint8)
     size = BLOCK_BITS // 8
-    for r in (frequent.select(_number_column()).mapInArrow(_bit_blocks, "block int, bits binary")
+    for r in (frequent.select("lang", "phrase").mapInArrow(_bit_blocks, "block int, bits binary")
               .repartition("block").mapInArrow(_joined_blocks, "block int, bits binary").collect()):
         table[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["bits"], dtype=np.uint8)
     return table.tobytes()
 
 
 class Known(dict):
-    """Whether a phrase of one language is in a bit table; answers are remembered up to a bound."""
+    """The numbers of the words of one language that are in a bit table, 0 for all other words.
+    Answers are remembered up to a bound."""
 
     def __init__(self, lang: str, table: bytes):
         super().__init__()
-        self.lang, self.table = lang, table
+        self.lang, self.table = lang.encode(), table
 
-    def __missing__(self, phrase: bytes) -> bool:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= HELD:
             self.clear()
-        h = _number(self.lang, phrase)
-        found = all(self.table[at >> 3] & (128 >> (at & 7)) for at in (h % BITS, (h >> 32) % BITS))
-        self[phrase] = found
-        return found
+        h = _number(self.lang, word) if word != _BREAK else 0
+        one, two = h % BITS, (h >> 32) % BITS
+        if not (self.table[one >> 3] & (128 >> (one & 7)) and self.table[two >> 3] & (128 >> (two & 7))):
+            h = 0
+        self[word] = h
+        return h
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 # ---- counting ----
 
-def _counter(found: Callable[[str], Callable[[list[bytes]], list]], names: list[str], types: list):
-    """Counts what ``found(lang)(words)`` lists for the pieces of each text. A listed thing is
-    a tuple of the columns after the language, or a phrase."""
+def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total: bool = False):
+    """Counts what ``found(lang)(words)`` lists for the words of each text, with ``total`` also the
+    sum of the counts beside the empty phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
         ways: dict[str, Callable] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
             for lang, counter in counts.items():
-                keys = list(counter)
-                columns = list(zip(*keys)) if keys and isinstance(keys[0], tuple) else [keys]
+                counter.pop(_BREAK, None)
+                if total:
+                    counter[b""] = sum(counter.values())
+                keys, n = list(counter), list(counter.values())
                 for at in range(0, len(keys), 1 << 16):
-                    part = [pa.array(c[at:at + (1 << 16)], t) for c, t in zip(columns, types)]
-                    size = len(part[0])
+                    part = pa.array(keys[at:at + (1 << 16)], pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * size, pa.string()), *part,
-                         pa.array([counter[k] for k in keys[at:at + (1 << 16)]], pa.int64())],
-                        ["lang", *names, "n"])
+                        [pa.array([lang] * len(part), pa.string()), part, pa.array(n[at:at + (1 << 16)], pa.int64())],
+                        ["lang", "phrase", "n"])
             counts.clear()
 
+        held = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 way = ways.get(lang)
@@ -146,72 +168,59 @@ def _counter(found: Callable[[str], Callable[[list[bytes]], list]], names: list[
                     if len(ways) >= 1000:
                         ways.clear()
                     way = ways[lang] = found(lang)
-                counter = counts[lang]
-                for words in pieces(text.as_py()):
+                for words in words_of(text.as_py()):
+                    counter = counts[lang]
+                    held -= len(counter)
                     counter.update(way(words))
-                    if len(counter) >= HELD:
+                    held += len(counter)
+                    if held >= HELD:
                         yield from rows()
-                        counter = counts[lang]
-            if sum(map(len, counts.values())) >= HELD:
-                yield from rows()
+                        held = 0
         yield from rows()
     return run
 
 
-def _summed(texts: DataFrame, found: Callable, label: str) -> DataFrame:
-    """The frequent ones of what is found, and the row of an empty phrase, written."""
-    return staged(texts.mapInArrow(_counter(found, ["phrase"], [pa.string()]), _COUNTS)
-                  .groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+def _summed(texts: DataFrame, found: Callable, label: str, total: bool = False) -> DataFrame:
+    """The frequent ones of what is found, written; with ``total`` also how many were found at all."""
+    return staged(texts.mapInArrow(_counter(found, total), _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
                   .filter((F.col("f") >= LEAST) | (F.col("phrase") == "")), label)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, phrase, f): frequent words, and how many words there are at all beside the empty phrase."""
-    def found(lang: str):
-        return lambda words: words + [b""] * len(words)
-    return _summed(texts, found, "words")
+    return _summed(texts, lambda lang: lambda words: words, "words", total=True)
 
 
-def _pairs(words: list[bytes], known: Known) -> list[bytes | None]:
-    """The pair that begins at each word, or None where a word of it is rare."""
-    ok = [known[w] for w in words]
-    return [a + b" " + b if x and y else None for a, b, x, y in zip(words, words[1:], ok, ok[1:])]
+def _together(numbers: np.ndarray) -> np.ndarray:
+    """Whether the pairs of neighbouring words have two frequent words."""
+    return (numbers[:-1] != 0) & (numbers[1:] != 0)
 
 
-def pair_counts(texts: DataFrame, words: bytes) -> DataFrame:
+def pair_counts(texts: DataFrame, words) -> DataFrame:
+    """``words`` is the broadcast bit table."""
     def found(lang: str):
-        known = Known(lang, words)
-        return lambda piece: [p for p in _pairs(piece, known) if p is not None]
+        known = Known(lang, words.value)
+        return lambda piece: [a + b" " + b for a, b, ok in
+                              zip(piece, piece[1:], _together(known.numbers(piece)).tolist()) if ok]
     return _summed(texts, found, "pairs")
 
 
-def _suffixes(piece: list[bytes], pairs: list[bytes | None], known: Known) -> Iterator[list[bytes]]:
-    """The words of the suffixes that begin with a frequent pair, cut off at rare pairs."""
-    ok = [p is not None and known[p] for p in pairs]
-    for i, start in enumerate(ok):
-        if start:
-            end = i + 2
-            while end < i + DEPTH and end - 1 < len(ok) and ok[end - 1]:
-                end += 1
-            yield piece[i:end]
-
-
-def triple_counts(texts: DataFrame, words: bytes, pairs: bytes, heavy: dict[str, set[bytes]]) -> DataFrame:
-    """Counts of the three-word prefixes below the pairs that are extended."""
-    def found(lang: str):
-        known, often, own = Known(lang, words), Known(lang, pairs), heavy.get(lang, set())
-        if not own:
-            return lambda piece: []
-        return lambda piece: [b" ".join(s[:3]) for s in _suffixes(piece, _pairs(piece, known), often)
-                              if len(s) > 2 and b" ".join(s[:2]) in own]
-    return _summed(texts, found, "triples")
-
-
-def _by_lang(rows: DataFrame) -> dict[str, set[bytes]]:
-    out: dict[str, set[bytes]] = defaultdict(set)
-    for r in rows.select("lang", "phrase").collect():  # each holds a fixed share of all suffixes
-        out[r["lang"]].add(r["phrase"].encode())
-    return dict(out)
+def suffixes(words: list[bytes], known: Known, table: np.ndarray) -> list[bytes]:
+    """The suffixes that begin with a frequent pair, cut off at rare pairs, after ``DEPTH`` words
+    and where the piece ends; a blank follows every word."""
+    numbers = known.numbers(words)
+    ok = np.zeros(len(words) + DEPTH, dtype=bool)
+    ok[:max(len(words) - 1, 0)] = _together(numbers)
+    at = np.nonzero(ok)[0]
+    pairs = _joined(numbers)[at] if len(at) else numbers[:0]
+    for bit in _bits_of(pairs):
+        ok[at] &= (table[bit >> np.uint64(3)] & (np.uint8(128) >> (bit & np.uint64(7)).astype(np.uint8))) != 0
+    start = np.nonzero(ok)[0]
+    end, more = start + 2, np.ones(len(start), dtype=bool)
+    for step in range(1, DEPTH - 1):
+        more &= ok[start + step]
+        end += more
+    return [b" ".join(words[i:j]) + b" " for i, j in zip(start.tolist(), end.tolist())]
 
 
 def group_plan(pairs: DataFrame) -> tuple[int, int]:
@@ -222,7 +231,7 @@ def group_plan(pairs: DataFrame) -> tuple[int, int]:
     groups = max(4 * tasks, -(-2 * total // budget))
     light = pairs.filter(F.col("f") <= budget // 4)
     for _ in range(8):
-        load = (light.groupBy(F.pmod(_number_column(), F.lit(groups)).alias("g")).agg(F.sum("f").alias("f"))
+        load = (light.groupBy(F.pmod(F.xxhash64("lang", "phrase"), F.lit(groups)).alias("g")).agg(F.sum("f").alias("f"))
                 .agg(F.max("f").alias("m")).first()["m"] or 0)
         if load <= budget:
             break
@@ -233,38 +242,42 @@ def group_plan(pairs: DataFrame) -> tuple[int, int]:
 # ---- subtrees ----
 
 def _subtree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the nodes, from leaves (lang, suffix, own, n) in order. A node is known when the
-    leaves below it have passed; nodes of fewer words than the leaf's prefix ``own`` are parts."""
-    path: list[list] = []           # [word, total, whole] from the second word's node downwards
-    place: tuple[str, list[str]] = ("", [])
+    """Counts of the nodes, from leaves (lang, suffix, extended, n) in the order of their suffixes.
+    As a blank follows every word, the leaves below a node are neighbours among those of their
+    language. Nodes of fewer words than an extended prefix are parts, and leave at every size."""
+    paths: dict[str, list[list]] = {}   # by language the open nodes [phrase, total], two words first
     out: list[tuple[str, str, int]] = []
 
-    def close(depth: int) -> None:
-        while len(path) > depth:
-            total, whole = path.pop()
-            if path and (total >= LEAST or not whole):  # single words are counted already
-                out.append((place[0], " ".join(place[1][:len(path) + 1]), total))
-            if path:
-                path[-1][0] += total
+    def close(lang: str, path: list[list], depth: int, least: int) -> None:
+        for phrase, total in path[depth:]:
+            if total >= least:
+                out.append((lang, phrase[:-1], total))
+        del path[depth:]
 
+    extended: dict[str, bool] = {}
     for batch in batches:
-        for lang, suffix, own, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            words = suffix.split(" ")
-            same = 0
-            if lang == place[0]:
-                for a, b in zip(words, place[1]):
-                    if a != b:
-                        break
-                    same += 1
-            close(same)
-            place = (lang, words)
-            while len(path) < len(words):
-                path.append([0, len(path) + 1 >= own])
-            path[-1][0] += n
+        for lang, suffix, parts, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            path = paths.get(lang)
+            if path is None:
+                path = paths[lang] = []
+            depth = 0
+            for node in path:
+                if not suffix.startswith(node[0]):
+                    break
+                node[1] += n
+                depth += 1
+            if depth < len(path):
+                close(lang, path, depth, 1 if extended[lang] else LEAST)
+            extended[lang] = parts
+            to = len(path[-1][0]) if path else suffix.index(" ") + 1
+            while to < len(suffix):
+                to = suffix.index(" ", to) + 1
+                path.append([suffix[:to], n])
         if len(out) >= 1 << 16:
             yield _frame(out)
-            out = []
-    close(0)
+            out.clear()
+    for lang, path in paths.items():
+        close(lang, path, 0, 1 if extended[lang] else LEAST)
     yield _frame(out)
 
 
@@ -282,48 +295,28 @@ def phrase_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     counted = word_counts(texts)
     words, totals = counted.filter("phrase != ''"), counted.filter("phrase = ''").select("lang", F.col("f").alias("n"))
     word_bits = spark.sparkContext.broadcast(bit_table(words))
-    pairs = pair_counts(texts, _Held(word_bits)).filter("phrase != ''")
+    pairs = pair_counts(texts, word_bits)
     pair_bits = spark.sparkContext.broadcast(bit_table(pairs))
     groups, largest = group_plan(pairs)
-    heavy = _by_lang(pairs.filter(F.col("f") > largest))
-    heavier = _by_lang(triple_counts(texts, _Held(word_bits), _Held(pair_bits), heavy)
-                       .filter(F.col("f") > largest)) if heavy else {}
 
     def found(lang: str):
-        known, often = Known(lang, _Held(word_bits)), Known(lang, _Held(pair_bits))
-        second, third = heavy.get(lang, ()), heavier.get(lang, ())
-
-        def ways(piece: list[bytes]) -> list[tuple[bytes, int]]:
-            out = []
-            for suffix in _suffixes(piece, _pairs(piece, known), often):
-                own = 2
-                if second and b" ".join(suffix[:2]) in second:
-                    own = 4 if third and b" ".join(suffix[:3]) in third else 3
-                out.append((b" ".join(suffix), own))
-            return out
-        return ways
-
-    leaves = texts.mapInArrow(_counter(found, ["suffix", "own"], [pa.string(), pa.int32()]),
-                              "lang string, suffix string, own int, n long")
-    prefix = F.concat_ws("\t", "lang", F.expr("substring_index(suffix, ' ', own)"))
-    leaves = (leaves.withColumn("_group", F.pmod(F.xxhash64(prefix), F.lit(groups))).repartition("_group")
-              .sortWithinPartitions("_group", "lang", F.split("suffix", " ")))
-    nodes = leaves.select("lang", "suffix", "own", "n").mapInArrow(_subtree, _COUNTS)
-    found_phrases = (nodes.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-                     .filter(F.col("f") >= LEAST))
+        known, table = Known(lang, word_bits.value), np.frombuffer(pair_bits.value, dtype=np.uint8)
+        return lambda piece: suffixes(piece, known, table)
+
+    leaves = (texts.mapInArrow(_counter(found), _COUNTS).withColumnRenamed("phrase", "suffix")
+              .withColumn("phrase", F.substring_index("suffix", " ", 2)))
+    # extended prefixes hold a fixed share of all suffixes each, so there is a bounded number of them
+    heavy = pairs.filter(F.col("f") > largest).select("lang", "phrase", F.lit(True).alias("extended"))
+    leaves = leaves.join(F.broadcast(heavy), ["lang", "phrase"], "left")
+    prefix = F.when(F.col("extended"), F.xxhash64("lang", "suffix")).otherwise(F.xxhash64("lang", "phrase"))
+    leaves = (leaves.select("lang", "suffix", F.coalesce("extended", F.lit(False)).alias("extended"), "n",
+                            F.pmod(prefix, F.lit(groups)).alias("_group"))
+              .repartition("_group").drop("_group").sortWithinPartitions("suffix"))
+    nodes = leaves.mapInArrow(_subtree, _COUNTS)
+    found_phrases = (nodes.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= LEAST))
     return staged(words.unionByName(found_phrases), "phrases"), totals
 
 
-class _Held:
-    """Bytes of a broadcast, fetched where they are used."""
-
-    def __init__(self, broadcast):
-        self.broadcast = broadcast
-
-    def __getitem__(self, at: int) -> int:
-        return self.broadcast.value[at]
-
-
 # ---- scores ----
 
 def collocations(docs: DataFrame) -> DataFrame:

@@ -240,7 +240,7 @@ def prose():
 
 @pytest.mark.parametrize("budget, held", [(1 << 20, 1 << 19), (200, 50)])
 def test_phrases_against_brute_force(spark, prose, monkeypatch, budget, held):
-    monkeypatch.setattr(phrases, "BUDGET", budget)   # small: prefixes are extended to three and four words
+    monkeypatch.setattr(phrases, "BUDGET", budget)   # small: prefixes are extended
     monkeypatch.setattr(phrases, "HELD", held)
     found = sorted(tuple(r) for r in phrases.collocations(table(spark, prose)).collect())
     expected = mined([(lang, t) for _, t, lang in prose])
