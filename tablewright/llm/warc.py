@@ -63,8 +63,10 @@ def write_warc(pages: DataFrame, path: str) -> None:
     rows = pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20]", "%20")
                         .alias("url"), html.alias("html"),
                         F.monotonically_increasing_id().alias("_row"))
-    rows = rows.withColumns({"_digest": F.sha1("html"), "_bytes": F.octet_length("html").cast("long")})
-    light = staged(rows.select("page_id", "_row", "_digest", "_bytes"), "warc-digests")
+    # numbered and written once: a row keeps its number whatever is read of it, and in every run
+    rows = staged(rows.withColumns({"_digest": F.sha1("html"), "_bytes": F.octet_length("html").cast("long")}),
+                  "warc-pages")
+    light = rows.select("page_id", "_row", "_digest", "_bytes")
     size = light.agg(F.sum("_bytes").alias("b"), F.count("*").alias("n")).first()
     per_page = (size["b"] or 0) / max(size["n"], 1) + 1500
     first = F.max(F.struct("page_id", "_row"))
