@@ -10,9 +10,12 @@ in common, and nothing beyond it. The first place of every line stays.
 Lines without a word are no passage by themselves: a window has to hold another line, and the
 blank lines between two lines go with the two.
 
+Every choice of fewer boundaries than that loses passages: one of two lines is found only if both of
+its lines are boundaries.
+
 Defined results: a null text has no lines and stays null, an empty one stays empty; documents
 without an id are left as they are; repeated rows share their decisions, as they share id and
-lines; of a passage that stands twice in a document the first stays; extra columns are not read
+text; rows that share an id only are documents of their own, in the order of a hash of their texts; of a passage that stands twice in a document the first stays; extra columns are not read
 by ``dedup_report``; an empty table gives an empty result. Lines are compared whole.
 """
 
@@ -22,9 +25,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.base import unused_name
 from tablewright.llm.common import ship_with_job, staged
 
 #: Lines of the shortest passage that is found.
@@ -56,67 +60,81 @@ def windows(lines: list[str]) -> list[tuple[int, int, int]]:
 
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(doc_id, first, h) for doc_id, text in zip(batch["doc_id"].astype("int64"), batch["text"])
+        rows = [(doc_id, key, first, h) for doc_id, key, text in
+                zip(batch["doc_id"].astype("int64"), batch["text_key"], batch["text"])
                 for first, _, h in windows(text.split("\n"))]
-        yield pd.DataFrame(rows, columns=["doc_id", "first", "hash"])
+        yield pd.DataFrame(rows, columns=["doc_id", "text_key", "first", "hash"])
 
 
 def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The windows whose hash is among the document's repeated ones, with their text."""
     for batch in batches:
         rows = []
-        for doc_id, text, repeated in zip(batch["doc_id"].astype("int64"), batch["text"], batch["repeated"]):
+        for doc_id, key, text, repeated in zip(batch["doc_id"].astype("int64"), batch["text_key"], batch["text"],
+                                               batch["repeated"]):
             lines, repeated = text.split("\n"), set(repeated)
-            rows += [(doc_id, first, count, h, "\n".join(lines[first:first + count]))
+            rows += [(doc_id, key, first, count, h, "\n".join(lines[first:first + count]))
                      for first, count, h in windows(lines) if h in repeated]
-        yield pd.DataFrame(rows, columns=["doc_id", "first", "lines", "hash", "passage"])
+        yield pd.DataFrame(rows, columns=["doc_id", "text_key", "first", "lines", "hash", "passage"])
+
+
+def _text_key() -> Column:
+    return F.xxhash64("text").alias("text_key")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, first, lines): the windows to remove, written."""
+    """(doc_id, text_key, first, lines): the windows to remove, written."""
     ship_with_job()
-    texts = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    light = staged(texts.mapInPandas(_hashed, "doc_id long, first int, hash long"), "windows")
-    place = F.struct("doc_id", "first")
+    texts = docs.select("doc_id", _text_key(), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    light = staged(texts.mapInPandas(_hashed, "doc_id long, text_key long, first int, hash long"), "windows")
+    place, document = F.struct("doc_id", "text_key", "first"), ["doc_id", "text_key"]
     often = staged(light.groupBy("hash").agg(F.min(place).alias("a"), F.max(place).alias("b"))
                    .filter("a < b").select("hash"), "window-hashes")
-    held = staged(light.join(often.hint("merge"), "hash", "left_semi").select("doc_id", "hash"), "repeated")
-    by_doc = held.groupBy("doc_id").agg(F.collect_set("hash").alias("repeated"))  # a document's own lines
+    held = staged(light.join(often.hint("merge"), "hash", "left_semi").select(*document, "hash"), "repeated")
+    by_doc = held.groupBy(*document).agg(F.collect_set("hash").alias("repeated"))  # a document's own lines
     # byte comparison: equal windows are those with the same text; a hot one is summed per task first
     repeats = staged(
-        texts.join(by_doc.hint("merge"), "doc_id").select("doc_id", "text", "repeated")
-        .mapInPandas(_passages, "doc_id long, first int, lines int, hash long, passage string")
+        texts.join(by_doc.hint("merge"), document).select(*document, "text", "repeated")
+        .mapInPandas(_passages, "doc_id long, text_key long, first int, lines int, hash long, passage string")
         .withColumn("same", F.sha2("passage", 256)), "repeats")
     exact = staged(repeats.groupBy("hash", "passage").agg(
         F.count("*").alias("n"), F.min(place).alias("kept"),
         F.first("same").alias("same")).filter("n > 1").drop("passage", "n"), "exact")
     there = (repeats["hash"] == exact["hash"]) & (repeats["same"] == exact["same"])
-    is_kept = (F.col("kept.doc_id") == F.col("doc_id")) & (F.col("kept.first") == F.col("first"))
-    return staged(repeats.drop("passage").join(exact, there).filter(~is_kept)
-                  .select("doc_id", "first", "lines").distinct(), "removed")
+    return staged(repeats.drop("passage").join(exact, there).filter(F.col("kept") != place)
+                  .select(*document, "first", "lines").distinct(), "removed")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated passages taken out of ``text``; all rows and columns stay.
-    ``_removed`` is the number of lines that went."""
+def _without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` with ``text`` less the repeated passages and ``_removed``, the number of lines
+    that went."""
     # windows overlap: a document's removed lines are counted once
-    gone = repeated_windows(docs).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(
+    gone = repeated_windows(docs).groupBy("doc_id", "text_key").agg(F.array_distinct(F.flatten(F.collect_list(
         F.sequence("first", F.expr("first + lines - 1"))))).alias("_gone")).withColumn("_removed", F.size("_gone"))
     # a merge join at every size: the list of documents that lose lines grows with the corpus
-    joined = docs.join(gone.withColumnRenamed("doc_id", "_id").hint("merge"), docs["doc_id"] == F.col("_id"), "left")
+    joined = docs.select(*keep, "doc_id", "text", _text_key()).join(gone.hint("merge"), ["doc_id", "text_key"], "left")
     left = F.expr(r"""
         array_join(transform(array(split(text, '\n')), ls ->
           transform(array_except(sequence(0, size(ls) - 1), _gone), i -> ls[i]))[0], '\n')""")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns],
-                         F.coalesce("_removed", F.lit(0)).alias("_removed"))
+    return joined.select(*keep, "doc_id", text.alias("text"), F.coalesce("_removed", F.lit(0)).alias("_removed"))
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the repeated passages taken out of ``text``; all rows and columns stay. ``_removed``
+    (or the first free name like it) is the number of lines that went."""
+    row = "_user_row"
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias(row), "doc_id", "text")
+    found = _without_repeats(packed, row)
+    return found.select(*[F.col("text") if c == "text" else F.col(row).getField(c).alias(c) for c in docs.columns],
+                        F.col("_removed").alias(unused_name("_removed", docs.columns)))
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
     """One row per document: lines before, lines removed, size and checksum of what is left."""
     lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0))
     rows = docs.select("doc_id", "text", F.when(F.col("text").isNull(), 0).otherwise(lines).alias("n"))
-    return remove_repeats(rows).select(
+    return _without_repeats(rows, "n").select(
         "doc_id", F.col("n").cast("long").alias("n_lines"), F.col("_removed").cast("long").alias("n_removed"),
         F.octet_length("text").cast("long").alias("left_bytes"),
         F.crc32(F.encode("text", "UTF-8")).alias("left_crc32"))
