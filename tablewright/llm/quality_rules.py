@@ -2,12 +2,16 @@
 
 Every text is measured and held against document rules. The failures are summed by host
 (``source``), the hosts' failure rates are shrunk towards the corpus by a beta prior that is
-fitted to the hosts' own rates, and the verdict on the host goes back to its documents:
+fitted to the hosts' own rates, and the verdict on the host goes back to its documents. A host's rate
+is taken to be at least its posterior mean less ``SURE`` posterior deviations, so a host of few documents
+needs more failures than one of many:
 
-* ``deny``: the shrunk rate reaches ``DENY_RATE``; all documents of the host go,
-* ``review``: it reaches ``REVIEW_RATE``; documents go that fail a rule themselves,
+* ``deny``: the odds of that rate are ``DENY`` times those of the corpus; all documents of the host go,
+* ``review``: they are ``REVIEW`` times those of the corpus; documents go that fail any rule,
 * ``allow``: documents stay unless they fail the base rules.
 
+A rate below ``LEAST_DENY`` or ``LEAST_REVIEW`` is no reason, however clean the rest of the corpus is.
+
 Defined results: a null text has no words and fails the base rules; an empty one likewise.
 Documents with a null source form the host "" together with those of the empty source.
 Repeated rows are measured one by one. An empty table gives an empty result. Extra columns
@@ -19,11 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import lookup, staged
+from tablewright.llm.common import lookup, pack, staged, unpack
 
 WINDOW = 8
-DENY_RATE = 0.8
-REVIEW_RATE = 0.01
+DENY, REVIEW = 9.0, 2.0
+LEAST_DENY, LEAST_REVIEW = 0.5, 0.02
+SURE = 2.0
 #: Prior strengths outside of these bounds mean hosts that do not differ, or no hosts at all.
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1e6
 
@@ -95,9 +100,15 @@ def host_verdicts(measured: DataFrame) -> DataFrame:
     strength = mean * (1 - mean) / variance - 1 if variance > 0 else MOST_STRENGTH
     strength = min(max(strength, LEAST_STRENGTH), MOST_STRENGTH)
     rate = (F.lit(mean * strength) + F.col("failed")) / (F.lit(strength) + F.col("n"))
+    at_least = rate - SURE * F.sqrt(rate * (1 - rate) / (F.lit(strength + 1) + F.col("n")))
+
+    def limit(times: float, least: float) -> float:
+        """The rate whose odds are so many times those of the corpus."""
+        return max(least, times * mean / (1 + (times - 1) * mean))
+
     return hosts.withColumn("rate", rate).withColumn(
-        "verdict", F.when(rate >= DENY_RATE, "deny").when(rate >= REVIEW_RATE, "review")
-        .otherwise("allow"))
+        "verdict", F.when(at_least >= limit(DENY, LEAST_DENY), "deny")
+        .when(at_least >= limit(REVIEW, LEAST_REVIEW), "review").otherwise("allow"))
 
 
 def judge(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -130,4 +141,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def apply_rules(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with the columns of ``docs``."""
-    return judge(docs).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    packed, row = pack(docs, "text", "source")
+    return unpack(judge(packed, keep=[row]).filter("_kept"), docs, row)
