@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import staged
 
 MOST_ROUNDS = 60
+#: Links that one task writes at least.
+TASK_LINKS = 200_000
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -25,17 +27,28 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
             .unionByName(least.select(F.col("m").alias("a"), "b")))
 
 
+def _written(links: DataFrame, size: int | None) -> tuple[DataFrame, tuple[int, object]]:
+    """The written links with their number and a sum of their hashes, which are observed as they
+    are written. About ``size`` links are expected; a small table is written by few tasks."""
+    seen = Observation()
+    if size is not None:
+        links = links.coalesce(1 + size // TASK_LINKS)
+    links = links.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
+    table = staged(links, "links")
+    return table, (seen.get["n"], seen.get["s"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest reachable node of every node of ``links`` (a, b: long)."""
-    now = staged(links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                 .distinct(), "links")
-    mark = None
+    now, mark = _written(links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                         .distinct(), None)
     for _ in range(MOST_ROUNDS):
-        now = staged(_stars(_stars(now, True).distinct(), False).distinct(), "links")
-        row = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if (row["n"], row["s"]) == mark:
+        if not mark[0]:
+            break
+        before = mark
+        now, mark = _written(_stars(_stars(now, True).distinct(), False).distinct(), mark[0])
+        if mark == before:
             break
-        mark = (row["n"], row["s"])
     else:
         raise RuntimeError("the components did not settle")
     return now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
