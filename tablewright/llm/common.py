@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
@@ -25,6 +25,13 @@ def ship_with_job() -> None:
             cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def shared(spark: SparkSession, value) -> Callable[[], object]:
+    """A function that gives ``value`` in a task. Its classes travel with it, as functions do; a
+    broadcast by itself names them only."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(held.value)
+
+
 def lookup(big: DataFrame, table: DataFrame, key: str, spread: Column, salts: int = 32,
            bound: int = BROADCAST_BYTES) -> DataFrame:
     """Left join of ``table`` (one row per ``key``, written, no null keys, a few numbers beside

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tablewright.base import unused_name
 from tablewright.llm.common import pack, ship_with_job, staged, unpack
@@ -124,8 +125,8 @@ def scored(docs: DataFrame, target: DataFrame, seed: int = SEED, keep: list[str]
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"),
                        F.xxhash64("text").alias("_hash"), *(keep or []))
     kept = rows.drop("_text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    made = rows.mapInArrow(_scorer(gains, seed), f"{fields}, _words long, _features long, _weight long, _score long")
+    added = [StructField(name, LongType()) for name in ("_words", "_features", "_weight", "_score")]
+    made = rows.mapInArrow(_scorer(gains, seed), StructType([*kept.schema.fields, *added]))
     return staged(made.withColumns({
         "_k0": -2 * F.col("_score") + F.col("_id").isNull().cast("long"), "_k1": F.coalesce("_id", F.lit(0)),
         "_k2": F.col("_hash"), "_k3": F.monotonically_increasing_id()}).drop("_hash"), "scored")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import held_out, ship_with_job
+from tablewright.llm.common import held_out, shared, ship_with_job
 
 SLOTS = 1 << 12
 FIT_ROWS = 2000
@@ -157,10 +157,10 @@ def fit(docs: DataFrame) -> Centroids:
 def predict(docs: DataFrame, model: Centroids) -> DataFrame:
     """``doc_id`` and the predictions, for every row of ``docs``."""
     ship_with_job()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few vectors per language
+    held = shared(docs.sparkSession, model)  # a few vectors per language
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = held()
         for batch in batches:
             found = [known.predict(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import held_out, ship_with_job, staged
+from tablewright.llm.common import held_out, shared, ship_with_job, staged
 
 STATISTICS = ["log_chars", "log_words", "word_length", "word_length_spread", "distinct_words",
               "adjacent_repeats", "top_word", "short_words", "upper", "digits", "symbols", "bars",
@@ -178,13 +178,14 @@ def fit(table: DataFrame, labels: DataFrame) -> QualityModel:
 
 def predict(table: DataFrame, model: QualityModel) -> DataFrame:
     ship_with_job()
-    shared = table.sparkSession.sparkContext.broadcast(model)
+    held = shared(table.sparkSession, model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = held()
         for batch in batches:
             if len(batch):
                 yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),
-                                    "score": shared.value.score(_matrix(batch["x"]))})
+                                    "score": known.score(_matrix(batch["x"]))})
 
     return table.mapInPandas(run, "doc_id long, score double")
 

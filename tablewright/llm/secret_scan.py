@@ -30,6 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tablewright.base import unused_name
 from tablewright.llm.common import pack, ship_with_job, unpack
@@ -247,8 +248,8 @@ def _found(rows: DataFrame, keep_text: bool = False) -> DataFrame:
     """``rows`` (text first) with their findings in ``_found``."""
     ship_with_job()
     kept = rows if keep_text else rows.drop(rows.columns[0])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
-    return rows.mapInArrow(_scanner(keep_text), ", ".join([*fields, f"_found {_FINDINGS}"]))
+    found = StructField("_found", DataType.fromDDL(_FINDINGS))
+    return rows.mapInArrow(_scanner(keep_text), StructType([*kept.schema.fields, found]))
 
 
 def with_findings(docs: DataFrame) -> DataFrame:

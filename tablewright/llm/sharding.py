@@ -25,7 +25,7 @@ from hashlib import blake2b
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import staged
+from tablewright.llm.common import pack, staged, unpack
 
 SHARDS = 40
 NODES = 32          # virtual nodes per shard
@@ -167,7 +167,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         while new in docs.columns:
             new += "_"
         names[name] = new
-    rows = docs.withColumn("_id", F.col("doc_id")).withColumn("_place", place(F.col("text")))
-    out = assign(rows, shards)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns],
-                      F.col("_shard").alias(names["shard"]), F.col("_slot").alias(names["slot"]))
+    packed, row = pack(docs, "doc_id", "text")
+    out = assign(packed.select(row, F.col("doc_id").alias("_id"), place(F.col("text")).alias("_place")), shards)
+    return unpack(out, docs, row, **{names["shard"]: F.col("_shard"), names["slot"]: F.col("_slot")})

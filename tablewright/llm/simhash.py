@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import ship_with_job, staged
+from tablewright.llm.common import pack, ship_with_job, staged, unpack
 from tablewright.llm.components import components
 
 BITS, SEED = 64, 42
@@ -201,9 +201,10 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS)
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The document with the smallest id of every component, columns as in ``docs``."""
-    marked = staged(docs.withColumn("_fp", fingerprint_column(F.col("text"), width))
-                    .withColumn("_key", F.struct("doc_id", F.monotonically_increasing_id().alias("r"))),
+    packed, row = pack(docs, "doc_id", "text")
+    marked = staged(packed.select(row, fingerprint_column(F.col("text"), width).alias("_fp"),
+                                  F.struct("doc_id", F.monotonically_increasing_id().alias("r")).alias("_key")),
                     "simhash")
-    keys = staged(classes(marked, radius).select(F.col("_first.r").alias("_row")).distinct(), "kept")
-    return (marked.withColumn("_row", F.col("_key.r")).join(keys.hint("merge"), "_row", "left_semi")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    keys = staged(classes(marked.select("_fp", "_key"), radius).select(F.col("_first.r").alias("_row")).distinct(),
+                  "kept")
+    return unpack(marked.withColumn("_row", F.col("_key.r")).join(keys.hint("merge"), "_row", "left_semi"), docs, row)
