@@ -308,7 +308,8 @@ def test_quality_model(spark, docs, labels, empty, sf):
     known = spark.read.parquet(f"{sf}/labels.parquet")
     scored = quality_model.quality_scores(spark.read.parquet(f"{sf}/documents.parquet"), known)
     both = scored.join(known, "doc_id").filter("held_out")
-    assert both.filter("predicted = quality").count() >= 0.8 * both.count()
+    share = both.agg({"quality": "avg"}).first()[0]   # what a constant gets
+    assert both.filter("predicted = quality").count() > max(0.9, share) * both.count()
     odd = rows_of(quality_model.quality_scores(docs, labels))
     assert len(odd) == docs.count() and all(0 <= r["score"] <= 1 for r in odd)
     assert not rows_of(quality_model.quality_scores(empty, labels))

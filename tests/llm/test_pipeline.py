@@ -51,9 +51,13 @@ def test_quality_stage(outputs):
     variance = sum(n[h] * (failed[h] / n[h] - mean) ** 2 for h in n) / len(rows)
     strength = mean * (1 - mean) / variance - 1 if variance > 0 else quality_rules.MOST_STRENGTH
     strength = min(max(strength, quality_rules.LEAST_STRENGTH), quality_rules.MOST_STRENGTH)
-    rate = {h: (mean * strength + failed[h]) / (strength + n[h]) for h in n}
-    kept = [i for i, h, base, bad in rows if not base and rate[h] < quality_rules.DENY_RATE
-            and not (bad and rate[h] >= quality_rules.REVIEW_RATE)]
+    least = {}
+    for h in n:
+        rate = (mean * strength + failed[h]) / (strength + n[h])
+        least[h] = rate - quality_rules.SURE * (rate * (1 - rate) / (strength + 1 + n[h])) ** 0.5
+    deny, review = (max(floor, k * mean / (1 + (k - 1) * mean)) for k, floor in
+                    ((quality_rules.DENY, quality_rules.LEAST_DENY), (quality_rules.REVIEW, quality_rules.LEAST_REVIEW)))
+    kept = [i for i, h, base, bad in rows if not base and least[h] < deny and not (bad and least[h] >= review)]
     assert sorted(r["doc_id"] for r in outputs[1]) == sorted(kept) and kept
 
 
@@ -112,7 +116,8 @@ def test_mixing_stage(spark, sf, outputs):
     times = Counter(r["doc_id"] for r in outputs[4])
     assert set(times) <= {i for i, *_ in rows}
     assert all(int(r) <= times[i] <= int(r) + 1 for i, _, _, r in rows)
-    assert len(times) > 0.9 * len(rows)
+    assert all(times[i] for i, _, p, _ in rows if p[0] > 0.999)   # clean text stays; the target of poor text is none
+    assert len(times) > 0.75 * len(rows)
 
 
 def test_sharding_stage(outputs):
