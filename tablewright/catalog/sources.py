@@ -65,11 +65,39 @@ def a2_binary_scan(spark, sf):
     return _documents(read_binary_files(spark, folder, recursive=True))
 
 
-@query("a3_file_subsample")
+@query("a2_binary_scan_empty", """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE CAST(octet_length(encode(text)) AS BIGINT) END AS bytes,
+       CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS text FROM documents""")
+def a2_binary_scan_empty(spark, sf):
+    """Every third file has no bytes, and comes back as well."""
+    folder = new_path(spark, "files")
+    content = F.when(F.col("doc_id") % 3 != 0, F.encode("text", "UTF-8")).otherwise(F.lit(b""))
+    write_files(table(spark, sf, "documents").select(
+        F.concat(F.lit("d+ %"), F.col("lang"), F.lit("/"), F.col("doc_id"), F.lit(".txt")).alias("name"),
+        content.alias("content")), folder, "name", "content")
+    return _documents(read_binary_files(spark, folder, recursive=True))
+
+
+@query("a3_file_subsample", """SELECT lang, CAST(count(*) AS BIGINT) AS files, true AS share_in_bounds,
+       true AS contents_equal, true AS sample_repeats FROM documents GROUP BY lang""")
 def a3_file_subsample(spark, sf):
+    """A sample of half of the files, held against all of them: the share per folder, the contents,
+    and that the same seed draws the same files again."""
     folder = new_path(spark, "files")
     _text_files(spark, sf, folder)
-    return _documents(read_binary_files(spark, folder, recursive=True, sampleRatio=0.5, seed=7))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+
+    def drawn():
+        return _documents(read_binary_files(spark, folder, recursive=True, sampleRatio=0.5, seed=7))
+
+    both = (docs.join(drawn().select("doc_id", F.col("text").alias("found")), "doc_id", "left")
+            .join(drawn().select("doc_id", F.lit(True).alias("again")), "doc_id", "left"))
+    n, hits = F.count("*"), F.count("found")
+    return both.groupBy("lang").agg(
+        n.alias("files"),
+        # within five deviations of a half
+        (F.abs(hits - n / 2) <= 2.5 * F.sqrt(n)).alias("share_in_bounds"),
+        F.coalesce(F.bool_and(F.col("found") == F.col("text")), F.lit(True)).alias("contents_equal"),
+        F.bool_and(F.col("found").isNotNull() == F.col("again").isNotNull()).alias("sample_repeats"))
 
 
 ARCHIVE_ENTRIES = 64
@@ -159,6 +187,43 @@ def a7_image_stream(spark, sf):
     return _pictures(spark.read.parquet(out))
 
 
+def _image_archives(spark, sf, folder):
+    """Archives of the embeddings' bitmaps."""
+    e = table(spark, sf, "embeddings")
+    header = F.unhex(F.lit(_bitmap_header(SIDE, SIDE)))
+    rows = e.select("vec_id", F.concat(header, to_bytes(pixel_values(F.col("embedding")))).alias("content"))
+
+    def pack(batches):
+        for batch in batches:
+            for start in range(0, len(batch), ARCHIVE_ENTRIES):
+                part = batch.iloc[start:start + ARCHIVE_ENTRIES]
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w") as z:
+                    for vec_id, content in zip(part["vec_id"], part["content"]):
+                        z.writestr(f"in/{vec_id}.bmp", bytes(content))
+                yield pd.DataFrame({"name": [f"part-{part['vec_id'].iloc[0]}.zip"], "content": [out.getvalue()]})
+    write_files(rows.mapInPandas(pack, "name string, content binary"), folder, "name", "content")
+
+
+@query("a6_image_zip", PICTURES_SQL)
+def a6_image_zip(spark, sf):
+    folder = new_path(spark, "image-zips")
+    _image_archives(spark, sf, folder)
+    return _pictures(read_images(spark, folder))
+
+
+@query("a7_image_zip_stream", PICTURES_SQL)
+def a7_image_zip_stream(spark, sf):
+    folder, out = new_path(spark, "image-zips"), new_path(spark, "out")
+    _image_archives(spark, sf, folder)
+
+    def sink(images, batch_id):
+        images.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    stream_images(spark, folder, sink, new_path(spark, "progress"), files_per_batch=8,
+                  availableNow=True).awaitTermination()
+    return _pictures(spark.read.parquet(out))
+
+
 @query("a8_read_from_paths", DOCUMENTS_SQL)
 def a8_read_from_paths(spark, sf):
     folder = new_path(spark, "files")
@@ -177,7 +242,7 @@ def a8_images_from_paths(spark, sf):
     _image_files(spark, sf, folder)
     names = table(spark, sf, "embeddings").select("vec_id", "label", F.concat(
         F.lit(folder + "/"), F.col("label"), F.lit("/"), F.col("vec_id"), F.lit(".bmp")).alias("path"))
-    read = read_images_from_paths(names, "path", folder)
+    read = read_images_from_paths(names, "path")
     return read.select("vec_id", "label", joined(unsigned_bytes(F.col("image.bytes"))).alias("pixels"))
 
 

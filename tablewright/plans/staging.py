@@ -30,6 +30,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Make the folder if it isn't there, so that it can be scanned though nothing was written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def stage_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the written table: no lineage, columnar, prunable."""
     spark = df.sparkSession

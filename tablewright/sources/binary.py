@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +20,7 @@ BATCH_BYTES = 32 << 20
 
 
 def _kept(path: Column, ratio: float, seed: int) -> Column:
-    return F.pmod(F.xxhash64(path, F.lit(seed)), F.lit(GRAIN)) < F.lit(int(round(ratio * GRAIN)))
+    return F.pmod(F.xxhash64(F.regexp_replace(path, "^file:/+", "file:/"), F.lit(seed)), F.lit(GRAIN)) < F.lit(int(round(ratio * GRAIN)))
 
 
 def _check_ratio(ratio: float) -> None:
@@ -27,58 +28,102 @@ def _check_ratio(ratio: float) -> None:
         raise ValueError("sampleRatio must lie in [0, 1]")
 
 
-def _is_zip(path: Column) -> Column:
+#: The name of a row's file. Filters on it choose files before any of them is opened.
+FILE_NAME = "_metadata.file_path"
+
+
+def is_zip(path: Column) -> Column:
     return F.lower(path).endswith(".zip")
 
 
 def unzip(files: DataFrame) -> DataFrame:
-    """(path, bytes) rows of archives to one row per file inside, path = archive/entry."""
+    """(path, bytes) rows of archives to one row per file inside, path = archive/entry.
+
+    Entries are unpacked one after the other and handed on in bounded batches. An archive, or an
+    entry of it, that cannot be read makes one row with null bytes.
+    """
+    def rows(archive: str, content: bytes) -> Iterator[tuple[str, bytes | None]]:
+        try:
+            z = zipfile.ZipFile(io.BytesIO(content))
+        except (zipfile.BadZipFile, NotImplementedError, ValueError):
+            yield archive, None
+            return
+        with z:
+            for item in z.infolist():
+                if not item.is_dir():
+                    try:
+                        data = z.read(item)
+                    except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, OSError, EOFError):
+                        data = None
+                    yield f"{archive}/{item.filename}", data
+
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         paths, contents, size = [], [], 0
         for batch in batches:
             for archive, content in zip(batch["path"], batch["bytes"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for item in z.infolist():
-                        if item.is_dir():
-                            continue
-                        data = z.read(item)
-                        paths.append(f"{archive}/{item.filename}")
-                        contents.append(data)
-                        size += len(data)
-                        if size >= BATCH_BYTES:
-                            yield pd.DataFrame({"path": paths, "bytes": contents})
-                            paths, contents, size = [], [], 0
+                for path, data in rows(archive, content):
+                    paths.append(path)
+                    contents.append(data)
+                    size += len(data or b"")
+                    if size >= BATCH_BYTES:
+                        yield pd.DataFrame({"path": paths, "bytes": contents})
+                        paths, contents, size = [], [], 0
         if paths:
             yield pd.DataFrame({"path": paths, "bytes": contents})
     return files.mapInPandas(entries, VALUE_TYPE)
 
 
+def archive_entries(files: DataFrame, ratio: float, seed: int) -> DataFrame:
+    """(path, bytes) of what the archives among the scanned ``files`` hold, sampled."""
+    inside = unzip(files.filter(is_zip(F.col(FILE_NAME))).select("path", F.col("content").alias("bytes")))
+    return inside.filter(_kept(F.col("path"), ratio, seed)) if ratio < 1.0 else inside
+
+
 def _shape(files: DataFrame, ratio: float, inspect_zip: bool, seed: int) -> DataFrame:
-    """Sample on the path, open archives, sample their entries, pack into ``value``."""
-    sampled = ratio < 1.0
-    if not inspect_zip:
-        kept = files.filter(_kept(F.col("path"), ratio, seed)) if sampled else files
-        return kept.select(F.struct("path", F.col("content").alias("bytes")).alias("value"))
-    plain = files.filter(~_is_zip(F.col("path")))
-    if sampled:
-        plain = plain.filter(_kept(F.col("path"), ratio, seed))
-    inside = unzip(files.filter(_is_zip(F.col("path")))
-                   .select("path", F.col("content").alias("bytes")))
-    if sampled:
-        inside = inside.filter(_kept(F.col("path"), ratio, seed))
-    return (plain.select("path", F.col("content").alias("bytes")).unionByName(inside)
-            .select(F.struct("path", "bytes").alias("value")))
+    """Sample on the name, open archives, sample their entries, pack into ``value``. Plain files and
+    archives are told apart by their names, so each file is opened by one of the two scans, if at all."""
+    name = F.col(FILE_NAME)
+    plain = files.filter(~is_zip(name)) if inspect_zip else files
+    if ratio < 1.0:
+        plain = plain.filter(_kept(name, ratio, seed))
+    values = plain.select("path", F.col("content").alias("bytes"))
+    if inspect_zip:
+        values = values.unionByName(archive_entries(files, ratio, seed))
+    return values.select(F.struct("path", "bytes").alias("value"))
+
+
+def _same_form(name: Column) -> Column:
+    """file:/a and file:///a are one name."""
+    return F.regexp_replace(name, "^file:/+", "file:/")
+
+
+def empty_files(files: DataFrame) -> DataFrame:
+    """(path, name) of the files of length zero: names that were listed for the scan but are not in
+    it. The list goes from the scan's file index into a table of the session, and no content is read."""
+    spark = files.sparkSession
+    listed = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles())
+    names = DataFrame(spark._jsparkSession.createDataset(listed, spark._jvm.org.apache.spark.sql.Encoders.STRING()),
+                      spark).select(_same_form(F.col("value")).alias("name"))
+    held = files.select(_same_form(F.col(FILE_NAME)).alias("name"))
+    path = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))
+    return names.join(held, "name", "left_anti").select(path.alias("path"), "name")
 
 
 def read_binary_files(spark: SparkSession, path: str, recursive: bool = False,
                       sampleRatio: float = 1.0, inspectZip: bool = True,
                       seed: int = 0) -> DataFrame:
-    """One row ``value=struct<path,bytes>`` per file below a directory or matching a glob.
-    Spark's file scan leaves out files of length zero."""
+    """One row ``value=struct<path,bytes>`` per file below a directory or matching a glob, empty
+    files with empty bytes. A sample is drawn from the names; files outside of it are not opened."""
     _check_ratio(sampleRatio)
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", str(recursive).lower()).load(path))
-    return _shape(files, sampleRatio, inspectZip, seed)
+    empty = empty_files(files)
+    if inspectZip:
+        empty = empty.filter(~is_zip(F.col("name")))   # no archive without a directory at its end
+    if sampleRatio < 1.0:
+        empty = empty.filter(_kept(F.col("name"), sampleRatio, seed))
+    none = empty.select(F.struct("path", F.lit(b"").alias("bytes")).alias("value"))
+    return _shape(files, sampleRatio, inspectZip, seed).unionByName(none)
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -87,7 +132,7 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 def stream_binary_files(spark: SparkSession, path: str, recursive: bool = False,
                         sampleRatio: float = 1.0, inspectZip: bool = True, seed: int = 0,
                         maxFilesPerTrigger: int | None = None) -> DataFrame:
-    """The same rows for files as they arrive."""
+    """The same rows for files as they arrive. Spark's stream of files leaves out empty ones."""
     _check_ratio(sampleRatio)
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", str(recursive).lower()))

@@ -1,4 +1,9 @@
-"""Image scans and streams on Spark's image source."""
+"""Image scans and streams on Spark's image source.
+
+Spark decodes images inside its own file source only. What lies elsewhere - in archives, or at
+places that rows name - is copied to files in the shared folder first, whose names hold where each
+came from, and decoded from there.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.base import unused_name
-from tablewright.sources.binary import BINARY_FILE_SCHEMA, _check_ratio, _kept
+from tablewright.plans.staging import ensure_folder, new_path, stage_table
+from tablewright.sources.binary import (
+    BINARY_FILE_SCHEMA, FILE_NAME, _check_ratio, _kept, archive_entries, is_zip, read_from_paths,
+)
+from tablewright.sources.sinks import write_files
 
 IMAGE_TYPE = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("height", T.IntegerType()),
@@ -24,33 +33,75 @@ def image_struct(source: Column | str = "image") -> Column:
                     c["width"].alias("width"), c["mode"].alias("type"), c["data"].alias("bytes"))
 
 
+def _file_name(path: Column) -> Column:
+    """A file name that holds a path: its bytes in hex and an x, in parts that any file system takes."""
+    return F.concat(F.regexp_replace(F.hex(F.encode(path, "UTF-8")), "(.{200})", "$1/"), F.lit("x"))
+
+
+def _named_path(origin: Column, folder: str) -> Column:
+    """The path that a file below ``folder`` was named after."""
+    inside = F.regexp_extract(origin, f"/{folder.rsplit('/', 1)[1]}/(.*)$", 1)
+    return F.decode(F.unhex(F.translate(inside, "/x", "")), "UTF-8")
+
+
+def _decode(spark: SparkSession, contents: DataFrame) -> DataFrame:
+    """(path, bytes) rows to (path, image): copied to files, decoded, files that are no images left out."""
+    folder = new_path(spark, "to-decode")
+    rows = contents.filter("bytes IS NOT NULL AND path IS NOT NULL").select(_file_name(F.col("path")).alias("name"), "bytes")
+    write_files(rows, folder, "name", "bytes")
+    ensure_folder(spark, folder)
+    files = (spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", "true").load(folder))
+    path = _named_path(F.col("image.origin"), folder)
+    return files.select(path.alias("path"), F.struct(
+        path.alias("path"), *[F.col(f"image.{a}").alias(b) for a, b in
+                              (("height", "height"), ("width", "width"), ("mode", "type"), ("data", "bytes"))]).alias("image"))
+
+
 def read_images(spark: SparkSession, path, recursive: bool = False, sampleRatio: float = 1.0,
-                seed: int = 0) -> DataFrame:
-    """One row ``image`` per decodable file; other files are dropped.
+                inspectZip: bool = True, seed: int = 0) -> DataFrame:
+    """One row ``image`` per decodable file, also of those inside archives (path = archive/entry);
+    other files are dropped.
 
-    ``path`` is one path, a glob or a list. Archives are not opened: Spark decodes images
-    inside its own file source only.
+    ``path`` is one path, a glob or a list. A sample is drawn from the names before files are opened.
     """
     _check_ratio(sampleRatio)
-    files = (spark.read.format("image").option("dropInvalid", True)
-             .option("recursiveFileLookup", str(recursive).lower()).load(path))
+    deep = str(recursive).lower()
+    files = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", deep).load(path)
+    name = F.col(FILE_NAME)
+    plain = files.filter(~is_zip(name))
     if sampleRatio < 1.0:
-        files = files.filter(_kept(F.col("image.origin"), sampleRatio, seed))
-    return files.select(image_struct().alias("image"))
+        plain = plain.filter(_kept(name, sampleRatio, seed))
+    # the source reports names in their escaped form
+    at = F.url_decode(F.replace("image.origin", F.lit("+"), F.lit("%2B")))
+    images = plain.select(image_struct().withField("path", at).alias("image"))
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", deep).load(path)
+    if not inspectZip or raw.filter(is_zip(name)).select("path").isEmpty():
+        return images
+    return images.unionByName(_decode(spark, archive_entries(raw, sampleRatio, seed)).select("image"))
 
 
-def read_images_from_paths(df: DataFrame, pathCol: str, root: str,
+def read_images_from_paths(df: DataFrame, pathCol: str, root: str | None = None,
                            imageCol: str = "image") -> DataFrame:
     """Add the decoded image named by a path column; null when missing or not decodable.
 
-    ``root`` is the directory (or glob) below which the files lie. Rows and files are
-    matched on the normalized path.
+    Every named file is read once, however many rows name it; no other file is opened. With
+    ``root``, a directory or glob below which the files lie, they are scanned there instead,
+    without a copy, which is better where most of them are named.
     """
     key = unused_name("_path", df.columns)
-    images = read_images(df.sparkSession, root, recursive=True)
-    found = images.select(normal_path(F.col("image.path")).alias(key), F.col("image").alias(imageCol))
-    named = df.withColumn(key, normal_path(F.col(f"`{pathCol}`")))
-    return named.join(found, key, "left").drop(key)
+    if root is not None:
+        found = read_images(df.sparkSession, root, recursive=True, inspectZip=False).select(
+            normal_path(F.col("image.path")).alias(key), F.col("image").alias(imageCol))
+        named = df.withColumn(key, normal_path(F.col(f"`{pathCol}`")))
+    else:
+        named = stage_table(df.withColumn(key, normal_path(F.col(f"`{pathCol}`"))), "named-images")
+        paths = named.select(F.col(key).alias("path")).filter("path IS NOT NULL").distinct()
+        found = _decode(df.sparkSession, read_from_paths(paths, "path")).select(
+            F.col("path").alias(key), F.col("image").alias(imageCol))
+    # rows without a path match nothing; a key of their own keeps them out of a single task
+    own = F.concat(F.lit("?"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))
+    return (named.withColumn(key, F.coalesce(key, own)).join(found.hint("merge"), key, "left")
+            .select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{imageCol}`")))
 
 
 def normal_path(path: Column) -> Column:
@@ -60,12 +111,12 @@ def normal_path(path: Column) -> Column:
 
 def stream_images(spark: SparkSession, path: str, sink: Callable[[DataFrame, int], None],
                   checkpoint: str, recursive: bool = False, sampleRatio: float = 1.0,
-                  seed: int = 0, files_per_batch: int = 1000, **trigger):
+                  seed: int = 0, files_per_batch: int = 1000, inspectZip: bool = True, **trigger):
     """Decode image files as they arrive and hand every micro-batch to ``sink(images, id)``.
 
     The image source has no streaming form, so the stream carries file names and every
-    micro-batch is read again as images. ``files_per_batch`` bounds the list of names that
-    the driver passes on. Returns the running query.
+    micro-batch is read again as images, archives unpacked to a folder of its own. ``files_per_batch``
+    bounds the list of names that the driver passes on. Returns the running query.
     """
     _check_ratio(sampleRatio)
     arrivals = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -75,7 +126,7 @@ def stream_images(spark: SparkSession, path: str, sink: Callable[[DataFrame, int
     def decode(batch: DataFrame, batch_id: int) -> None:
         names = [r["path"] for r in batch.collect()]
         if names:
-            sink(read_images(batch.sparkSession, names, False, sampleRatio, seed), batch_id)
+            sink(read_images(batch.sparkSession, names, False, sampleRatio, inspectZip, seed), batch_id)
 
     writer = arrivals.writeStream.foreachBatch(decode).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

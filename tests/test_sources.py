@@ -91,6 +91,67 @@ def test_images(spark, tmp_path):
     assert got[2] is None and bytes(got[1]["bytes"]) == data == bytes(got[3]["bytes"])
 
 
+def test_empty_and_broken_files(spark, tmp_path):
+    (tmp_path / "a b+c%.txt").write_bytes(b"x")
+    (tmp_path / "no bytes+1%.txt").write_bytes(b"")
+    (tmp_path / "broken.zip").write_bytes(b"PK no archive")
+    (tmp_path / "nothing.zip").write_bytes(b"")
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("good.txt", b"good")
+        z.writestr("bad.txt", b"some stored bytes")
+        z.writestr("empty.txt", b"")
+    (tmp_path / "half.ZIP").write_bytes(out.getvalue().replace(b"some stored", b"none stored"))
+    found = {r["value"]["path"].split(tmp_path.name + "/")[1]: r["value"]["bytes"]
+             for r in read_binary_files(spark, str(tmp_path)).collect()}
+    assert found == {"a b+c%.txt": b"x", "no bytes+1%.txt": b"", "broken.zip": None, "half.ZIP/good.txt": b"good",
+                     "half.ZIP/bad.txt": None, "half.ZIP/empty.txt": b""}
+    raw = {r["value"]["path"].rsplit("/", 1)[1]: r["value"]["bytes"]
+           for r in read_binary_files(spark, str(tmp_path), inspectZip=False).collect()}
+    assert raw["nothing.zip"] == b"" and raw["broken.zip"] == b"PK no archive" and len(raw) == 5
+
+
+def test_files_outside_of_the_sample_are_not_opened(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.txt").write_bytes(b"x" * 10)
+    kept = names(read_binary_files(spark, str(tmp_path), sampleRatio=0.5, seed=3))
+    assert 8 < len(kept) < 32
+    for i in range(40):
+        if f"{i}.txt" not in kept:
+            (tmp_path / f"{i}.txt").write_bytes(b"x" * 1000)   # longer than what may be opened
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        assert names(read_binary_files(spark, str(tmp_path), sampleRatio=0.5, seed=3)) == kept
+        with pytest.raises(Exception, match="(?i)length"):
+            read_binary_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_images_in_archives_and_by_path(spark, tmp_path):
+    content, data = bitmap(2, 4)
+    (tmp_path / "ü plain+%.bmp").write_bytes(content)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("in/" + "d" * 150 + "/ä b.bmp", content)
+        z.writestr("../up.bmp", content)
+        z.writestr("note.txt", b"no image")
+    (tmp_path / "z.zip").write_bytes(out.getvalue())
+    rows = [r["image"] for r in read_images(spark, str(tmp_path)).collect()]
+    assert all(bytes(i["bytes"]) == data and i["height"] == 2 for i in rows)
+    assert sorted(i["path"].split(tmp_path.name + "/")[1] for i in rows) == sorted(
+        ["ü plain+%.bmp", "z.zip/in/" + "d" * 150 + "/ä b.bmp", "z.zip/../up.bmp"])
+    assert read_images(spark, str(tmp_path), inspectZip=False).count() == 1
+    assert read_images(spark, str(tmp_path), sampleRatio=0.0).count() == 0
+    places = [f"{tmp_path}/ü plain+%.bmp", f"file:{tmp_path}/ü plain+%.bmp", f"{tmp_path}/none.bmp", None, None,
+              f"{tmp_path}/z.zip"]
+    named = spark.createDataFrame([(i, p, "own") for i, p in enumerate(places)], "id int, path string, _path string")
+    found = read_images_from_paths(named, "path")
+    assert found.columns == ["id", "path", "_path", "image"]
+    got = {r["id"]: r["image"] for r in found.collect()}
+    assert bytes(got[0]["bytes"]) == data == bytes(got[1]["bytes"]) and [got[i] for i in (2, 3, 4, 5)] == [None] * 4
+
+
 def test_write_files_twice(spark, tmp_path):
     df = spark.createDataFrame([("x/1.bin", bytearray(b"one")), ("2.bin", bytearray(b"")), ("3.bin", None)],
                                "name string, data binary")
