@@ -53,6 +53,17 @@ def d2_value_index_by_join(spark, sf):
         "o_orderkey", "coded")
 
 
+@query("d2_many_levels", """
+SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY l_orderkey * 8 + l_linenumber) - 1 AS INTEGER) AS coded
+FROM lineitem""")
+def d2_many_levels(spark, sf):
+    """A level per line: beyond what column metadata keeps, the levels are a table."""
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (
+        F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("line"))
+    return ValueIndexer(inputCol="line", outputCol="coded").fit(df).transform(df).select(
+        "l_orderkey", "l_linenumber", "coded")
+
+
 @query("d3_index_to_value", """
 SELECT c_custkey, c_mktsegment AS segment,
        CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS coded FROM customer""")

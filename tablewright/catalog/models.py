@@ -239,6 +239,26 @@ def h8_multiclass_metrics(spark, sf):
     return out.select(*[F.round(n, 9).alias(n) for n in names])
 
 
+@query("h8_many_classes", """
+WITH s AS (SELECT l_partkey AS y, CASE WHEN l_linenumber % 4 = 0 THEN l_suppkey ELSE l_partkey END AS p FROM lineitem),
+a AS (SELECT y AS k, count(*) AS actual, count(*) FILTER (p IN (SELECT y FROM s)) AS counted,
+             count(*) FILTER (p = y) AS hit FROM s GROUP BY y),
+b AS (SELECT p AS k, count(*) AS predicted FROM s GROUP BY p),
+t AS (SELECT CAST(count(*) AS DOUBLE) AS total FROM s)
+SELECT round(sum(hit) / max(total), 9) AS accuracy,
+       round(avg((2 * hit + total - counted - predicted) / total), 9) AS average_accuracy,
+       round(avg(CAST(hit AS DOUBLE) / predicted), 9) AS macro_averaged_precision,
+       round(avg(CAST(hit AS DOUBLE) / counted), 9) AS macro_averaged_recall FROM a JOIN b USING (k), t""")
+def h8_many_classes(spark, sf):
+    """A label with as many classes as there are parts."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").cast("double").alias("y"),
+        F.when(F.col("l_linenumber") % 4 == 0, F.col("l_suppkey")).otherwise(F.col("l_partkey")).cast("double").alias("p"))
+    out = ComputeModelStatistics(evaluationMetric="classification", labelCol="y", scoredLabelsCol="p").transform(lines)
+    names = ["accuracy", "average_accuracy", "macro_averaged_precision", "macro_averaged_recall"]
+    return out.select(*[F.round(n, 9).alias(n) for n in names])
+
+
 @query("h9_roc_curve", f"""WITH {JUDGED_SQL}, {AUC_SQL},
 totals AS (SELECT CAST(sum(pos) AS DOUBLE) AS p, CAST(sum(neg) AS DOUBLE) AS n FROM per_score)
 SELECT round(cum_neg / n, 9) AS false_positive_rate, round(cum_pos / p, 9) AS true_positive_rate

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.base import HasLabelCol, as_str, param
+from tablewright.base import HasLabelCol, as_str, param, unused_name
 from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 from tablewright.functions.missing import drop_missing
@@ -26,7 +26,10 @@ MULTICLASS_COLUMNS = ["average_accuracy", "macro_averaged_precision", "macro_ave
 ALL, ALL_REGRESSION, ALL_CLASSIFICATION = "all", "regression", "classification"
 EVALUATION_TYPE = "evaluation_type"
 FPR, TPR = "false_positive_rate", "true_positive_rate"
-MOST_CLASSES = 1000
+# the matrix has named columns up to so many classes; its long table has all cells of any label
+NAMED_CLASSES = 100
+# levels up to which a label is numbered by a choice inside the row instead of by a join
+CHOSEN_LEVELS = 200
 
 
 def metric_kind(metric: str) -> str:
@@ -59,12 +62,25 @@ def confusion_table(df: DataFrame, label: str, prediction: str,
                     levels: list | None = None) -> DataFrame:
     """(label, prediction, count), both as class numbers. ``levels`` turns label values into
     their positions."""
-    pairs = df.select(class_number(F.col(f"`{label}`"), levels).alias("label"),
-                      F.col(f"`{prediction}`").cast("double").alias("prediction"))
+    numbered, number = numbered_label(df, label, levels)
+    pairs = numbered.select(number.alias("label"), F.col(f"`{prediction}`").cast("double").alias("prediction"))
     return (drop_missing(pairs, ["label", "prediction"])
             .groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("count")))
 
 
+def numbered_label(df: DataFrame, label: str, levels: list | None) -> tuple[DataFrame, Column]:
+    """``df`` and the label's class number in it. Many levels are looked up in a table of the list
+    that the model holds; no row is shuffled for it."""
+    known = [v for v in levels or [] if v is not None]
+    if levels is None or len(known) <= CHOSEN_LEVELS:
+        return df, class_number(F.col(f"`{label}`"), levels)
+    level, number = unused_name("_level", df.columns), unused_name("_number", df.columns)
+    kind = df.schema[label].dataType
+    schema = T.StructType([T.StructField(level, kind), T.StructField(number, T.DoubleType())])
+    table = df.sparkSession.createDataFrame([(v, float(i)) for i, v in enumerate(known)], schema)
+    return df.join(F.broadcast(table), F.col(f"`{label}`") == F.col(level), "left"), F.col(number)
+
+
 def class_number(label: Column, levels: list | None) -> Column:
     if levels is None:
         return label.cast("double")
@@ -75,11 +91,46 @@ def class_number(label: Column, levels: list | None) -> Column:
     return F.lit(None).cast("double") if out is None else out
 
 
-def _cells(confusion: DataFrame) -> list[tuple[float, float, int]]:
-    rows = confusion.limit(MOST_CLASSES * MOST_CLASSES + 1).collect()
-    if len(rows) > MOST_CLASSES * MOST_CLASSES:
-        raise ValueError(f"more than {MOST_CLASSES} classes: is this a classification label?")
-    return [(r["label"], r["prediction"], r["count"]) for r in rows]
+def class_sums(confusion: DataFrame) -> DataFrame:
+    """(class, hits, actual, predicted) of every class that occurs as an actual label. Predictions
+    of no such class count for neither sum."""
+    classes = confusion.select(F.col("label").alias("class")).distinct()
+    inside = confusion.join(classes, F.col("prediction") == F.col("class"), "left_semi")
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
+    actual = inside.groupBy(F.col("label").alias("class")).agg(F.sum("count").alias("actual"), F.sum(hit).alias("hits"))
+    predicted = inside.groupBy(F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
+    none = F.lit(0).cast("long")
+    return classes.join(actual, "class", "left").join(predicted, "class", "left").select(
+        "class", *[F.coalesce(c, none).alias(c) for c in ("hits", "actual", "predicted")])
+
+
+def multiclass_metrics(confusion: DataFrame) -> dict[str, float]:
+    """The metrics of a label with any number of classes, by sums per class; ``confusion`` is written."""
+    total = confusion.agg(F.sum("count").alias("n")).first()["n"] or 0
+
+    def share(part: Column, whole: Column) -> Column:
+        return F.when(whole == 0, F.lit(math.nan)).otherwise(part.cast("double") / whole)
+
+    hits, actual, predicted, all_rows = F.col("hits"), F.col("actual"), F.col("predicted"), F.lit(total)
+    row = class_sums(confusion).agg(
+        F.sum(hits).alias("hits"), F.avg(share(2 * hits + all_rows - actual - predicted, all_rows)).alias("a"),
+        F.avg(share(hits, predicted)).alias("p"), F.avg(share(hits, actual)).alias("r")).first()
+    micro = ratio(row["hits"] or 0, total)
+    means = [math.nan if row[k] is None else row[k] for k in "apr"]
+    return {"accuracy": micro, "precision": micro, "recall": micro, **dict(zip(MULTICLASS_COLUMNS, means))}
+
+
+def named_matrix(confusion: DataFrame) -> "ConfusionMatrix | None":
+    """The matrix of a written table, or None if it has more than ``NAMED_CLASSES`` classes."""
+    classes = confusion.select("label").distinct()
+    if classes.limit(NAMED_CLASSES + 1).count() > NAMED_CLASSES:
+        return None
+    # predictions of classes that never occur may be many; they are one cell per class here
+    known = classes.select(F.col("label").alias("class"))
+    outside = F.when(F.col("class").isNotNull(), F.col("prediction")).otherwise(F.lit(float("nan")))
+    cells = (confusion.join(known, F.col("prediction") == F.col("class"), "left")
+             .groupBy("label", outside.alias("prediction")).agg(F.sum("count").alias("count")).collect())
+    return ConfusionMatrix([(r["label"], r["prediction"], r["count"]) for r in cells])
 
 
 class ConfusionMatrix:
@@ -110,13 +161,13 @@ class ConfusionMatrix:
                 "recall": ratio(tp, tp + fn)}
 
     def multiclass(self) -> dict[str, float]:
-        hits = {c: self.at(c, c) for c in self.classes}
-        actual = {c: sum(self.at(c, p) for p in self.classes) for c in self.classes}
-        predicted = {c: sum(self.at(a, c) for a in self.classes) for c in self.classes}
-        micro, k = ratio(sum(hits.values()), self.total), len(self.classes)
-        per_class = [(ratio(2 * hits[c] + self.total - actual[c] - predicted[c], self.total),
-                      ratio(hits[c], predicted[c]), ratio(hits[c], actual[c]))
-                     for c in self.classes]
+        n, k = self.total, len(self.classes)
+        hits = [self.at(c, c) for c in self.classes]
+        actual = [sum(self.at(c, p) for p in self.classes) for c in self.classes]
+        predicted = [sum(self.at(a, c) for a in self.classes) for c in self.classes]
+        micro = ratio(sum(hits), n)
+        per_class = [(ratio(2 * h + n - a - p, n), ratio(h, p), ratio(h, a))
+                     for h, a, p in zip(hits, actual, predicted)]
         means = [sum(column) / k for column in zip(*per_class)] if k else [math.nan] * 3
         return {"accuracy": micro, "precision": micro, "recall": micro,
                 **dict(zip(MULTICLASS_COLUMNS, means))}
@@ -163,7 +214,11 @@ def area_under_roc(points: DataFrame) -> DataFrame:
 
 class ComputeModelStatistics(HasLabelCol, Transformer):
     """Metrics of a scored table, one row. Roles come from column metadata; for tables scored
-    elsewhere name the columns and a metric (or "classification" / "regression")."""
+    elsewhere name the columns and a metric (or "classification" / "regression").
+
+    Labels may have any number of classes. The cells of the confusion matrix are columns of the
+    result up to ``NAMED_CLASSES`` classes; ``confusionTable`` has them as rows in every case.
+    """
 
     evaluationMetric = param("evaluationMetric", "metric to evaluate models with", as_str)
     scoredLabelsCol = param("scoredLabelsCol", "predicted label column", as_str)
@@ -174,6 +229,7 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
     def __init__(self, **values):
         super().__init__(**values)
         self.rocCurve: DataFrame | None = None
+        self.confusionTable: DataFrame | None = None
 
     def _roles(self, schema: T.StructType) -> tuple[str | None, str, str]:
         model = roles.first_model(schema)
@@ -217,18 +273,20 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
         levels = roles.get_levels(df.schema, label)
         if levels is not None and not _holds_values(df.schema[label].dataType, levels):
             levels = None                     # the column holds positions already
-        matrix = ConfusionMatrix(_cells(confusion_table(df, label, predicted, levels)))
-        binary = len(matrix.classes) == 2
+        self.confusionTable = stage_table(confusion_table(df, label, predicted, levels), "confusion")
+        matrix = named_matrix(self.confusionTable)
+        binary = matrix is not None and len(matrix.classes) == 2
         cells: list[tuple[str, object]] = [(EVALUATION_TYPE, roles.CLASSIFICATION)]
         if metric == "AUC":
-            known = levels if levels is not None else matrix.classes
-            if len(known) > 2:
+            known = levels if levels is not None else matrix.classes if matrix else None
+            if known is None or len(known) > 2:
                 raise ValueError("AUC needs a label of two classes")
             cells.append(("AUC", self._auc(df, label, levels, scores, predicted)))
         else:
-            values = matrix.binary() if binary else matrix.multiclass()
+            values = (matrix.binary() if binary else matrix.multiclass() if matrix
+                      else multiclass_metrics(self.confusionTable))
             if everything:
-                cells += matrix.named_cells() + list(values.items())
+                cells += (matrix.named_cells() if matrix else []) + list(values.items())
                 if binary:
                     cells.append(("AUC", self._auc(df, label, levels, scores, predicted)))
             else:
@@ -243,7 +301,8 @@ class ComputeModelStatistics(HasLabelCol, Transformer):
         column = F.col(f"`{name}`")
         if isinstance(df.schema[name].dataType, VectorUDT):
             column = elements(column)[1]
-        points = roc_points(df, class_number(F.col(f"`{label}`"), levels), column)
+        numbered, number = numbered_label(df, label, levels)
+        points = roc_points(numbered, number, column)
         self.rocCurve = roc_curve(points)
         return area_under_roc(points).first()["AUC"]
 

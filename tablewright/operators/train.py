@@ -21,6 +21,7 @@ from tablewright.functions.vectors import elements
 from tablewright.functions import roles
 from tablewright.operators.categorical import LEVEL_TYPES, ValueIndexer, ValueIndexerModel
 from tablewright.operators.featurize import DEFAULT_WIDTH, TREE_WIDTH, Featurize
+from tablewright.operators.metrics import numbered_label
 
 TREES = (DecisionTreeClassifier, GBTClassifier, RandomForestClassifier, DecisionTreeRegressor,
          GBTRegressor, RandomForestRegressor)
@@ -120,24 +121,24 @@ class TrainClassifier(_Trainer):
                 return _index_in_order(df, label, levels), levels
         else:
             model = ValueIndexer(inputCol=label, outputCol=label).fit(df)
-            if model.levels is None:
-                raise ValueError("too many label values for a classifier")
         indexed = model.transform(df)
         meta = indexed.schema[label].metadata
+        # a classifier has numbers for every class on the driver and in every scored row; the list of
+        # classes is no longer than these
+        listed = model.levels if model.levels is not None else [
+            r["level"] for r in model.levelTable.orderBy("position").select("level").collect()]
         # rows whose label is not among the given ones cannot be learned from
-        known = len([v for v in model.levels if v is not None])
+        known = len([v for v in listed if v is not None])
         numbered = indexed.filter(F.col(f"`{label}`") < known).withColumn(
             label, F.col(f"`{label}`").cast("double")).withMetadata(label, meta)
-        return numbered, [v for v in model.levels if v is not None]
+        return numbered, [v for v in listed if v is not None]
 
 
 def _index_in_order(df: DataFrame, label: str, levels: list) -> DataFrame:
     """Label positions in an order other than ascending."""
-    number = F.lit(None).cast("double")
-    for i, level in enumerate(levels):
-        number = F.when(F.col(f"`{label}`") == F.lit(level), F.lit(float(i))).otherwise(number)
     kind = df.schema[label].dataType
-    indexed = df.withColumn(label, number).na.drop(subset=[label])
+    numbered, number = numbered_label(df, label, levels)
+    indexed = numbered.withColumn(label, number).select(*[F.col(f"`{c}`") for c in df.columns]).na.drop(subset=[label])
     return roles.set_levels(indexed, label, levels, kind)
 
 

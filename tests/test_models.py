@@ -1,11 +1,12 @@
 """Training, scoring, metrics and model selection."""
 
 import math
+from collections import Counter
 
 import pytest
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-    RandomForestClassifier,
+    NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -254,3 +255,32 @@ def test_parameter_spaces(spark):
     assert len(default_range(RandomForestClassifier())) == 6
     with pytest.raises(TypeError):
         default_range(LinearRegression())
+
+
+def test_metrics_of_many_classes(spark):
+    """A label like a key: no cap, no matrix in columns, the same numbers as by the matrix."""
+    rows = [(float(i % 3000), float((i * 7) % 3000 if i % 4 else i % 3000)) for i in range(9000)] + [(5.0, 99999.0), (2999.5, 1.0)]
+    df = spark.createDataFrame(rows, "label double, scored_labels double")
+    stats = ComputeModelStatistics(labelCol="label", scoredLabelsCol="scored_labels", evaluationMetric="classification")
+    out = stats.transform(df)
+    assert len(out.columns) == 7 and stats.confusionTable.agg({"count": "sum"}).first()[0] == len(rows)
+    counts = Counter(rows)
+    expected = ConfusionMatrix([(a, p, n) for (a, p), n in counts.items()]).multiclass()
+    found = out.first().asDict()
+    for name, value in expected.items():
+        assert found[name] == pytest.approx(value, nan_ok=True) or math.isnan(found[name]) and math.isnan(value)
+
+
+def test_sixty_thousand_labels_train_and_score(spark):
+    """More labels than are kept in column metadata: positions by a table, a learner that needs one
+    number per label and feature."""
+    n = 60000
+    df = spark.range(n).select(F.concat(F.lit("label-"), F.format_string("%06d", F.col("id"))).alias("label"),
+                               (F.col("id") % 2).cast("double").alias("x"))
+    model = TrainClassifier(model=NaiveBayes(), labelCol="label").fit(df)
+    assert len(model.getLevels()) == n and model.getLevels() == sorted(model.getLevels())
+    scored = model.transform(df.limit(3))
+    assert {r["scored_labels"] for r in scored.collect()} <= {float(i) for i in range(n)}
+    given = [f"label-{i:06d}" for i in range(5000)][::-1]
+    ordered = TrainClassifier(model=NaiveBayes(), labelCol="label", labels=given).fit(df.limit(5000))
+    assert ordered.getLevels() == given

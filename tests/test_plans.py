@@ -117,3 +117,30 @@ def test_exact_sample_beyond_one_task(spark, monkeypatch):
     assert exact_sample(df, ["id"], 5000).count() == 3000
     copies = spark.createDataFrame([(1,)] * 500 + [(2,)] * 20, "k int")
     assert exact_sample(copies, ["k"], 300).count() == 300
+
+
+def test_quantiles_take_three_scans(spark):
+    """A sketch, a count at the proposed values, a count between them: jobs, whatever the columns."""
+    from tablewright.plans import quantiles
+    rows = [(i, (i * 7919) % 10007 / 7.0, float(i % 13), None if i % 5 else float(i)) for i in range(60000)]
+    df = spark.createDataFrame(rows, "a long, b double, c double, d double").repartition(4).cache()
+    df.count()
+    probabilities = [0.0, 0.005, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 0.995, 1.0]
+    spark.sparkContext.setJobGroup("quantiles", "exact quantiles")
+    found = quantiles.exact_quantiles(df, df.columns, probabilities)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    df.unpersist()
+    assert len(jobs) <= 6    # adaptive plans make a job of every shuffle
+    for j, c in enumerate(df.columns):
+        own = sorted(r[j] for r in rows if r[j] is not None)
+        assert found[c] == [own[max(1, -(-int(round(p * 1000)) * len(own) // 1000)) - 1] for p in probabilities]
+
+
+def test_quantiles_sketch_again_when_much_is_left(spark, monkeypatch):
+    from tablewright.plans import quantiles
+    monkeypatch.setattr(quantiles, "PROPOSAL_ACCURACY", 50)
+    monkeypatch.setattr(quantiles, "GATHER", 100)
+    values = [float((i * 7919) % 30011) for i in range(30011)]
+    df = spark.createDataFrame([(v,) for v in values], "a double").repartition(3)
+    assert quantiles.exact_quantiles(df, ["a"], [0.1, 0.5, 0.995]) == {"a": [3001.0, 15005.0, 29860.0]}
