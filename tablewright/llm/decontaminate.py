@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import ship_with_job, staged
+from tablewright.llm.common import pack, ship_with_job, staged, unpack
 from tablewright.llm.words import word_hashes
 
 SLOTS = 1 << 15
@@ -192,10 +192,15 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def _near(total: np.ndarray, groups: dict, unit: int, offset: int = 0) -> Iterator[tuple]:
-    """Windows of running sums ``total``, one per ``unit`` words, that are near a part; the first
-    one begins at the word ``offset``. Groups wider than the sums are compared with all of them."""
+def _near(total: np.ndarray, groups: dict, enough: np.ndarray, unit: int, offset: int = 0) -> Iterator[tuple]:
+    """Windows of running sums ``total``, one per ``unit`` words, that are near one of the parts
+    ``enough``; the first one begins at the word ``offset``. Groups wider than the sums are compared
+    with all of them."""
     for count, (own, matrix) in groups.items():
+        left = np.nonzero(enough[own])[0]
+        if not len(left):
+            continue
+        own, matrix = own[left], matrix[:, left]
         width = min(count, len(total) - 1)
         windows = total[width:] - total[:-width]
         norms = np.maximum(np.sqrt((windows * windows).sum(axis=1)), 1e-9)
@@ -210,29 +215,37 @@ def _running(rows: np.ndarray) -> np.ndarray:
     return total
 
 
+def possible_parts(slots: np.ndarray, items: Items) -> np.ndarray:
+    """Whether the document has enough words of each part at all: no other part can have a common
+    subsequence of that length, so no window has to be compared with it."""
+    there = np.zeros(SLOTS, dtype=bool)
+    there[slots] = True
+    return np.add.reduceat(there[items.slots].astype(np.int64), items.offsets) >= LIKELY * items.lengths
+
+
 def candidates(hashes: np.ndarray, space: np.ndarray, items: Items) -> list[tuple]:
     """Arrays of (part, first word, words, cosine): windows that are near an item's part."""
     slots, found = slots_of(hashes), []
-    if items.by_steps:
+    if not len(items.slots):
+        return found
+    enough = possible_parts(slots, items)
+    short = items.lengths < SHORT
+    if (enough & ~short).any():
         sums = np.add.reduceat(space[slots], np.arange(0, len(hashes), STEP), axis=0)
-        found += _near(_running(sums), items.by_steps, STEP)
-    if items.by_words:
+        found += _near(_running(sums), items.by_steps, enough, STEP)
+    if (enough & short).any():
         # neighbouring pieces overlap, so that every window lies in one
         for at in range(0, max(len(hashes) - SHORT, 1), PIECE):
-            found += _near(_running(space[slots[at:at + PIECE + SHORT]]), items.by_words, 1, at)
+            found += _near(_running(space[slots[at:at + PIECE + SHORT]]), items.by_words, enough, 1, at)
     return found
 
 
 def possible(hashes: np.ndarray, found: list[tuple], items: Items) -> list[tuple[int, int, int, float]]:
-    """The candidates whose region has enough words of the part: no other one can have a common
-    subsequence of that length."""
+    """The candidates whose region has enough words of the part."""
     slots = slots_of(hashes)
-    there = np.zeros(SLOTS, dtype=bool)
-    there[slots] = True
-    enough = np.add.reduceat(there[items.slots].astype(np.int64), items.offsets) >= LIKELY * items.lengths
     parts, at, width, cosine = (np.concatenate(x) for x in zip(*found))
     left = []
-    for part in np.unique(parts[enough[parts]]).tolist():
+    for part in np.unique(parts).tolist():
         own = np.nonzero(parts == part)[0]
         start, length = items.offsets[part], items.lengths[part]
         member = np.zeros(SLOTS, dtype=bool)
@@ -288,17 +301,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     held = spark.sparkContext.broadcast(space)  # SLOTS x RANK numbers, whatever the data
     for block in range(blocks):
         own = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        items = spark.sparkContext.broadcast(Items([(r["item_id"], r["text"]) for r in own], space))
+        asked_rows = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in own])  # plain data
 
-        def run(batches: Iterator[pd.DataFrame], items=items) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame], asked_rows=asked_rows) -> Iterator[pd.DataFrame]:
+            items = Items(asked_rows.value, held.value)
             for batch in batches:
                 out = []
                 for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"]):
                     hashes = word_hashes(text)
                     if len(hashes) < LEAST_WORDS:
                         continue
-                    near = candidates(hashes, held.value, items.value)
-                    for item, (share, first, common, cosine, answered) in check(hashes, near, items.value).items():
+                    near = candidates(hashes, held.value, items)
+                    for item, (share, first, common, cosine, answered) in check(hashes, near, items).items():
                         out.append((doc_id, item, share, common, -first, cosine, answered))
                 frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
                 yield frame.astype({"doc_id": "Int64", "item_id": "Int64"})
@@ -310,7 +324,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, columns as in ``docs``. Equal texts share the
     verdict, so rows with null or repeated ids are told apart by their text."""
-    named = docs.withColumn("_key", F.xxhash64("text"))
-    found = leaks(named.select(F.col("_key").alias("doc_id"), "text"), benchmark)
+    packed, row = pack(docs, "text")
+    named = packed.select(row, F.xxhash64("text").alias("_key"))
+    found = leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark)
     gone = staged(found.select(F.col("doc_id").alias("_key")).distinct(), "leaks")
-    return named.join(gone, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpack(named.join(gone, "_key", "left_anti"), docs, row)
