@@ -306,11 +306,11 @@ def phrase_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     leaves = (texts.mapInArrow(_counter(found), _COUNTS).withColumnRenamed("phrase", "suffix")
               .withColumn("phrase", F.substring_index("suffix", " ", 2)))
     # extended prefixes hold a fixed share of all suffixes each, so there is a bounded number of them
-    heavy = pairs.filter(F.col("f") > largest).select("lang", "phrase", F.lit(True).alias("extended"))
-    leaves = leaves.join(F.broadcast(heavy), ["lang", "phrase"], "left")
+    name = F.concat_ws("\t", "lang", "phrase")
+    heavy = [r[0] for r in pairs.filter(F.col("f") > largest).select(name).collect()]
+    leaves = leaves.withColumn("extended", name.isin(heavy) if heavy else F.lit(False))
     prefix = F.when(F.col("extended"), F.xxhash64("lang", "suffix")).otherwise(F.xxhash64("lang", "phrase"))
-    leaves = (leaves.select("lang", "suffix", F.coalesce("extended", F.lit(False)).alias("extended"), "n",
-                            F.pmod(prefix, F.lit(groups)).alias("_group"))
+    leaves = (leaves.select("lang", "suffix", "extended", "n", F.pmod(prefix, F.lit(groups)).alias("_group"))
               .repartition("_group").drop("_group").sortWithinPartitions("suffix"))
     nodes = leaves.mapInArrow(_subtree, _COUNTS)
     found_phrases = (nodes.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= LEAST))
