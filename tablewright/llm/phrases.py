@@ -3,8 +3,9 @@
 Texts are cut into pieces and these into words; a suffix begins at a word, ends with its piece and is cut
 off after ``DEPTH`` words. All counting is by language.
 
-1. Vertical partitioning: words are counted, then pairs of frequent words. A prefix below ``LEAST`` ends
-   there, as no phrase with it can be a candidate or a part of one. Pairs are the prefixes of the subtrees;
+1. Vertical partitioning: words are counted, then pairs of frequent words by 64-bit numbers. A prefix below
+   ``LEAST`` ends there, as no phrase with it can be a candidate or a part of one. Pairs are the prefixes of
+   the subtrees; two pairs of one number are counted together and share a subtree's group, no more;
    those of more than a quarter of a group's memory budget are extended to ``DEPTH`` words.
    Prefixes are dealt to groups by their hash, in as many groups as keep each one's total within the budget.
 2. Each group's suffixes, combined before they are shuffled, are sorted, which gives the leaves of its
@@ -50,24 +51,38 @@ _STRETCH = 1 << 20
 _COUNTS = "lang string, phrase string, n long"
 
 
-def words_of(text: str | None) -> Iterator[list[bytes]]:
-    """The words of the text with ``_BREAK`` between its pieces, in lists that end with a piece. Within a
-    piece only blanks and tabs are white space."""
-    data = (text or "").encode("utf-8", "surrogatepass").translate(_CUT)
-    at = 0
-    while at < len(data):
-        to = data.find(_BREAK, at + _STRETCH) + 1 or len(data)
-        yield data[at:to].replace(_BREAK, b" " + _BREAK + b" ").split()
-        at = to
+def stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """(lang, words) of a batch of (lang, text): the words of texts of one language with ``_BREAK`` between
+    their pieces, in lists that end with a piece. Within a piece only blanks and tabs are white space. Short
+    texts share a list, long ones are cut where a piece ends."""
+    waiting: dict[str, list[bytes]] = defaultdict(list)
+    size: dict[str, int] = defaultdict(int)
+
+    def words(lang: str) -> Iterator[tuple[str, list[bytes]]]:
+        data, at = _BREAK.join(waiting.pop(lang)) + _BREAK, 0
+        del size[lang]
+        while at < len(data):
+            to = data.find(_BREAK, at + _STRETCH) + 1 or len(data)
+            yield lang, data[at:to].replace(_BREAK, b" " + _BREAK + b" ").split()
+            at = to
+
+    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
+        data = (text.as_py() or b"").translate(_CUT)
+        waiting[lang].append(data)
+        size[lang] += len(data) + 1
+        if size[lang] >= _STRETCH:
+            yield from words(lang)
+    for lang in list(waiting):
+        yield from words(lang)
 
 
 def _number(lang: bytes, word: bytes) -> int:
     return xxhash.xxh64_intdigest(lang + b"\t" + word, _SEED)
 
 
-def _joined(numbers: np.ndarray) -> np.ndarray:
-    """Numbers of the pairs of neighbouring words, from the numbers of the words."""
-    mixed = numbers[:-1] * np.uint64(0x9E3779B97F4A7C15) + numbers[1:]
+def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Numbers of pairs of words, from the numbers of the words."""
+    mixed = first * np.uint64(0x9E3779B97F4A7C15) + second
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     return mixed ^ (mixed >> np.uint64(32))
@@ -80,13 +95,16 @@ def _bits_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # ---- tables of frequent prefixes ----
 
 def _bit_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of words (lang, phrase) or of pairs (pair)."""
     bits = np.zeros(BITS, dtype=bool)
     for batch in batches:
-        for lang, phrase in zip(*(c.to_pylist() for c in batch.columns)):
-            own = lang.encode()
-            numbers = np.array([_number(own, w) for w in phrase.encode().split(b" ")], dtype=np.uint64)
-            for at in _bits_of(_joined(numbers) if len(numbers) > 1 else numbers):
-                bits[at] = True
+        if batch.num_columns == 1:
+            numbers = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        else:
+            numbers = np.array([_number(lang.encode(), word.encode()) for lang, word in
+                                zip(*(c.to_pylist() for c in batch.columns))], dtype=np.uint64)
+        for at in _bits_of(numbers):
+            bits[at] = True
     blocks = bits.reshape(-1, BLOCK_BITS)
     there = np.nonzero(blocks.any(axis=1))[0]
     for block in there:
@@ -107,10 +125,10 @@ def _joined_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def bit_table(frequent: DataFrame) -> bytes:
-    """``BITS`` bits, two of them set for each word or pair of a written table (lang, phrase)."""
+    """``BITS`` bits, two of them set for each word (lang, phrase) or pair (pair) of a written table."""
     table = np.zeros(BITS // 8, dtype=np.uint8)
     size = BLOCK_BITS // 8
-    for r in (frequent.select("lang", "phrase").mapInArrow(_bit_blocks, "block int, bits binary")
+    for r in (frequent.mapInArrow(_bit_blocks, "block int, bits binary")
               .repartition("block").mapInArrow(_joined_blocks, "block int, bits binary").collect()):
         table[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["bits"], dtype=np.uint8)
     return table.tobytes()
@@ -140,13 +158,21 @@ class Known(dict):
 
 # ---- counting ----
 
-def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total: bool = False):
+def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total: bool = False,
+             numbered: bool = False):
     """Counts what ``found(lang)(words)`` lists for the words of each text, with ``total`` also the
-    sum of the counts beside the empty phrase."""
+    sum of the counts beside the empty phrase, with ``numbered`` the ``prefixes`` of what is listed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
         ways: dict[str, Callable] = {}
 
+        def way(lang: str) -> Callable:
+            if lang not in ways:
+                if len(ways) >= 1000:
+                    ways.clear()
+                ways[lang] = found(lang)
+            return ways[lang]
+
         def rows() -> Iterator[pa.RecordBatch]:
             for lang, counter in counts.items():
                 counter.pop(_BREAK, None)
@@ -154,41 +180,33 @@ def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total
                     counter[b""] = sum(counter.values())
                 keys, n = list(counter), list(counter.values())
                 for at in range(0, len(keys), 1 << 16):
-                    part = pa.array(keys[at:at + (1 << 16)], pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), part, pa.array(n[at:at + (1 << 16)], pa.int64())],
-                        ["lang", "phrase", "n"])
+                    own = keys[at:at + (1 << 16)]
+                    columns = {"lang": pa.array([lang] * len(own), pa.string()), "phrase": pa.array(own, pa.string()),
+                               "n": pa.array(n[at:at + (1 << 16)], pa.int64())}
+                    if numbered:
+                        columns["pair"] = pa.array(way(lang).prefixes(own).view(np.int64))
+                    yield pa.RecordBatch.from_pydict(columns)
             counts.clear()
 
         held = 0
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                way = ways.get(lang)
-                if way is None:
-                    if len(ways) >= 1000:
-                        ways.clear()
-                    way = ways[lang] = found(lang)
-                for words in words_of(text.as_py()):
-                    counter = counts[lang]
-                    held -= len(counter)
-                    counter.update(way(words))
-                    held += len(counter)
-                    if held >= HELD:
-                        yield from rows()
-                        held = 0
+            for lang, words in stretches(batch):
+                counter = counts[lang]
+                held -= len(counter)
+                counter.update(way(lang)(words))
+                held += len(counter)
+                if held >= HELD:
+                    yield from rows()
+                    held = 0
         yield from rows()
     return run
 
 
-def _summed(texts: DataFrame, found: Callable, label: str, total: bool = False) -> DataFrame:
-    """The frequent ones of what is found, written; with ``total`` also how many were found at all."""
-    return staged(texts.mapInArrow(_counter(found, total), _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-                  .filter((F.col("f") >= LEAST) | (F.col("phrase") == "")), label)
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, phrase, f): frequent words, and how many words there are at all beside the empty phrase."""
-    return _summed(texts, lambda lang: lambda words: words, "words", total=True)
+    every = texts.mapInArrow(_counter(lambda lang: lambda words: words, total=True), _COUNTS)
+    return staged(every.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+                  .filter((F.col("f") >= LEAST) | (F.col("phrase") == "")), "words")
 
 
 def _together(numbers: np.ndarray) -> np.ndarray:
@@ -196,31 +214,90 @@ def _together(numbers: np.ndarray) -> np.ndarray:
     return (numbers[:-1] != 0) & (numbers[1:] != 0)
 
 
+def _merged(numbers: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different numbers with the sums of their counts."""
+    every = np.concatenate(numbers)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    first = np.nonzero(np.append(True, every[1:] != every[:-1]))[0]
+    return every[first], np.add.reduceat(np.concatenate(n)[order], first)
+
+
+def _pair_counter(words):
+    """Counts pairs of frequent words by their numbers; ``words`` is the broadcast bit table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Known] = {}
+        numbers: list[np.ndarray] = []
+        n: list[np.ndarray] = []
+
+        def row() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(numbers[0].view(np.int64)), pa.array(n[0])], ["pair", "n"])
+            numbers.clear()
+            n.clear()
+            return batch
+
+        held = 0
+        for batch in batches:
+            for lang, piece in stretches(batch):
+                if lang not in known:
+                    if len(known) >= 1000:
+                        known.clear()
+                    known[lang] = Known(lang, words.value)
+                own = known[lang].numbers(piece)
+                at = np.nonzero(_together(own))[0]
+                if not len(at):
+                    continue
+                pairs, often = np.unique(_joined(own[at], own[at + 1]), return_counts=True)
+                numbers.append(pairs)
+                n.append(often.astype(np.int64))
+                held += len(pairs)
+                if held >= 4 * HELD:
+                    numbers[:], n[:] = ([x] for x in _merged(numbers, n))
+                    held = len(numbers[0])
+                    if held >= 2 * HELD:
+                        yield row()
+                        held = 0
+        if numbers:
+            numbers[:], n[:] = ([x] for x in _merged(numbers, n))
+            yield row()
+    return run
+
+
 def pair_counts(texts: DataFrame, words) -> DataFrame:
-    """``words`` is the broadcast bit table."""
-    def found(lang: str):
-        known = Known(lang, words.value)
-        return lambda piece: [a + b" " + b for a, b, ok in
-                              zip(piece, piece[1:], _together(known.numbers(piece)).tolist()) if ok]
-    return _summed(texts, found, "pairs")
+    """(pair, f): numbers of the pairs that stand ``LEAST`` times or more; ``words`` is the broadcast bit table."""
+    every = texts.mapInArrow(_pair_counter(words), "pair long, n long")
+    return staged(every.groupBy("pair").agg(F.sum("n").alias("f")).filter(F.col("f") >= LEAST), "pairs")
 
 
-def suffixes(words: list[bytes], known: Known, table: np.ndarray) -> list[bytes]:
-    """The suffixes that begin with a frequent pair, cut off at rare pairs, after ``DEPTH`` words
+class Suffixes:
+    """Cuts the suffixes that begin with a frequent pair, off at rare pairs, after ``DEPTH`` words
     and where the piece ends; a blank follows every word."""
-    numbers = known.numbers(words)
-    ok = np.zeros(len(words) + DEPTH, dtype=bool)
-    ok[:max(len(words) - 1, 0)] = _together(numbers)
-    at = np.nonzero(ok)[0]
-    pairs = _joined(numbers)[at] if len(at) else numbers[:0]
-    for bit in _bits_of(pairs):
-        ok[at] &= (table[bit >> np.uint64(3)] & (np.uint8(128) >> (bit & np.uint64(7)).astype(np.uint8))) != 0
-    start = np.nonzero(ok)[0]
-    end, more = start + 2, np.ones(len(start), dtype=bool)
-    for step in range(1, DEPTH - 1):
-        more &= ok[start + step]
-        end += more
-    return [b" ".join(words[i:j]) + b" " for i, j in zip(start.tolist(), end.tolist())]
+
+    def __init__(self, lang: str, words: bytes, pairs: bytes):
+        self.known, self.table = Known(lang, words), np.frombuffer(pairs, dtype=np.uint8)
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        numbers = self.known.numbers(words)
+        ok = np.zeros(len(words) + DEPTH, dtype=bool)
+        at = np.nonzero(_together(numbers))[0]
+        there = np.ones(len(at), dtype=bool)
+        for bit in _bits_of(_joined(numbers[at], numbers[at + 1])):
+            there &= (self.table[bit >> np.uint64(3)] & (np.uint8(128) >> (bit & np.uint64(7)).astype(np.uint8))) != 0
+        start = at[there]
+        ok[start] = True
+        end, more = start + 2, np.ones(len(start), dtype=bool)
+        for step in range(1, DEPTH - 1):
+            more &= ok[start + step]
+            end += more
+        text = b" ".join(words) + b" "
+        place = np.zeros(len(words) + 1, dtype=np.int64)
+        np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1, out=place[1:])
+        return [text[i:j] for i, j in zip(place[start].tolist(), place[end].tolist())]
+
+    def prefixes(self, cut: list[bytes]) -> np.ndarray:
+        """The numbers of their first two words."""
+        parts = [s.split(b" ", 2) for s in cut]
+        return _joined(self.known.numbers([p[0] for p in parts]), self.known.numbers([p[1] for p in parts]))
 
 
 def group_plan(pairs: DataFrame) -> tuple[int, int]:
@@ -231,7 +308,7 @@ def group_plan(pairs: DataFrame) -> tuple[int, int]:
     groups = max(4 * tasks, -(-2 * total // budget))
     light = pairs.filter(F.col("f") <= budget // 4)
     for _ in range(8):
-        load = (light.groupBy(F.pmod(F.xxhash64("lang", "phrase"), F.lit(groups)).alias("g")).agg(F.sum("f").alias("f"))
+        load = (light.groupBy(F.pmod("pair", F.lit(groups)).alias("g")).agg(F.sum("f").alias("f"))
                 .agg(F.max("f").alias("m")).first()["m"] or 0)
         if load <= budget:
             break
@@ -294,22 +371,16 @@ def phrase_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = texts.sparkSession
     counted = word_counts(texts)
     words, totals = counted.filter("phrase != ''"), counted.filter("phrase = ''").select("lang", F.col("f").alias("n"))
-    word_bits = spark.sparkContext.broadcast(bit_table(words))
+    word_bits = spark.sparkContext.broadcast(bit_table(words.select("lang", "phrase")))
     pairs = pair_counts(texts, word_bits)
-    pair_bits = spark.sparkContext.broadcast(bit_table(pairs))
+    pair_bits = spark.sparkContext.broadcast(bit_table(pairs.select("pair")))
     groups, largest = group_plan(pairs)
-
-    def found(lang: str):
-        known, table = Known(lang, word_bits.value), np.frombuffer(pair_bits.value, dtype=np.uint8)
-        return lambda piece: suffixes(piece, known, table)
-
-    leaves = (texts.mapInArrow(_counter(found), _COUNTS).withColumnRenamed("phrase", "suffix")
-              .withColumn("phrase", F.substring_index("suffix", " ", 2)))
+    leaves = (texts.mapInArrow(_counter(lambda lang: Suffixes(lang, word_bits.value, pair_bits.value), numbered=True),
+                               _COUNTS + ", pair long").withColumnRenamed("phrase", "suffix"))
     # extended prefixes hold a fixed share of all suffixes each, so there is a bounded number of them
-    name = F.concat_ws("\t", "lang", "phrase")
-    heavy = [r[0] for r in pairs.filter(F.col("f") > largest).select(name).collect()]
-    leaves = leaves.withColumn("extended", name.isin(heavy) if heavy else F.lit(False))
-    prefix = F.when(F.col("extended"), F.xxhash64("lang", "suffix")).otherwise(F.xxhash64("lang", "phrase"))
+    heavy = [r["pair"] for r in pairs.filter(F.col("f") > largest).collect()]
+    leaves = leaves.withColumn("extended", F.col("pair").isin(heavy) if heavy else F.lit(False))
+    prefix = F.when(F.col("extended"), F.xxhash64("lang", "suffix")).otherwise(F.col("pair"))
     leaves = (leaves.select("lang", "suffix", "extended", "n", F.pmod(prefix, F.lit(groups)).alias("_group"))
               .repartition("_group").drop("_group").sortWithinPartitions("suffix"))
     nodes = leaves.mapInArrow(_subtree, _COUNTS)
