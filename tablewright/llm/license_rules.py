@@ -21,8 +21,9 @@ SPDX, GRANT, NAME, TEXT = 4, 3, 2, 1
 #: How sure a detection of a priority is.
 WEIGHT = {SPDX: 1.0, GRANT: 0.9, NAME: 0.7, TEXT: 0.5}
 
-_S = r"[\s,]{1,6}"
-_V = r"(?:[\s,]{1,6}|-)(?:version[\s,]{1,4}|v\.?\s?)?"
+#: Blanks and commas, or the end of a line with the comment marks that begin the next one.
+_S = r"(?:[ \t]{0,2},?\r?\n[ \t*#/;%!-]{1,12}|[\s,]{1,6})"
+_V = r"(?:" + _S + r"|-)(?:version" + _S + r"|v\.?\s?)?"
 
 # (label, keyword, SPDX identifiers, name)
 FAMILIES = [
@@ -123,18 +124,26 @@ ADDRESSES = [
 
 # (label, keyword, pattern): sentences of license texts and notices
 SENTENCES = [
-    ("mit", "permission is hereby granted", r"permission is hereby granted, free of charge"),
-    ("isc", "permission to use", r"permission to use, copy, modify, and/or distribute this software"),
-    ("zlib", "altered source", r"altered source versions must be plainly marked"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms"),
-    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features"),
-    ("no-warranty", "warrant", r"(?:provided|distributed) \"?as[\s-]is\"?,? without (?:any )?warrant(?:y|ies)"),
-    ("no-warranty", "without any warranty", r"without any warranty; without even the implied warranty"),
-    ("gpl", "free software foundation", r"as published by the free software foundation"),
-    ("public-domain", "public domain", r"\b(?:dedicated to|released into|in|into) the public domain\b"),
-    ("copyright", "copyright", r"\bcopyright (?:\(c\)|©)?\s?(?:19|20)\d\d"),
-    ("all-rights-reserved", "rights reserved", r"\ball rights reserved\b"),
-    ("proprietary", "proprietary", r"\bproprietary (?:and confidential|license)\b"),
+    ("mit", "hereby", r"permission{s}is{s}hereby{s}granted,?{s}free{s}of{s}charge"),
+    ("isc", "and/or", r"permission{s}to{s}use,{s}copy,{s}modify,{s}and/or{s}distribute{s}this{s}software"),
+    ("zlib", "altered", r"altered{s}source{s}versions{s}must{s}be{s}plainly{s}marked"),
+    ("bsd", "redistribution", r"redistribution{s}and{s}use{s}in{s}source{s}and{s}binary{s}forms"),
+    ("bsd-3-clause", "endorse", r"to{s}endorse{s}or{s}promote{s}products{s}derived{s}from{s}this{s}software"),
+    ("bsd-4-clause", "advertising", r"all{s}advertising{s}materials{s}mentioning{s}features"),
+    ("apache-2.0", "compliance", r"not{s}use{s}this{s}file{s}except{s}in{s}compliance{s}with{s}the{s}license"),
+    ("apache-2.0", "governing", r"for{s}the{s}specific{s}language{s}governing{s}permissions{s}and{s}limitations"),
+    ("mpl-2.0", "mozilla", r"source{s}code{s}form{s}is{s}subject{s}to{s}the{s}terms{s}of{s}the{s}mozilla{s}public{s}license"),
+    ("bsl-1.0", "machine-executable", r"machine-executable{s}object{s}code{s}generated{s}by{s}a{s}source{s}language"),
+    ("unlicense", "unencumbered", r"free{s}and{s}unencumbered{s}software{s}released{s}into{s}the{s}public{s}domain"),
+    ("no-warranty", "warrant", r"(?:provided|distributed){s}\"?as(?:-|{s})is\"?,?{s}without{s}(?:any{s})?warrant(?:y|ies)"),
+    ("no-warranty", "warranty", r"without{s}any{s}warranty;{s}without{s}even{s}the{s}implied{s}warranty"),
+    ("no-warranty", "liable", r"in{s}no{s}event{s}shall{s}the{s}(?:authors?|copyright{s}(?:holders?|owners?))"
+                              r"(?:{s}or{s}(?:copyright{s}holders?|contributors))?{s}be{s}liable"),
+    ("gpl", "foundation", r"as{s}published{s}by{s}the{s}free{s}software{s}foundation"),
+    ("public-domain", "domain", r"\b(?:dedicated{s}to|released{s}into|in|into){s}the{s}public{s}domain\b"),
+    ("copyright", "copyright", r"\bcopyright{s}(?:\(c\)|©)?\s?(?:19|20)\d\d"),
+    ("all-rights-reserved", "reserved", r"\ball{s}rights{s}reserved\b"),
+    ("proprietary", "proprietary", r"\bproprietary{s}(?:and{s}confidential|license)\b"),
     ("copyleft", "copyleft", r"\bcopyleft\b"),
 ]
 
@@ -153,5 +162,5 @@ def rules() -> list[Rule]:
         found.append(Rule(label, GRANT, keyword, _GRANTED.format(s=_S) + name))
         found.append(Rule(label, NAME, keyword, name))
     found += [Rule(label, GRANT, keyword, pattern) for label, keyword, pattern in ADDRESSES]
-    found += [Rule(label, TEXT, keyword, pattern) for label, keyword, pattern in SENTENCES]
+    found += [Rule(label, TEXT, keyword, pattern.format(s=_S)) for label, keyword, pattern in SENTENCES]
     return found

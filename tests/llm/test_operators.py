@@ -147,6 +147,27 @@ def test_license_rules_alone(spark):
         assert r["_spans"], r
 
 
+def test_license_sentences_wrapped(spark):
+    """Sentences are found across line ends and the comment marks of the next line."""
+    sentences = [("Permission is hereby granted, free of charge", "mit"),
+                 ("as published by the Free Software Foundation", "gpl"),
+                 ("released into the public domain", "public-domain"), ("All rights reserved", "all-rights-reserved"),
+                 ("Redistribution and use in source and binary forms", "bsd"),
+                 ("GNU General Public License", "gpl"), ("Mozilla Public License version 2.0", "mpl-2.0"),
+                 ("you may not use this file except in compliance with the License", "apache-2.0"),
+                 ("neither may be used to endorse or promote products derived from this software", "bsd-3-clause")]
+    rows = [(label, mark, " ".join(words[:at]) + mark + " ".join(words[at:]))
+            for sentence, label in sentences for words in [sentence.split()]
+            for mark in ("\n", "\r\n", "\n * ", "\n# ", "\n // ", " \n;; ", "\n-- ") for at in range(1, len(words))]
+    # words around what a rule matches may be cut off in any way
+    df = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id long, text string")
+    for r in license_scan.scan(df).collect():
+        assert rows[r["doc_id"]][0] in [s["l"] for s in r["_spans"]], r
+    apart = spark.createDataFrame([(1, "all the rights are reserved"), (2, "general * public / license"),
+                                   (3, "released into the domain")], "doc_id long, text string")
+    assert not any(r["_spans"] for r in license_scan.scan(apart).collect())
+
+
 def brute_fingerprint(text, width=4):
     words = spaced("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     if not words:
