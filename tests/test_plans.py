@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tablewright.operators.sampling import exact_sample, head
@@ -144,3 +146,21 @@ def test_quantiles_sketch_again_when_much_is_left(spark, monkeypatch):
     values = [float((i * 7919) % 30011) for i in range(30011)]
     df = spark.createDataFrame([(v,) for v in values], "a double").repartition(3)
     assert quantiles.exact_quantiles(df, ["a"], [0.1, 0.5, 0.995]) == {"a": [3001.0, 15005.0, 29860.0]}
+
+
+def test_lookup_is_bounded_by_bytes(spark, monkeypatch):
+    """Few rows with wide values are not broadcast, and the join gives the same rows."""
+    rows = [(f"k{i}", [float(i)] * 50, Vectors.dense([1.0] * 30), {"a": "bc"}, (i, "x"), 1000 if i else 5000) for i in range(20)]
+    table = spark.createDataFrame([Row(k=r[0], v=r[1], w=r[2], m=r[3], s=Row(i=r[4][0], t=r[4][1]), n=r[5]) for r in rows])
+    assert 20 * (50 + 30) * 8 < lookup.table_bytes(table) < 20 * (50 + 30) * 8 + 20 * 50 * 8
+    big = spark.range(600).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 25)).alias("k"), "id")
+    small = {how: sorted(map(str, lookup.lookup_join(big, table, ["k"], how, count_col="n").collect()))
+             for how in ("inner", "left")}
+    assert lookup.is_small(table)
+    for bound in (10_000, 100):
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", bound)
+        assert not lookup.is_small(table)
+        for how, expected in small.items():
+            joined = lookup.lookup_join(big, table, ["k"], how, count_col="n")
+            assert sorted(map(str, joined.select("k", "id", "v", "w", "m", "s").collect())) == expected
+    assert lookup.table_bytes(table.limit(0)) == 0
