@@ -8,7 +8,9 @@ estimated number of candidate pairs and probes; the choice steers the plan only,
 finds the same links. Fingerprints probe the values within ``t_i`` bits of their own, and
 candidates are verified inside the join, so that only links leave it.
 
-Equal fingerprints are one node. Components are made of links between nodes.
+Equal fingerprints are one node. Components are made of links between nodes; of a task's links
+only those leave it that join two parts which its earlier links had not joined yet, so a dense
+group of ``n`` fingerprints sends at most ``n - 1`` links per task and not ``n * n / 2``.
 
 Defined results: null and empty texts have no words and fingerprint zero, which is linked like
 any other; null ids are smaller than others and make a null component id; repeated rows are
@@ -37,6 +39,10 @@ SHINGLE, RADIUS = 4, 4
 SAMPLE = 4000
 #: Relative costs of a probe (a row that is shuffled and sorted) and of a verified pair.
 PROBE_COST, PAIR_COST = 1.0, 0.02
+#: Fingerprints whose parts a task holds in memory; beyond, it forgets them and links them anew.
+HELD_NODES = 1_000_000
+#: Pieces into which the documents of one component are dealt where its smallest key joins back.
+ROOT_SALTS = 16
 _PIECE = 1 << 15
 
 
@@ -179,15 +185,48 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
                                    & (F.col("a") < F.col("b")) & near).select("a", "b")
 
 
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The links that join two parts; the others repeat what the links before them say."""
+    parent: dict[int, int] = {}
+
+    def top(node: int) -> int:
+        above = parent.setdefault(node, node)
+        while above != node:
+            parent[node] = parent[above]
+            node, above = above, parent[above]
+        return node
+
+    for batch in batches:
+        kept = []
+        for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+            one, other = top(a), top(b)
+            if one != other:
+                parent[max(one, other)] = min(one, other)
+                kept.append((a, b))
+        if len(parent) > HELD_NODES:
+            parent.clear()
+        yield pd.DataFrame(kept, columns=["a", "b"], dtype="int64")
+
+
+def spanning(pairs: DataFrame) -> DataFrame:
+    """Links (a, b) out of ``pairs`` that have the same components, at most one less per task than the
+    task has nodes (up to ``HELD_NODES`` of them)."""
+    ship_with_job()
+    return pairs.mapInPandas(_forest, "a long, b long")
+
+
 def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(_fp, _first): the smallest ``_key`` of the component of every fingerprint of ``marked``
     (a written table with ``_fp`` and ``_key``)."""
     nodes = staged(marked.groupBy("_fp").agg(F.min("_key").alias("_least")), "fingerprints")
-    roots = staged(components(links(nodes, radius)), "roots")
-    rooted = nodes.join(roots, nodes["_fp"] == roots["node"], "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
-    first = rooted.groupBy("_root").agg(F.min("_least").alias("_first"))
-    return rooted.join(first, "_root").select("_fp", "_first")
+    roots = staged(components(spanning(links(nodes, radius))), "roots")
+    rooted = roots.withColumnRenamed("node", "_fp").join(nodes, "_fp")
+    first = rooted.groupBy("root").agg(F.min("_least").alias("_first"))
+    # most fingerprints of a corpus can hang on one root: its rows are dealt to several keys
+    salted = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ROOT_SALTS - 1))))
+    linked = (roots.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(ROOT_SALTS)).cast("int"))
+              .join(salted, ["root", "_salt"]).select(F.col("node").alias("_fp"), "_first"))
+    return nodes.join(linked, "_fp", "left").select("_fp", F.coalesce("_first", "_least").alias("_first"))
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

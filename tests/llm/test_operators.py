@@ -211,6 +211,32 @@ def test_pigeonhole_finds_every_link(spark):
     assert sum(t + 1 for t in chosen) == 5 and cost == 11
 
 
+@pytest.mark.parametrize("held", [1_000_000, 5])
+def test_dense_groups_send_few_links(spark, monkeypatch, held):
+    """700 fingerprints within 4 bits of a centre, and a chain; pairs within a group are far more than its rows."""
+    import random
+    monkeypatch.setattr(simhash, "HELD_NODES", held)
+    draw = random.Random(9)
+    dense = {0x0F0F ^ sum(1 << b for b in draw.sample(range(64), k)) for k in (1, 2) for _ in range(350)}
+    chain = {(1 << 62) | ((1 << 56) - 1 - ((1 << k) - 1)) for k in range(0, 56, 4)}
+    alone = {draw.getrandbits(62) | (1 << 63) for _ in range(20)}
+    signed = [p - (1 << 64) if p >> 63 else p for p in dense | chain | alone]
+    marked = spark.createDataFrame([(p,) for p in signed], "_fp long").selectExpr("_fp", "struct(_fp as k) as _key")
+    pairs = simhash.links(marked.select("_fp")).coalesce(2).cache()
+    few = simhash.spanning(pairs).collect()
+    assert {(r["a"], r["b"]) for r in few} <= {(r["a"], r["b"]) for r in pairs.collect()}
+    if held > len(signed):
+        assert len(few) <= 2 * len(signed) < pairs.count() / 4
+    found = {r["_fp"]: r["_first"]["k"] for r in simhash.classes(marked).collect()}
+    linked = [(r["a"], r["b"]) for r in pairs.collect()]
+    group, before = {p: p for p in signed}, {}
+    while group != before:
+        before = dict(group)
+        for a, b in linked:
+            group[a] = group[b] = min(group[a], group[b])
+    assert found == group
+
+
 def test_ring(docs, empty):
     found = rows_of(sharding.shard_report(docs, 4))
     counts = [sum(r["shard"] == s for r in found) for s in range(4)]
