@@ -86,23 +86,27 @@ def _clamp(v: Column, top: Column) -> Column:
 
 
 def resize(image: Column, height: int, width: int) -> Column:
-    """Bilinear: centers of output pixels are mapped onto the input."""
-    def body(m: Column) -> Column:
-        def axis(out: Column, size: Column, wanted: int):
+    """Bilinear: centers of output pixels are mapped onto the input. Which rows and columns an output
+    pixel mixes, and their shares, are worked out once per row and column of the output."""
+    def axis(size: Column, wanted: int) -> Column:
+        def place(out: Column) -> Column:
             s = (out + 0.5) * (size.cast("double") / F.lit(float(wanted))) - 0.5
             low = F.floor(s).cast("int")
-            return low, s - low
+            return F.struct(_clamp(low, size - 1).alias("low"), _clamp(low + 1, size - 1).alias("high"),
+                            (s - low).alias("share"))
+        return F.transform(_positions(F.lit(wanted)), place)
 
-        def value(y, x, c):
-            y0, fy = axis(y, m["height"], height)
-            x0, fx = axis(x, m["width"], width)
-            top, left = m["height"] - 1, m["width"] - 1
-            ya, yb, xa, xb = (_clamp(y0, top), _clamp(y0 + 1, top),
-                              _clamp(x0, left), _clamp(x0 + 1, left))
-            mixed = ((1 - fy) * ((1 - fx) * _pixel(m, ya, xa, c) + fx * _pixel(m, ya, xb, c))
-                     + fy * ((1 - fx) * _pixel(m, yb, xa, c) + fx * _pixel(m, yb, xb, c)))
-            return F.floor(mixed + 0.5).cast("int")
-        return _render(m, F.lit(height), F.lit(width), m["channels"], value)
+    def body(m: Column) -> Column:
+        def rendered(rows: Column, columns: Column) -> Column:
+            def value(y, x, c):
+                ya, yb, fy = (rows[y][f] for f in ("low", "high", "share"))
+                xa, xb, fx = (columns[x][f] for f in ("low", "high", "share"))
+                mixed = ((1 - fy) * ((1 - fx) * _pixel(m, ya, xa, c) + fx * _pixel(m, ya, xb, c))
+                         + fy * ((1 - fx) * _pixel(m, yb, xa, c) + fx * _pixel(m, yb, xb, c)))
+                return F.floor(mixed + 0.5).cast("int")
+            return _render(m, F.lit(height), F.lit(width), m["channels"], value)
+        return bind(axis(m["height"], height), lambda rows: bind(
+            axis(m["width"], width), lambda columns: rendered(rows, columns)))
     if height < 0 or width < 0:
         raise ValueError("width and height should be nonnegative")
     return bind(image, body)
@@ -185,14 +189,17 @@ def blur(image: Column, height: float, width: float) -> Column:
         raise ValueError("the box must be at least one pixel")
     dy, dx = box_height // 2, box_width // 2
 
+    def along(size: int, pixel: Callable[[Column], Column]) -> Column:
+        """Sum over the box's cells along one axis."""
+        return F.aggregate(F.sequence(F.lit(0), F.lit(size - 1)), F.lit(0), lambda total, k: total + pixel(k))
+
     def body(m: Column) -> Column:
-        def value(y, x, c):
-            cells = F.sequence(F.lit(0), F.lit(box_height * box_width - 1))
-            total = F.aggregate(cells, F.lit(0), lambda acc, k: acc + _pixel(
-                m, _mirror(y + F.floor(k / box_width).cast("int") - dy, m["height"]),
-                _mirror(x + (k % box_width) - dx, m["width"]), c))
-            return F.rint(total / F.lit(float(box_height * box_width))).cast("int")
-        return _render(m, m["height"], m["width"], m["channels"], value)
+        # sums along the rows first, then along the columns of these
+        flat = _render(m, m["height"], m["width"], m["channels"], lambda y, x, c: along(
+            box_width, lambda k: _pixel(m, y, _mirror(x + k - dx, m["width"]), c)))
+        return bind(flat, lambda f: _render(m, m["height"], m["width"], m["channels"], lambda y, x, c: F.rint(along(
+            box_height, lambda k: _pixel(f, _mirror(y + k - dy, m["height"]), x, c))
+            / F.lit(float(box_height * box_width))).cast("int")))
     return bind(image, body)
 
 
