@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import pack, ship_with_job, staged, unpack
 from tablewright.llm.components import components
+from tablewright.plans.lookup import lookup_join
 
 BITS, SEED = 64, 42
 SHINGLE, RADIUS = 4, 4
@@ -216,9 +217,9 @@ def spanning(pairs: DataFrame) -> DataFrame:
 
 
 def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(_fp, _first): the smallest ``_key`` of the component of every fingerprint of ``marked``
-    (a written table with ``_fp`` and ``_key``)."""
-    nodes = staged(marked.groupBy("_fp").agg(F.min("_key").alias("_least")), "fingerprints")
+    """(_fp, _first, _n): of every fingerprint of ``marked`` (a written table with ``_fp`` and ``_key``)
+    the smallest ``_key`` of its component and its number of rows."""
+    nodes = staged(marked.groupBy("_fp").agg(F.min("_key").alias("_least"), F.count("*").alias("_n")), "fingerprints")
     roots = staged(components(spanning(links(nodes, radius))), "roots")
     rooted = roots.withColumnRenamed("node", "_fp").join(nodes, "_fp")
     first = rooted.groupBy("root").agg(F.min("_least").alias("_first"))
@@ -226,16 +227,17 @@ def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
     salted = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ROOT_SALTS - 1))))
     linked = (roots.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(ROOT_SALTS)).cast("int"))
               .join(salted, ["root", "_salt"]).select(F.col("node").alias("_fp"), "_first"))
-    return nodes.join(linked, "_fp", "left").select("_fp", F.coalesce("_first", "_least").alias("_first"))
+    return nodes.join(linked, "_fp", "left").select("_fp", F.coalesce("_first", "_least").alias("_first"), "_n")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: fingerprint and the smallest id of its component."""
     marked = staged(docs.select("doc_id", fingerprint_column(F.col("text"), width).alias("_fp"))
                     .withColumn("_key", F.struct("doc_id")), "simhash")
-    return marked.drop("_key").join(classes(marked, radius), "_fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
-        F.col("_first.doc_id").alias("component_id"))
+    found = staged(classes(marked, radius).select("_fp", F.col("_first.doc_id").alias("component_id"), "_n"), "classes")
+    # a third of all documents can share one fingerprint: such keys are split off by their counts
+    return lookup_join(marked.drop("_key"), found, ["_fp"], "inner", count_col="_n").select(
+        "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

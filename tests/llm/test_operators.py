@@ -11,6 +11,7 @@ from tablewright.llm import (
     decontaminate, language_id, license_rules, license_scan, line_dedup, mixing, quality_model, quality_rules,
     sharding, simhash, warc,
 )
+from tablewright.plans import lookup
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho".split()
 PROSE = [" ".join(WORDS[(i * k + i) % len(WORDS)] + str(i * k % 7) for i in range(60)) for k in range(1, 7)]
@@ -177,7 +178,10 @@ def brute_fingerprint(text, width=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_simhash_components(docs, empty):
+@pytest.mark.parametrize("small", [True, False])
+def test_simhash_components(docs, empty, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(lookup, "BROADCAST_ROWS", 2)
     found = rows_of(simhash.near_duplicates(docs))
     prints = [int(r["fingerprint"], 16) for r in found]
     for r, p in zip(found, prints):
