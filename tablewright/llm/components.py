@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import staged
@@ -28,14 +28,18 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
 
 
 def _written(links: DataFrame, size: int | None) -> tuple[DataFrame, tuple[int, object]]:
-    """The written links with their number and a sum of their hashes, which are observed as they
-    are written. About ``size`` links are expected; a small table is written by few tasks."""
-    seen = Observation()
+    """The written links with their number and a sum of their hashes. About ``size`` links are
+    expected; a small table is written by few tasks.
+
+    The sum is read from the written table. ``Observation`` would save that pass, but after its first
+    use a session cannot be serialized any more, and the summary of a two-class model holds its session:
+    no such model could score in that session then.
+    """
     if size is not None:
         links = links.coalesce(1 + size // TASK_LINKS)
-    links = links.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
     table = staged(links, "links")
-    return table, (seen.get["n"], seen.get["s"])
+    seen = table.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+    return table, (seen["n"], seen["s"])
 
 
 def components(links: DataFrame) -> DataFrame:

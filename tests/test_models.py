@@ -210,6 +210,20 @@ def test_plain_spark_model(numbers):
 
 # ---- selection ----
 
+@pytest.mark.parametrize("kind", ["logistic", "forest"])
+def test_two_class_models_score_after_components(spark, numbers, kind):
+    """The summary of such a model holds its session, which has to stay serializable."""
+    from tablewright.llm.components import components
+    links = spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a long, b long")
+    assert sorted(tuple(r) for r in components(links).select("node", "root").collect()) == [
+        (1, 1), (2, 1), (3, 1), (7, 7), (8, 7)]
+    model = TrainClassifier(model=LEARNERS[kind](), labelCol="rain").fit(numbers)
+    assert len(model.transform(numbers).select("scored_labels").collect()) == len(ROWS)
+    plain = VectorAssembler(inputCols=["damp", "wind"], outputCol="v").transform(numbers)
+    fitted = LogisticRegression(featuresCol="v", labelCol="rain", maxIter=3).fit(plain)
+    assert len(fitted.transform(plain).select("prediction").collect()) == len(ROWS)
+
+
 def test_best_model(numbers, tmp_path):
     models = [TrainClassifier(model=DecisionTreeClassifier(maxDepth=d), labelCol="rain").fit(numbers)
               for d in (0, 3)]
