@@ -173,6 +173,19 @@ def test_word_vectors(spark):
     assert model.findSynonyms("a", 2).count() == 2 and len(model.transform(df).first()["v"]) == 3
 
 
+def test_word_vectors_of_a_large_table_train_in_partitions(spark, monkeypatch):
+    """One partition trained on all words, whatever their number."""
+    from tablewright.operators import text
+    df = spark.createDataFrame([("a b c a b c".split(),)] + [("d e f".split(),)] * 20, "t array<string>")
+    asked = []
+    fit = text.Word2Vec.fit
+    monkeypatch.setattr(text.Word2Vec, "fit", lambda self, rows: asked.append(self.getNumPartitions()) or fit(self, rows))
+    monkeypatch.setattr(text, "PARTITION_WORDS", 20)
+    model = word_vectors(df, "t", "v", vectorSize=3, minCount=0, seed=42)
+    word_vectors(df, "t", "v", vectorSize=3, minCount=0, seed=42, numPartitions=2)
+    assert asked == [4, 2] and model.getVectors().count() == 6
+
+
 # ---- images ----
 
 def picture(height=3, width=4, channels=3, start=0):
