@@ -152,6 +152,48 @@ def test_images_in_archives_and_by_path(spark, tmp_path):
     assert bytes(got[0]["bytes"]) == data == bytes(got[1]["bytes"]) and [got[i] for i in (2, 3, 4, 5)] == [None] * 4
 
 
+def test_tasks_do_not_grow_with_the_files(spark, folder, monkeypatch):
+    """Small files took a task for each 32 of them."""
+    from tablewright.sources import binary
+    monkeypatch.setattr(binary, "TASKS_PER_CORE", 1)
+    tasks = spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        plain = spark.read.format("binaryFile").load(folder)
+        assert plain.rdd.getNumPartitions() > tasks
+        assert binary._shape(plain, 1.0, False, 0).rdd.getNumPartitions() == tasks
+        assert names(read_binary_files(spark, folder, inspectZip=False))[0] == "f0.txt"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_image_stream_lists_a_batch_once_and_in_few_tasks(spark, tmp_path, monkeypatch):
+    from tablewright.catalog.sources import _bitmap_header
+    from tablewright.sources import images as module
+    from tablewright.sources.binary import LISTING_TASKS
+    picture = bytes.fromhex(_bitmap_header(4, 4)) + bytes(48)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(5):
+        (folder / f"{i}.bmp").write_bytes(picture)
+    with zipfile.ZipFile(folder / "z.zip", "w") as z:
+        z.writestr("a.bmp", picture)
+        z.writestr("b.txt", b"no image")
+    listed, read = [], module.read_images
+    monkeypatch.setattr(module, "read_images", lambda s, path, *a, **k: listed.append(path) or read(s, path, *a, **k))
+    seen, tasks = [], []
+
+    def sink(found, batch_id):
+        seen.extend(r["p"] for r in found.select(F.col("image.path").alias("p")).collect())
+        tasks.append(int(found.sparkSession.conf.get(LISTING_TASKS)))
+    outer = spark.conf.get(LISTING_TASKS, "10000")
+    module.stream_images(spark, str(folder), sink, str(tmp_path / "progress"), availableNow=True).awaitTermination()
+    assert sorted(p.rsplit("/", 1)[1] for p in seen) == [*(f"{i}.bmp" for i in range(5)), "a.bmp"]
+    assert [len(names_) for names_ in listed] == [5]          # plain files only
+    assert tasks == [spark.sparkContext.defaultParallelism] and spark.conf.get(LISTING_TASKS, "10000") == outer
+
+
 def test_write_files_twice(spark, tmp_path):
     df = spark.createDataFrame([("x/1.bin", bytearray(b"one")), ("2.bin", bytearray(b"")), ("3.bin", None)],
                                "name string, data binary")
