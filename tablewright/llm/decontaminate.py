@@ -2,8 +2,8 @@
 
 Passages are vectors of hashed words, weighted by tf-idf. A randomised singular value
 decomposition, whose products are summed per partition, gives a latent space; it is fitted to
-the benchmark's passages and to passages of at most about ``FIT_DOCS`` documents chosen by a
-hash. Document frequencies are counted over all documents.
+the passages of the benchmark and of all documents. Document frequencies are counted over all
+documents.
 
 In every document, windows of about an item's length that begin every ``STEP`` words - for
 items of fewer than ``SHORT`` words, windows of its length at every word - are compared with the item by the cosine in the latent space. Candidates are verified on words:
@@ -34,9 +34,10 @@ from tablewright.llm.words import word_hashes
 SLOTS = 1 << 15
 SLOT_BLOCK = 1 << 10
 RANK, EXTRA = 48, 16
-FIT_DOCS = 4000
 STEP = 8
 PART = 64
+#: Words whose products are summed at a time.
+ADDED_WORDS = 1 << 14
 #: Shorter items are looked for at every word, in pieces of ``PIECE`` words of the document.
 SHORT, PIECE = 16, 1 << 13
 LEAST_WORDS = 5
@@ -82,17 +83,39 @@ def _passages(hashes: np.ndarray) -> list[np.ndarray]:
 def _product(idf: np.ndarray, right: np.ndarray):
     """A function of partitions that sums ``A^T (A right)`` over the partition's passages, in
     blocks of slots."""
+    def add(total: np.ndarray, hashes: list[np.ndarray], weights: list[float]) -> None:
+        sizes = np.array([-(-len(h) // PART) for h in hashes])
+        first = np.cumsum(sizes) - sizes
+        passage = np.concatenate([at + np.arange(len(h)) // PART for at, h in zip(first, hashes)])
+        # a cell is a slot of a passage; cells come in the order of the passages
+        cells, counts = np.unique(passage * SLOTS + slots_of(np.concatenate(hashes)), return_counts=True)
+        passage, slots = cells // SLOTS, cells % SLOTS
+        begin = np.nonzero(np.diff(passage, prepend=-1))[0]
+        row = counts * idf[slots]
+        norms = np.maximum(np.sqrt(np.add.reduceat(row * row, begin)), 1e-12)
+        row = (row * (np.repeat(weights, sizes) / norms)[passage]).astype(np.float32)[:, None]
+        image = np.add.reduceat(row * right[slots], begin, axis=0)
+        order = np.argsort(slots, kind="stable")
+        begin = np.nonzero(np.diff(slots[order], prepend=-1))[0]
+        total[slots[order][begin]] += np.add.reduceat(row[order] * image[passage[order]], begin, axis=0)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        total, hashes, weights, held = None, [], [], 0
         for batch in batches:
             for text, weight in zip(batch["text"], batch["weight"]):
-                for passage in _passages(word_hashes(text)):
-                    slots, counts = np.unique(slots_of(passage), return_counts=True)
-                    row = counts * idf[slots]
-                    row *= weight / max(np.sqrt((row * row).sum()), 1e-12)
-                    if total is None:
-                        total = np.zeros(right.shape)
-                    total[slots] += row[:, None] * (row @ right[slots])
+                own = word_hashes(text)
+                if not len(own):
+                    continue
+                if total is None:
+                    total = np.zeros(right.shape)
+                hashes.append(own)
+                weights.append(weight)
+                held += len(own)
+                if held >= ADDED_WORDS:
+                    add(total, hashes, weights)
+                    hashes, weights, held = [], [], 0
+        if held:
+            add(total, hashes, weights)
         if total is not None:
             for at in range(0, SLOTS, SLOT_BLOCK):
                 yield pd.DataFrame({"block": [at // SLOT_BLOCK],
@@ -119,13 +142,9 @@ def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
 def latent_space(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Slots x ``RANK``: the leading right singular vectors, times the words' weights."""
     count, items = docs.count(), max(benchmark.count(), 1)
-    share = min(1.0, FIT_DOCS / max(count, 1))
-    draw = F.pmod(F.xxhash64("text", F.lit("passages")), F.lit(1 << 20)) / float(1 << 20)
-    weight = float(np.sqrt(max(1.0, FIT_DOCS / items)))  # the items weigh as much as the sample
-    rows = staged(
-        docs.select("text").filter(F.col("text").isNotNull() & (draw < share)).withColumn("weight", F.lit(1.0))
-        .unionByName(benchmark.select("text").filter("text IS NOT NULL").withColumn("weight", F.lit(weight))),
-        "passages")
+    weight = float(np.sqrt(max(1.0, count / items)))  # the items weigh as much as the documents
+    rows = (docs.select("text", F.lit(1.0).alias("weight")).filter("text IS NOT NULL")
+            .unionByName(benchmark.select("text", F.lit(weight).alias("weight")).filter("text IS NOT NULL")))
     omega = np.random.default_rng(3).normal(size=(SLOTS, RANK + EXTRA)).astype(np.float32)
     basis, _ = np.linalg.qr(_summed(rows, idf, omega))
     del omega

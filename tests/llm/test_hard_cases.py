@@ -8,6 +8,7 @@ import subprocess
 import sys
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,28 @@ def test_executors_need_no_library(sf, tmp_path):
                           capture_output=True, text=True, timeout=400)
     assert done.returncode == 0, done.stderr[-3000:]
     assert done.stdout.count("op") >= 5
+
+
+# ---- the latent space ----
+
+def test_latent_space_is_fitted_to_all_documents(spark, monkeypatch):
+    docs = spark.range(6000).selectExpr("id AS doc_id", "concat('one two three four five w', id) AS text")
+    bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    read, summed = [], decontaminate._summed
+    monkeypatch.setattr(decontaminate, "_summed", lambda rows, *a: read.append(rows.count()) or summed(rows, *a))
+    space = decontaminate.latent_space(docs, bench, np.ones(decontaminate.SLOTS))
+    assert read == [6001] * 3 and space.shape == (decontaminate.SLOTS, decontaminate.RANK)
+
+
+def test_summed_products_against_a_matrix(spark):
+    rng = np.random.default_rng(5)
+    texts = ["", " ".join(f"w{i}" for i in rng.integers(0, 50, 150)), "a b a"] * 3
+    idf, right = rng.random(decontaminate.SLOTS) + 0.1, rng.normal(size=(decontaminate.SLOTS, 4)).astype(np.float32)
+    expected = np.zeros(right.shape)
+    for text in texts:
+        for passage in decontaminate._passages(word_hashes(text)):
+            row = np.bincount(decontaminate.slots_of(passage), minlength=decontaminate.SLOTS) * idf
+            row *= 2.0 / np.linalg.norm(row)
+            expected += np.outer(row, row @ right)
+    rows = spark.createDataFrame([(t, 2.0) for t in texts], "text string, weight double")
+    assert np.allclose(decontaminate._summed(rows, idf, right), expected, atol=1e-4)
