@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import pack, ship_with_job, staged, unpack
+from tablewright.llm.common import noted, pack, remove, ship_with_job, staged, unpack
 from tablewright.llm.words import word_hashes
 
 SLOTS = 1 << 15
@@ -36,8 +37,8 @@ SLOT_BLOCK = 1 << 10
 RANK, EXTRA = 48, 16
 STEP = 8
 PART = 64
-#: Words whose products are summed at a time.
-ADDED_WORDS = 1 << 14
+#: Passages whose products are summed at a time, rows of such sums that are added at once, and those of a buffer.
+ADDED_PASSAGES, ADDED, BUFFER = 1 << 12, 8, 1 << 12
 #: Shorter items are looked for at every word, in pieces of ``PIECE`` words of the document.
 SHORT, PIECE = 16, 1 << 13
 LEAST_WORDS = 5
@@ -53,21 +54,63 @@ def slots_of(hashes: np.ndarray) -> np.ndarray:
 
 # ---- the latent space ----
 
-def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _in_passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts to the slots of their words, sorted within each passage of ``PART`` words, two bytes a word."""
+    for batch in batches:
+        out = []
+        for text in batch.pop("text"):
+            slots = slots_of(word_hashes(text)).astype(np.uint16)
+            whole = len(slots) // PART * PART
+            slots[:whole].reshape(-1, PART).sort(axis=1)
+            slots[whole:].sort()
+            out.append(slots.tobytes())
+        yield batch.assign(slots=out)
+
+
+def slot_rows(texts: DataFrame) -> DataFrame:
+    """Rows (text, ...) as (..., slots): null texts go. Rows that have ``slots`` already are left alone."""
+    if "slots" in texts.columns:
+        return texts
+    kept = [f for f in texts.schema.fields if f.name != "text"]
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in kept) + "slots binary"
+    return texts.select("text", *[f.name for f in kept]).filter("text IS NOT NULL").mapInPandas(_in_passages, schema)
+
+
+def few_tasks(rows: DataFrame) -> DataFrame:
+    """The rows in a task per core of the session at most: what each task sums has a size of its own,
+    so the sums don't grow with the number of input partitions."""
+    return rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def _slots(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(slots of all rows one after the other, how many each row has) of a binary column."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    if not len(column) or offsets[-1] == offsets[0]:
+        return np.zeros(0, dtype=np.uint16), np.zeros(len(column), dtype=np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    return data.view(np.uint16), np.diff(offsets) // 2
+
+
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, rows = np.zeros(SLOTS, dtype=np.int64), 0
     for batch in batches:
-        for text in batch["text"]:
-            seen[np.unique(slots_of(word_hashes(text)))] += 1
-            rows += 1
+        slots, sizes = _slots(batch.column(0))
+        cells = np.repeat(np.arange(len(sizes)) * SLOTS, sizes) + slots
+        cells.sort()
+        seen += np.bincount(cells[np.diff(cells, prepend=-1) != 0] % SLOTS, minlength=SLOTS)
+        rows += len(sizes)
     if rows:
         there = np.nonzero(seen)[0]
-        yield pd.DataFrame({"slot": np.append(there, -1), "n": np.append(seen[there], rows)})
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(there, -1), pa.int32()), pa.array(np.append(seen[there], rows))],
+                                         ["slot", "n"])
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
+    """Weights of the slots, from rows with a text or with its slots."""
     counts = np.zeros(SLOTS)
     total = 0
-    for r in (docs.select("text").filter("text IS NOT NULL").mapInPandas(_document_counts, "slot int, n long")
+    for r in (few_tasks(slot_rows(docs).select("slots")).mapInArrow(_document_counts, "slot int, n long")
               .groupBy("slot").agg(F.sum("n").alias("n")).collect()):  # one row per slot
         if r["slot"] < 0:
             total = r["n"]
@@ -80,46 +123,75 @@ def _passages(hashes: np.ndarray) -> list[np.ndarray]:
     return [hashes[at:at + PART] for at in range(0, max(len(hashes), 1), PART) if len(hashes[at:at + PART])]
 
 
+def _added_rows(rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+    """Sums of ``rows[at]``, one for each row of the table ``at``. A buffer takes the rows: fresh memory
+    for them costs more than the sums."""
+    step = max(1, BUFFER // at.shape[1])
+    held = np.empty((step * at.shape[1], rows.shape[1]), dtype=rows.dtype)
+    ones = np.ones((1, at.shape[1]), dtype=rows.dtype)
+    for start in range(0, len(at), step):
+        own = at[start:start + step]
+        taken = np.take(rows, own.ravel(), axis=0, out=held[:own.size], mode="clip")
+        np.matmul(ones, taken.reshape(*own.shape, -1), out=out[start:start + step, None])
+
+
+def _sums(rows: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[at]`` over neighbouring stretches of ``counts`` places, ``ADDED`` rows at a time
+    until each stretch is one row. The last row is zero and fills short stretches."""
+    while True:
+        parts = -(-counts // ADDED)
+        first = (np.cumsum(parts) - parts) * ADDED - (np.cumsum(counts) - counts)
+        padded = np.full(parts.sum() * ADDED, len(rows) - 1, dtype=np.int64)
+        padded[np.arange(len(at)) + np.repeat(first, counts)] = at
+        out = np.zeros((len(padded) // ADDED + 1, rows.shape[1]), dtype=rows.dtype)
+        _added_rows(rows, padded.reshape(-1, ADDED), out[:-1])
+        if (parts == 1).all():
+            return out[:-1]
+        rows, at, counts = out, np.arange(len(out) - 1), parts
+
+
 def _product(idf: np.ndarray, right: np.ndarray):
-    """A function of partitions that sums ``A^T (A right)`` over the partition's passages, in
-    blocks of slots."""
-    def add(total: np.ndarray, hashes: list[np.ndarray], weights: list[float]) -> None:
-        sizes = np.array([-(-len(h) // PART) for h in hashes])
-        first = np.cumsum(sizes) - sizes
-        passage = np.concatenate([at + np.arange(len(h)) // PART for at, h in zip(first, hashes)])
-        # a cell is a slot of a passage; cells come in the order of the passages
-        cells, counts = np.unique(passage * SLOTS + slots_of(np.concatenate(hashes)), return_counts=True)
-        passage, slots = cells // SLOTS, cells % SLOTS
-        begin = np.nonzero(np.diff(passage, prepend=-1))[0]
-        row = counts * idf[slots]
-        norms = np.maximum(np.sqrt(np.add.reduceat(row * row, begin)), 1e-12)
-        row = (row * (np.repeat(weights, sizes) / norms)[passage]).astype(np.float32)[:, None]
-        image = np.add.reduceat(row * right[slots], begin, axis=0)
+    """A function of partitions (weight, slots) that sums ``A^T (A right)`` over the partition's passages,
+    in blocks of slots. A passage's row of ``A`` is as long as its weight."""
+    weighted = np.zeros((SLOTS + 1, right.shape[1]), dtype=np.float32)
+    weighted[:-1] = idf[:, None] * right
+
+    def add(total: np.ndarray, slots: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> None:
+        passage = np.repeat(np.arange(len(sizes)), sizes)
+        cell = np.nonzero(np.diff(passage * SLOTS + slots, prepend=-1))[0]  # slots are sorted in a passage
+        often = np.diff(cell, append=len(slots))
+        norms = np.bincount(passage[cell], weights=(often * idf[slots[cell]]) ** 2, minlength=len(sizes))
+        image = np.zeros((len(sizes) + 1, right.shape[1]), dtype=np.float32)
+        padded = np.full((len(sizes), PART), SLOTS, dtype=np.int64)
+        padded[np.arange(PART) < sizes[:, None]] = slots
+        _added_rows(weighted, padded, image[:-1])
+        image[:-1] *= (weights ** 2 / np.maximum(norms, 1e-24)).astype(np.float32)[:, None]
         order = np.argsort(slots, kind="stable")
-        begin = np.nonzero(np.diff(slots[order], prepend=-1))[0]
-        total[slots[order][begin]] += np.add.reduceat(row[order] * image[passage[order]], begin, axis=0)
+        counts = np.bincount(slots, minlength=SLOTS)
+        there = np.nonzero(counts)[0]
+        total[there] += _sums(image, passage[order], counts[there])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, hashes, weights, held = None, [], [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for batch in batches:
-            for text, weight in zip(batch["text"], batch["weight"]):
-                own = word_hashes(text)
-                if not len(own):
-                    continue
-                if total is None:
-                    total = np.zeros(right.shape)
-                hashes.append(own)
-                weights.append(weight)
-                held += len(own)
-                if held >= ADDED_WORDS:
-                    add(total, hashes, weights)
-                    hashes, weights, held = [], [], 0
-        if held:
-            add(total, hashes, weights)
+            weights, (slots, lengths) = batch.column(0).to_numpy(zero_copy_only=False), _slots(batch.column(1))
+            if not len(slots):
+                continue
+            if total is None:
+                total = np.zeros(right.shape)
+            parts = -(-lengths // PART)
+            row = np.repeat(np.arange(len(lengths)), parts)
+            sizes = np.minimum(lengths[row] - (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * PART, PART)
+            to = np.cumsum(sizes)
+            for at in range(0, len(sizes), ADDED_PASSAGES):
+                own = slice(at, at + ADDED_PASSAGES)
+                add(total, slots[to[at] - sizes[at]:to[own][-1]], sizes[own], weights[row[own]])
         if total is not None:
+            total = (total * idf[:, None]).astype(np.float32)
             for at in range(0, SLOTS, SLOT_BLOCK):
-                yield pd.DataFrame({"block": [at // SLOT_BLOCK],
-                                    "v": [total[at:at + SLOT_BLOCK].astype(np.float32).tobytes()]})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([at // SLOT_BLOCK], pa.int32()), pa.array([total[at:at + SLOT_BLOCK].tobytes()], pa.binary())],
+                    ["block", "v"])
     return run
 
 
@@ -129,8 +201,9 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    # a partition gives a few rows of a fixed size, so a group has one row per partition
-    blocks = (rows.mapInPandas(_product(idf, right), "block int, v binary")
+    """``A^T (A right)`` for rows with a weight, and a text or its slots."""
+    # a task gives a few rows of a fixed size, so a group has one row per core of the session
+    blocks = (few_tasks(slot_rows(rows).select("weight", "slots")).mapInArrow(_product(idf, right), "block int, v binary")
               .groupBy("block").applyInPandas(_added, "block int, v binary").collect())
     out = np.zeros(right.shape, dtype=np.float32)
     for r in blocks:
@@ -140,11 +213,13 @@ def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def latent_space(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """Slots x ``RANK``: the leading right singular vectors, times the words' weights."""
+    """Slots x ``RANK``: the leading right singular vectors, times the words' weights. ``docs`` has texts or
+    their slots; it is read three times."""
+    docs = slot_rows(docs)
     count, items = docs.count(), max(benchmark.count(), 1)
     weight = float(np.sqrt(max(1.0, count / items)))  # the items weigh as much as the documents
-    rows = (docs.select("text", F.lit(1.0).alias("weight")).filter("text IS NOT NULL")
-            .unionByName(benchmark.select("text", F.lit(weight).alias("weight")).filter("text IS NOT NULL")))
+    rows = (docs.select("slots", F.lit(1.0).alias("weight"))
+            .unionByName(slot_rows(benchmark.select("text", F.lit(weight).alias("weight")))))
     omega = np.random.default_rng(3).normal(size=(SLOTS, RANK + EXTRA)).astype(np.float32)
     basis, _ = np.linalg.qr(_summed(rows, idf, omega))
     del omega
@@ -186,6 +261,8 @@ class Items:
         self.slots = (slots_of(np.concatenate([np.array(w, dtype=np.uint64) for w in self.words]))
                       if self.words else np.zeros(0, dtype=np.int64))
         steps, short = np.array(self.steps, dtype=int), self.lengths < SHORT
+        # steps that hold the region of any window, with ``STEP`` words on both sides
+        self.spans = np.where(short, -(-(self.lengths + 2 * STEP) // STEP) + 1, steps + 2)
         self.by_steps = {n: self._block(np.nonzero((steps == n) & ~short)[0], vectors)
                          for n in sorted(set(steps[~short].tolist()))}
         self.by_words = {n: self._block(np.nonzero(self.lengths == n)[0], vectors)
@@ -242,12 +319,34 @@ def possible_parts(slots: np.ndarray, items: Items) -> np.ndarray:
     return np.add.reduceat(there[items.slots].astype(np.int64), items.offsets) >= LIKELY * items.lengths
 
 
+def reached_parts(slots: np.ndarray, items: Items, enough: np.ndarray) -> np.ndarray:
+    """The parts ``enough`` that have enough words in some region, of at least the size of those that
+    ``possible`` counts: no window of the others would be left by it, so theirs need no cosine."""
+    parts, left = np.nonzero(enough)[0], np.zeros_like(enough)
+    steps = -(-len(slots) // STEP)
+    padded = np.full(steps * STEP, SLOTS, dtype=np.int64)
+    padded[:len(slots)] = slots
+    for start in range(0, len(parts), 64):
+        own = parts[start:start + 64]
+        lengths, spans = items.lengths[own], items.spans[own]
+        member = np.zeros((len(own), SLOTS + 1), dtype=bool)
+        at = np.repeat(items.offsets[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        member[np.repeat(np.arange(len(own)), lengths), items.slots[at]] = True
+        inside = np.zeros((len(own), steps + 1), dtype=np.int64)
+        # eight words are the bytes of a number
+        np.cumsum(np.bitwise_count(np.take(member, padded, axis=1).view(np.uint64)), axis=1, out=inside[:, 1:])
+        ends = np.minimum(np.arange(steps) + spans[:, None], steps)
+        region = np.take_along_axis(inside, ends, axis=1) - inside[:, :-1]
+        left[own] = region.max(axis=1) >= LIKELY * lengths
+    return left
+
+
 def candidates(hashes: np.ndarray, space: np.ndarray, items: Items) -> list[tuple]:
     """Arrays of (part, first word, words, cosine): windows that are near an item's part."""
     slots, found = slots_of(hashes), []
     if not len(items.slots):
         return found
-    enough = possible_parts(slots, items)
+    enough = reached_parts(slots, items, possible_parts(slots, items))
     short = items.lengths < SHORT
     if (enough & ~short).any():
         sums = np.add.reduceat(space[slots], np.arange(0, len(hashes), STEP), axis=0)
@@ -315,8 +414,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     result = spark.createDataFrame([], schema)
     if not blocks:
         return result
-    idf = inverse_frequencies(rows)
-    space = latent_space(rows, asked, idf)
+    written: list[str] = []
+    with noted(written):
+        passages = staged(slot_rows(rows.select("text")), "passages")
+    idf = inverse_frequencies(passages)
+    space = latent_space(passages, asked, idf)
+    remove(spark, written)  # the result doesn't read them
     held = spark.sparkContext.broadcast(space)  # SLOTS x RANK numbers, whatever the data
     for block in range(blocks):
         own = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
