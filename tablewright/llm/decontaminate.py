@@ -38,10 +38,12 @@ RANK, EXTRA = 48, 16
 STEP = 8
 PART = 64
 #: Passages whose products are summed at a time, rows of such sums that are added at once, and those of a buffer.
-ADDED_PASSAGES, ADDED, BUFFER = 1 << 12, 8, 1 << 12
+ADDED_PASSAGES, ADDED, BUFFER = 1 << 14, 16, 1 << 11
 #: Shorter items are looked for at every word, in pieces of ``PIECE`` words of the document.
 SHORT, PIECE = 16, 1 << 13
 LEAST_WORDS = 5
+#: Parts that are looked for in a document at a time.
+TOGETHER = 32
 BLOCK = 2000
 COSINE = 0.55
 SURE, LIKELY, ANSWERED = 0.75, 0.55, 0.8
@@ -126,7 +128,7 @@ def _passages(hashes: np.ndarray) -> list[np.ndarray]:
 def _added_rows(rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
     """Sums of ``rows[at]``, one for each row of the table ``at``. A buffer takes the rows: fresh memory
     for them costs more than the sums."""
-    step = max(1, BUFFER // at.shape[1])
+    step = min(max(1, BUFFER // at.shape[1]), max(1, len(at)))
     held = np.empty((step * at.shape[1], rows.shape[1]), dtype=rows.dtype)
     ones = np.ones((1, at.shape[1]), dtype=rows.dtype)
     for start in range(0, len(at), step):
@@ -260,19 +262,20 @@ class Items:
         self.offsets = np.cumsum([0, *counts[:-1]])
         self.slots = (slots_of(np.concatenate([np.array(w, dtype=np.uint64) for w in self.words]))
                       if self.words else np.zeros(0, dtype=np.int64))
-        steps, short = np.array(self.steps, dtype=int), self.lengths < SHORT
-        # steps that hold the region of any window, with ``STEP`` words on both sides
-        self.spans = np.where(short, -(-(self.lengths + 2 * STEP) // STEP) + 1, steps + 2)
-        self.by_steps = {n: self._block(np.nonzero((steps == n) & ~short)[0], vectors)
-                         for n in sorted(set(steps[~short].tolist()))}
-        self.by_words = {n: self._block(np.nonzero(self.lengths == n)[0], vectors)
+        self.widths = np.array(self.steps, dtype=np.int64)
+        self.vectors = self._unit(np.array(vectors, dtype=np.float32).reshape(len(vectors), space.shape[1]))
+        #: Whether a slot is in a part, for ``TOGETHER`` parts; false but while they are looked for.
+        self.member = np.zeros((SLOTS + 1) * TOGETHER, dtype=bool)
+        short = self.lengths < SHORT
+        self.by_words = {n: self._block(np.nonzero(self.lengths == n)[0])
                          for n in sorted(set(self.lengths[short].tolist()))}
 
     @staticmethod
-    def _block(own: np.ndarray, vectors: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        block = np.array([vectors[i] for i in own], dtype=np.float32)
-        block /= np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-9)
-        return own, np.ascontiguousarray(block.T)
+    def _unit(block: np.ndarray) -> np.ndarray:
+        return block / np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-9)
+
+    def _block(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return own, np.ascontiguousarray(self.vectors[own].T)
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -319,26 +322,38 @@ def possible_parts(slots: np.ndarray, items: Items) -> np.ndarray:
     return np.add.reduceat(there[items.slots].astype(np.int64), items.offsets) >= LIKELY * items.lengths
 
 
-def reached_parts(slots: np.ndarray, items: Items, enough: np.ndarray) -> np.ndarray:
-    """The parts ``enough`` that have enough words in some region, of at least the size of those that
-    ``possible`` counts: no window of the others would be left by it, so theirs need no cosine."""
-    parts, left = np.nonzero(enough)[0], np.zeros_like(enough)
+def reached(slots: np.ndarray, items: Items, enough: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(short parts, parts, steps): the parts ``enough`` that have enough words in a region, as ``possible``
+    asks for. Short ones have them in a somewhat larger region; for each other part come the steps at
+    which such windows begin. What is left out needs no cosine."""
+    short, found = np.zeros_like(enough), []
+    every = np.nonzero(enough)[0]
     steps = -(-len(slots) // STEP)
+    at = np.arange(steps)
     padded = np.full(steps * STEP, SLOTS, dtype=np.int64)
     padded[:len(slots)] = slots
-    for start in range(0, len(parts), 64):
-        own = parts[start:start + 64]
-        lengths, spans = items.lengths[own], items.spans[own]
-        member = np.zeros((len(own), SLOTS + 1), dtype=bool)
-        at = np.repeat(items.offsets[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        member[np.repeat(np.arange(len(own)), lengths), items.slots[at]] = True
+    for start in range(0, len(every), TOGETHER):
+        own = every[start:start + TOGETHER]
+        lengths = items.lengths[own]
+        words = np.repeat(items.offsets[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        words = items.slots[words] * TOGETHER + np.repeat(np.arange(len(own)), lengths)
+        items.member[words] = True
+        there = np.take(items.member.reshape(-1, TOGETHER), padded, axis=0)
+        items.member[words] = False
+        # a step's words are added as bytes of larger numbers, which eight of them don't fill
+        counts = there.view(np.uint64).reshape(steps, STEP, -1).sum(axis=1).view(np.uint8).reshape(steps, -1)
         inside = np.zeros((len(own), steps + 1), dtype=np.int64)
-        # eight words are the bytes of a number
-        np.cumsum(np.bitwise_count(np.take(member, padded, axis=1).view(np.uint64)), axis=1, out=inside[:, 1:])
-        ends = np.minimum(np.arange(steps) + spans[:, None], steps)
-        region = np.take_along_axis(inside, ends, axis=1) - inside[:, :-1]
-        left[own] = region.max(axis=1) >= LIKELY * lengths
-    return left
+        np.cumsum(counts[:, :len(own)].T, axis=1, out=inside[:, 1:])
+        brief = (lengths < SHORT)[:, None]
+        width = np.minimum(items.widths[own], steps)[:, None]
+        ends = np.minimum(at + np.where(brief, -(-(lengths[:, None] + 2 * STEP) // STEP) + 1, width + 1), steps)
+        region = (np.take_along_axis(inside, ends, axis=1)
+                  - np.where(brief, inside[:, :-1], inside[:, np.maximum(at - 1, 0)]))
+        part, step = np.nonzero((region >= LIKELY * lengths[:, None]) & (brief | (at <= steps - width)))
+        short[own[part[brief[part, 0]]]] = True
+        found.append((own[part], step))
+    parts, step = (np.concatenate(x) for x in zip(*found))
+    return short, parts[~short[parts]], step[~short[parts]]
 
 
 def candidates(hashes: np.ndarray, space: np.ndarray, items: Items) -> list[tuple]:
@@ -346,15 +361,29 @@ def candidates(hashes: np.ndarray, space: np.ndarray, items: Items) -> list[tupl
     slots, found = slots_of(hashes), []
     if not len(items.slots):
         return found
-    enough = reached_parts(slots, items, possible_parts(slots, items))
-    short = items.lengths < SHORT
-    if (enough & ~short).any():
-        sums = np.add.reduceat(space[slots], np.arange(0, len(hashes), STEP), axis=0)
-        found += _near(_running(sums), items.by_steps, enough, STEP)
-    if (enough & short).any():
+    enough = possible_parts(slots, items)
+    if not enough.any():
+        return found
+    short, parts, steps = reached(slots, items, enough)
+    if len(parts):
+        whole = len(slots) // STEP * STEP
+        sums = np.empty((-(-len(slots) // STEP), space.shape[1]), dtype=space.dtype)
+        _added_rows(space, slots[:whole].reshape(-1, STEP), sums[:whole // STEP])
+        if whole < len(slots):
+            sums[-1] = space[slots[whole:]].sum(axis=0)
+        total = _running(sums)
+        for at in range(0, len(parts), BUFFER):
+            part, step = parts[at:at + BUFFER], steps[at:at + BUFFER]
+            width = np.minimum(items.widths[part], len(sums))
+            windows = total[step + width] - total[step]
+            norms = np.maximum(np.sqrt((windows * windows).sum(axis=1)), 1e-9)
+            products = (windows * items.vectors[part]).sum(axis=1)
+            near = products >= COSINE * norms
+            found.append((part[near], step[near] * STEP, width[near] * STEP, products[near] / norms[near]))
+    if short.any():
         # neighbouring pieces overlap, so that every window lies in one
         for at in range(0, max(len(hashes) - SHORT, 1), PIECE):
-            found += _near(_running(space[slots[at:at + PIECE + SHORT]]), items.by_words, enough, 1, at)
+            found += _near(_running(space[slots[at:at + PIECE + SHORT]]), items.by_words, short, 1, at)
     return found
 
 

@@ -22,12 +22,15 @@ def _power_table(base: int, size: int) -> np.ndarray:
 
 
 def _hash_piece(b: np.ndarray) -> np.ndarray:
-    word = IS_WORD[b]
-    edge = np.diff(word.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    word = np.zeros(len(b) + 2, dtype=bool)
+    np.take(IS_WORD, b, out=word[1:-1])
+    edges = np.flatnonzero(word[1:] != word[:-1])  # a word begins and ends by turns
     sums = np.zeros(len(b) + 1, dtype=np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _power_table(_BASE, len(b)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _power_table(_INVERSE, len(b) + 1)[starts]
+    np.add(b, np.uint64(1), out=sums[1:])
+    sums[1:] *= _power_table(_BASE, len(b))
+    np.cumsum(sums[1:], out=sums[1:])
+    at = sums[edges]
+    h = (at[1::2] - at[::2]) * _power_table(_INVERSE, len(b) + 1)[edges[::2]]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))

@@ -240,3 +240,44 @@ def test_summed_products_against_a_matrix(spark):
             expected += np.outer(row, row @ right)
     rows = spark.createDataFrame([(t, 2.0) for t in texts], "text string, weight double")
     assert np.allclose(decontaminate._summed(rows, idf, right), expected, atol=1e-4)
+
+
+def test_sums_of_passages_come_from_a_task_per_core(spark):
+    """Each task hands over sums of a fixed size, so their number may not grow with the input's partitions."""
+    texts = [f"a b c w{i} w{i % 7}" for i in range(300)]
+    rows = spark.createDataFrame([(t, 1.0) for t in texts], "text string, weight double").repartition(60)
+    idf, right = np.ones(decontaminate.SLOTS), np.ones((decontaminate.SLOTS, 2), np.float32)
+    few = decontaminate.few_tasks(decontaminate.slot_rows(rows).select("weight", "slots"))
+    given = few.mapInArrow(decontaminate._product(idf, right), "block int, v binary")
+    assert given.count() <= spark.sparkContext.defaultParallelism * (decontaminate.SLOTS // decontaminate.SLOT_BLOCK)
+
+
+def test_windows_without_enough_words_are_the_only_ones_left_out():
+    """Against a search that compares every window of every part."""
+    rng = np.random.default_rng(11)
+    space = rng.normal(size=(decontaminate.SLOTS, decontaminate.RANK)).astype(np.float32)
+    word = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 60, n))
+    items = decontaminate.Items([(i, word(n)) for i, n in enumerate((7, 15, 16, 40, 64, 130) * 8)], space)
+    step, found_any = decontaminate.STEP, False
+    for n in (5, 9, 16, 63, 200, 700):
+        hashes = word_hashes(word(n) + " " + " ".join(f"v{i}" for i in range(n % 5)))
+        slots = decontaminate.slots_of(hashes)
+        found = decontaminate.candidates(hashes, space, items)
+        got = {(p, at) for p, at, _, _ in (decontaminate.possible(hashes, found, items) if found else [])}
+        expected = set()
+        for part, length in enumerate(items.lengths.tolist()):
+            own = decontaminate.slots_of(np.array(items.words[part], dtype=np.uint64))
+            vector = space[own].sum(axis=0)
+            brief = length < decontaminate.SHORT
+            width = min(length, len(slots)) if brief else min(items.steps[part], -(-len(slots) // step)) * step
+            last = len(slots) - width if brief else max(0, -(-len(slots) // step) * step - width)
+            for at in range(0, last + 1, 1 if brief else step):
+                window = space[slots[at:at + width]].sum(axis=0)
+                cosine = window @ vector / np.linalg.norm(window) / np.linalg.norm(vector)
+                region = np.isin(slots[max(0, at - step):at + width + step], own).sum()
+                if (cosine >= decontaminate.COSINE and region >= decontaminate.LIKELY * length
+                        and np.isin(own, slots).sum() >= decontaminate.LIKELY * length):
+                    expected.add((part, at))
+        assert got == expected
+        found_any = found_any or len(got) > 0
+    assert found_any
