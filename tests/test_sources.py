@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablewright.sources.binary import read_binary_files, read_from_paths
 from tablewright.sources.export import export, to_vector_columns, to_vector_text
 from tablewright.sources.images import read_images, read_images_from_paths
-from tablewright.sources.sinks import json_payloads, write_files, write_json_batches
+from tablewright.sources.sinks import json_payloads, sent_payloads, write_files, write_json_batches
 from tablewright.sources.tables import Cacher, CheckpointData, load_csv
 from tests.conftest import values
 
@@ -204,6 +204,11 @@ def test_write_files_twice(spark, tmp_path):
     assert found == {"x/1.bin": b"one", "2.bin": b"", "3.bin": b""}
 
 
+def test_payloads_are_sent_by_the_process_that_packs_them(spark):
+    plan = sent_payloads(spark.range(50), lambda part, n, payload: None, 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
+
+
 def test_json_payloads(spark, tmp_path):
     df = spark.range(0, 250, 1, 3).withColumn("t", F.concat(F.lit('quo"te '), "id"))
     out = json_payloads(df, 40).collect()
