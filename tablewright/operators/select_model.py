@@ -103,14 +103,26 @@ class FindBestModel(_Evaluated, Estimator):
         name = metric_column(kind, metric)
         data = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = []
-            for m in self.models:
-                value = evaluator_for(m, metric).transform(m.transform(data)).first()[name]
+            rows, whole = [], {}
+            for i, m in enumerate(self.models):
+                value = None
+                if name == CLASSIFICATION_COLUMNS["AUC"]:
+                    # all metrics take the same passes as this one, and the best model's are asked for below
+                    evaluator = evaluator_for(m, ALL)
+                    table = evaluator.transform(m.transform(data))
+                    if name in table.columns:
+                        whole[i], value = (evaluator, table), table.first()[name]
+                if value is None:
+                    value = evaluator_for(m, metric).transform(m.transform(data)).first()[name]
                 rows.append((m.uid, float(value), params_text(m)))
-            best = self.models[_best([r[1] for r in rows], metric)]
+            at = _best([r[1] for r in rows], metric)
+            best = self.models[at]
             scored = best.transform(df)
-            final = evaluator_for(best, ALL)
-            metrics = final.transform(scored)
+            if at in whole:
+                final, metrics = whole[at]
+            else:
+                final = evaluator_for(best, ALL)
+                metrics = final.transform(scored)
         finally:
             data.unpersist()
         table = df.sparkSession.createDataFrame(

@@ -224,6 +224,19 @@ def test_two_class_models_score_after_components(spark, numbers, kind):
     assert len(fitted.transform(plain).select("prediction").collect()) == len(ROWS)
 
 
+def test_best_model_is_measured_once(numbers, monkeypatch):
+    """All metrics take the passes that the area under the curve takes, so the best model's are kept."""
+    from tablewright.operators import select_model
+    measured, evaluator = [], select_model.evaluator_for
+    monkeypatch.setattr(select_model, "evaluator_for", lambda m, metric: measured.append(m) or evaluator(m, metric))
+    models = [TrainClassifier(model=DecisionTreeClassifier(maxDepth=d), labelCol="rain").fit(numbers)
+              for d in (0, 3)]
+    best = FindBestModel(models=models, evaluationMetric="AUC").fit(numbers)
+    assert measured == models and best.getBestModel() is models[1]
+    assert best.getBestModelMetrics().first()["AUC"] == best.getAllModelMetrics().collect()[1]["metric"]
+    assert best.getEvaluationResults().count() >= 3
+
+
 def test_best_model(numbers, tmp_path):
     models = [TrainClassifier(model=DecisionTreeClassifier(maxDepth=d), labelCol="rain").fit(numbers)
               for d in (0, 3)]
