@@ -152,22 +152,27 @@ def _sums(rows: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
         rows, at, counts = out, np.arange(len(out) - 1), parts
 
 
-def _product(idf: np.ndarray, right: np.ndarray):
+def _product(idf: np.ndarray, right, inner: bool = False):
     """A function of partitions (weight, slots) that sums ``A^T (A right)`` over the partition's passages,
-    in blocks of slots. A passage's row of ``A`` is as long as its weight."""
-    weighted = np.zeros((SLOTS + 1, right.shape[1]), dtype=np.float32)
-    weighted[:-1] = idf[:, None] * right
-
-    def add(total: np.ndarray, slots: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> None:
-        passage = np.repeat(np.arange(len(sizes)), sizes)
-        cell = np.nonzero(np.diff(passage * SLOTS + slots, prepend=-1))[0]  # slots are sorted in a passage
+    in blocks of slots, or with ``inner`` the small ``(A right)^T (A right)`` as one block. A passage's row of
+    ``A`` is as long as its weight. ``right`` is a matrix or a broadcast one."""
+    def add(total: np.ndarray, weighted: np.ndarray, slots: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> None:
+        passage = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        key = passage * np.int32(SLOTS) + slots
+        first = np.ones(len(key), dtype=bool)
+        np.not_equal(key[1:], key[:-1], out=first[1:])  # slots are sorted in a passage
+        cell = np.flatnonzero(first)
         often = np.diff(cell, append=len(slots))
         norms = np.bincount(passage[cell], weights=(often * idf[slots[cell]]) ** 2, minlength=len(sizes))
-        image = np.zeros((len(sizes) + 1, right.shape[1]), dtype=np.float32)
+        image = np.zeros((len(sizes) + 1, weighted.shape[1]), dtype=np.float32)
         padded = np.full((len(sizes), PART), SLOTS, dtype=np.int64)
         padded[np.arange(PART) < sizes[:, None]] = slots
         _added_rows(weighted, padded, image[:-1])
-        image[:-1] *= (weights ** 2 / np.maximum(norms, 1e-24)).astype(np.float32)[:, None]
+        scale = (weights ** 2 / np.maximum(norms, 1e-24)).astype(np.float32)[:, None]
+        if inner:
+            total += image[:-1].T @ (image[:-1] * scale)
+            return
+        image[:-1] *= scale
         order = np.argsort(slots, kind="stable")
         counts = np.bincount(slots, minlength=SLOTS)
         there = np.nonzero(counts)[0]
@@ -180,17 +185,20 @@ def _product(idf: np.ndarray, right: np.ndarray):
             if not len(slots):
                 continue
             if total is None:
-                total = np.zeros(right.shape)
+                matrix = getattr(right, "value", right)
+                weighted = np.zeros((SLOTS + 1, matrix.shape[1]), dtype=np.float32)
+                weighted[:-1] = idf[:, None] * matrix
+                total = np.zeros((matrix.shape[1] if inner else SLOTS, matrix.shape[1]))
             parts = -(-lengths // PART)
             row = np.repeat(np.arange(len(lengths)), parts)
             sizes = np.minimum(lengths[row] - (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * PART, PART)
             to = np.cumsum(sizes)
             for at in range(0, len(sizes), ADDED_PASSAGES):
                 own = slice(at, at + ADDED_PASSAGES)
-                add(total, slots[to[at] - sizes[at]:to[own][-1]], sizes[own], weights[row[own]])
+                add(total, weighted, slots[to[at] - sizes[at]:to[own][-1]], sizes[own], weights[row[own]])
         if total is not None:
-            total = (total * idf[:, None]).astype(np.float32)
-            for at in range(0, SLOTS, SLOT_BLOCK):
+            total = (total if inner else total * idf[:, None]).astype(np.float32)
+            for at in range(0, len(total), SLOT_BLOCK):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([at // SLOT_BLOCK], pa.int32()), pa.array([total[at:at + SLOT_BLOCK].tobytes()], pa.binary())],
                     ["block", "v"])
@@ -202,15 +210,33 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": group["block"].iloc[:1], "v": [total.astype(np.float32).tobytes()]})
 
 
-def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """``A^T (A right)`` for rows with a weight, and a text or its slots."""
+def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray, inner: bool = False) -> np.ndarray:
+    """``A^T (A right)``, or with ``inner`` ``(A right)^T (A right)``, for rows with a weight, and a text or its
+    slots."""
+    held = rows.sparkSession.sparkContext.broadcast(right)
     # a task gives a few rows of a fixed size, so a group has one row per core of the session
-    blocks = (few_tasks(slot_rows(rows).select("weight", "slots")).mapInArrow(_product(idf, right), "block int, v binary")
+    blocks = (few_tasks(slot_rows(rows).select("weight", "slots"))
+              .mapInArrow(_product(idf, held, inner), "block int, v binary")
               .groupBy("block").applyInPandas(_added, "block int, v binary").collect())
-    out = np.zeros(right.shape, dtype=np.float32)
+    held.destroy()  # all has been collected
+    out = np.zeros((right.shape[1] if inner else SLOTS, right.shape[1]), dtype=np.float32)
     for r in blocks:
-        at = r["block"] * SLOT_BLOCK
-        out[at:at + SLOT_BLOCK] = np.frombuffer(r["v"], np.float32).reshape(-1, right.shape[1])
+        own, at = np.frombuffer(r["v"], np.float32).reshape(-1, right.shape[1]), r["block"] * SLOT_BLOCK
+        out[at:at + len(own)] = own
+    return out
+
+
+def orthonormal(rows: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of the columns. Blocks of rows are reduced one by one, as a decomposition of all
+    of them takes several copies in doubles."""
+    out, tops = np.empty_like(rows), []
+    for at in range(0, len(rows), SLOT_BLOCK):
+        basis, top = np.linalg.qr(rows[at:at + SLOT_BLOCK].astype(np.float64))
+        out[at:at + SLOT_BLOCK] = basis
+        tops.append(top)
+    turns = np.split(np.linalg.qr(np.concatenate(tops))[0], len(tops))
+    for at, turn in zip(range(0, len(rows), SLOT_BLOCK), turns):
+        out[at:at + SLOT_BLOCK] = out[at:at + SLOT_BLOCK] @ turn
     return out
 
 
@@ -222,15 +248,18 @@ def latent_space(docs: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> np.n
     weight = float(np.sqrt(max(1.0, count / items)))  # the items weigh as much as the documents
     rows = (docs.select("slots", F.lit(1.0).alias("weight"))
             .unionByName(slot_rows(benchmark.select("text", F.lit(weight).alias("weight")))))
-    omega = np.random.default_rng(3).normal(size=(SLOTS, RANK + EXTRA)).astype(np.float32)
-    basis, _ = np.linalg.qr(_summed(rows, idf, omega))
-    del omega
-    image = _summed(rows, idf, basis)  # one power step, and the small problem at the same time
-    basis, _ = np.linalg.qr(image)
-    image = _summed(rows, idf, basis)
-    values, turn = np.linalg.eigh((basis.T @ image).astype(np.float64))
-    lead = np.argsort(values)[::-1][:RANK]
-    return (basis @ turn[:, lead] * idf[:, None]).astype(np.float32)
+    rng, blocks = np.random.default_rng(3), range(0, SLOTS, SLOT_BLOCK)
+    basis = np.empty((SLOTS, RANK + EXTRA), dtype=np.float32)
+    for at in blocks:
+        basis[at:at + SLOT_BLOCK] = rng.normal(size=(SLOT_BLOCK, RANK + EXTRA))
+    for _ in range(2):  # the range, and one power step
+        basis = orthonormal(_summed(rows, idf, basis))
+    values, turn = np.linalg.eigh(_summed(rows, idf, basis, True).astype(np.float64))
+    turn = turn[:, np.argsort(values)[::-1][:RANK]]
+    space = np.empty((SLOTS, RANK), dtype=np.float32)
+    for at in blocks:
+        space[at:at + SLOT_BLOCK] = basis[at:at + SLOT_BLOCK] @ turn * idf[at:at + SLOT_BLOCK, None]
+    return space
 
 
 # ---- items, candidates, checks ----
@@ -267,6 +296,13 @@ class Items:
         #: Whether a slot is in a part, for ``TOGETHER`` parts; false but while they are looked for.
         self.member = np.zeros((SLOTS + 1) * TOGETHER, dtype=bool)
         short = self.lengths < SHORT
+        answers = [len(a) for a in self.answers]
+        self.answer_lengths, self.answer_offsets = np.array(answers, dtype=np.int64), np.cumsum([0, *answers[:-1]])
+        self.answer_slots = (slots_of(np.concatenate([np.array(a, dtype=np.uint64) for a in self.answers]))
+                             if self.answers else np.zeros(0, dtype=np.int64))
+        #: Steps that a region reaches from its window's first one, and the parts by it, short ones first.
+        self.reach = np.where(short, -(-(self.lengths + 2 * STEP) // STEP) + 1, self.widths + 1)
+        self.by_reach = np.lexsort((self.reach, ~short))
         self.by_words = {n: self._block(np.nonzero(self.lengths == n)[0])
                          for n in sorted(set(self.lengths[short].tolist()))}
 
@@ -314,22 +350,30 @@ def _running(rows: np.ndarray) -> np.ndarray:
     return total
 
 
-def possible_parts(slots: np.ndarray, items: Items) -> np.ndarray:
+def possible_parts(slots: np.ndarray, items: Items, shares: np.ndarray | float = LIKELY) -> np.ndarray:
     """Whether the document has enough words of each part at all: no other part can have a common
     subsequence of that length, so no window has to be compared with it."""
     there = np.zeros(SLOTS, dtype=bool)
     there[slots] = True
-    return np.add.reduceat(there[items.slots].astype(np.int64), items.offsets) >= LIKELY * items.lengths
+    return np.add.reduceat(there[items.slots].astype(np.int64), items.offsets) >= shares * items.lengths
+
+
+def needed_shares(slots: np.ndarray, items: Items) -> np.ndarray:
+    """The share of each part that a window has to hold for a match: ``LIKELY`` only of parts whose answer
+    the document has enough words of, too."""
+    there = np.zeros(SLOTS, dtype=bool)
+    there[slots] = True
+    answers = np.add.reduceat(there[items.answer_slots].astype(np.int64), items.answer_offsets)
+    return np.where(answers >= ANSWERED * items.answer_lengths, LIKELY, SURE)
 
 
-def reached(slots: np.ndarray, items: Items, enough: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(short parts, parts, steps): the parts ``enough`` that have enough words in a region, as ``possible``
-    asks for. Short ones have them in a somewhat larger region; for each other part come the steps at
+def reached(slots: np.ndarray, items: Items, enough: np.ndarray, shares: np.ndarray | float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(short parts, parts, steps): the parts ``enough`` that have their share of words in a region. Short ones have them in a somewhat larger region; for each other part come the steps at
     which such windows begin. What is left out needs no cosine."""
-    short, found = np.zeros_like(enough), []
-    every = np.nonzero(enough)[0]
+    short, parts_found, steps_found = np.zeros_like(enough), [], []
+    every = items.by_reach[enough[items.by_reach]]
+    needs = np.ceil(shares * items.lengths).astype(np.int32)
     steps = -(-len(slots) // STEP)
-    at = np.arange(steps)
     padded = np.full(steps * STEP, SLOTS, dtype=np.int64)
     padded[:len(slots)] = slots
     for start in range(0, len(every), TOGETHER):
@@ -342,29 +386,43 @@ def reached(slots: np.ndarray, items: Items, enough: np.ndarray) -> tuple[np.nda
         items.member[words] = False
         # a step's words are added as bytes of larger numbers, which eight of them don't fill
         counts = there.view(np.uint64).reshape(steps, STEP, -1).sum(axis=1).view(np.uint8).reshape(steps, -1)
-        inside = np.zeros((len(own), steps + 1), dtype=np.int64)
-        np.cumsum(counts[:, :len(own)].T, axis=1, out=inside[:, 1:])
-        brief = (lengths < SHORT)[:, None]
-        width = np.minimum(items.widths[own], steps)[:, None]
-        ends = np.minimum(at + np.where(brief, -(-(lengths[:, None] + 2 * STEP) // STEP) + 1, width + 1), steps)
-        region = (np.take_along_axis(inside, ends, axis=1)
-                  - np.where(brief, inside[:, :-1], inside[:, np.maximum(at - 1, 0)]))
-        part, step = np.nonzero((region >= LIKELY * lengths[:, None]) & (brief | (at <= steps - width)))
-        short[own[part[brief[part, 0]]]] = True
-        found.append((own[part], step))
-    parts, step = (np.concatenate(x) for x in zip(*found))
-    return short, parts[~short[parts]], step[~short[parts]]
-
-
-def candidates(hashes: np.ndarray, space: np.ndarray, items: Items) -> list[tuple]:
-    """Arrays of (part, first word, words, cosine): windows that are near an item's part."""
+        # words before each step; the first and the last row are there twice, as regions begin a step early
+        # and end a step late
+        before = np.zeros((steps + 3, len(own)), dtype=np.int32)
+        np.cumsum(counts[:, :len(own)], axis=0, out=before[2:-1])
+        before[-1] = before[-2]
+        reach, needed, brief = items.reach[own], needs[own], lengths < SHORT
+        ends = np.flatnonzero((np.diff(reach) != 0) | (np.diff(brief) != 0)) + 1
+        for low, high in zip([0, *ends.tolist()], [*ends.tolist(), len(own)]):
+            if brief[low]:
+                # what begins later reaches no further
+                size = min(int(reach[low]), steps)
+                region = before[1 + size:-1, low:high] - before[1:steps - size + 2, low:high]
+                short[own[low:high]] = (region >= needed[low:high]).any(axis=0)
+            else:
+                size = min(int(reach[low]) - 1, steps)
+                region = before[size + 2:, low:high] - before[:steps - size + 1, low:high]
+                step, part = np.nonzero(region >= needed[low:high])
+                parts_found.append(own[low + part])
+                steps_found.append(step)
+    if not parts_found:
+        return short, every[:0], every[:0]
+    return short, np.concatenate(parts_found), np.concatenate(steps_found)
+
+
+def candidates(hashes: np.ndarray, space: np.ndarray, items: Items, matches: bool = False) -> list[tuple]:
+    """Arrays of (part, first word, words, cosine): windows that are near an item's part. With ``matches``
+    those are left out that lack the words for ``check`` to take them."""
     slots, found = slots_of(hashes), []
     if not len(items.slots):
         return found
-    enough = possible_parts(slots, items)
+    enough, shares = possible_parts(slots, items), LIKELY
+    if matches and enough.any():
+        shares = needed_shares(slots, items)
+        enough = possible_parts(slots, items, shares)
     if not enough.any():
         return found
-    short, parts, steps = reached(slots, items, enough)
+    short, parts, steps = reached(slots, items, enough, shares)
     if len(parts):
         whole = len(slots) // STEP * STEP
         sums = np.empty((-(-len(slots) // STEP), space.shape[1]), dtype=space.dtype)
@@ -462,7 +520,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     hashes = word_hashes(text)
                     if len(hashes) < LEAST_WORDS:
                         continue
-                    near = candidates(hashes, held.value, items)
+                    near = candidates(hashes, held.value, items, matches=True)
                     for item, (share, first, common, cosine, answered) in check(hashes, near, items).items():
                         out.append((doc_id, item, share, common, -first, cosine, answered))
                 frame = pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])

@@ -6,6 +6,7 @@ import os
 import random
 import subprocess
 import sys
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -242,6 +243,31 @@ def test_summed_products_against_a_matrix(spark):
     assert np.allclose(decontaminate._summed(rows, idf, right), expected, atol=1e-4)
 
 
+def test_last_pass_over_passages_only_sums_small_products(spark):
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(" ".join(f"w{i}" for i in rng.integers(0, 90, 150)), 2.0) for _ in range(9)],
+                                 "text string, weight double")
+    idf, right = rng.random(decontaminate.SLOTS) + 0.1, rng.normal(size=(decontaminate.SLOTS, 4)).astype(np.float32)
+    expected = right.T @ decontaminate._summed(rows, idf, right)
+    small = decontaminate._summed(rows, idf, right, True)
+    assert small.shape == (4, 4) and np.allclose(small, expected, rtol=1e-4)
+
+
+def test_fitting_the_latent_space_takes_few_copies_on_the_driver(spark):
+    """A copy of the space in doubles takes 17 MB; the driver holds some in single precision."""
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('one two three four five w', id) AS text")
+    bench = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    tracemalloc.start()
+    try:
+        space = decontaminate.latent_space(docs, bench, np.ones(decontaminate.SLOTS))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.isfinite(space).all() and peak < 45e6
+    assert np.allclose(decontaminate.orthonormal(space).T @ decontaminate.orthonormal(space),
+                       np.eye(decontaminate.RANK), atol=1e-4)
+
+
 def test_sums_of_passages_come_from_a_task_per_core(spark):
     """Each task hands over sums of a fixed size, so their number may not grow with the input's partitions."""
     texts = [f"a b c w{i} w{i % 7}" for i in range(300)]
@@ -281,3 +307,22 @@ def test_windows_without_enough_words_are_the_only_ones_left_out():
         assert got == expected
         found_any = found_any or len(got) > 0
     assert found_any
+
+
+def test_documents_without_an_answer_need_more_words_and_lose_no_match():
+    rng = np.random.default_rng(12)
+    space = rng.normal(size=(decontaminate.SLOTS, decontaminate.RANK)).astype(np.float32)
+    bodies = [[f"b{i}x{j}" for j in range(n)] for i, n in enumerate((6, 12, 20, 40, 90))]
+    items = decontaminate.Items([(i, " ".join(b) + f". a{i}p a{i}q a{i}r a{i}s a{i}t") for i, b in enumerate(bodies)], space)
+    verdicts, left_out = set(), 0
+    for i, body in enumerate(bodies):
+        for share in (0.4, 0.6, 0.8, 1.0):
+            for answer in ("", f"a{i}p a{i}q", f"a{i}p a{i}q a{i}r a{i}t"):
+                hashes = word_hashes(" ".join([*"uvwxyz" * 7, *body[:int(share * len(body))], answer, *"klmno" * 6]))
+                every = decontaminate.candidates(hashes, space, items)
+                some = decontaminate.candidates(hashes, space, items, matches=True)
+                matches = decontaminate.check(hashes, every, items)
+                assert decontaminate.check(hashes, some, items) == matches
+                verdicts.add(bool(matches))
+                left_out += sum(len(f[0]) for f in every) - sum(len(f[0]) for f in some)
+    assert verdicts == {True, False} and left_out > 0
