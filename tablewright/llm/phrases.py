@@ -161,7 +161,9 @@ class Known(dict):
 def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total: bool = False,
              numbered: bool = False):
     """Counts what ``found(lang)(words)`` lists for the words of each text, with ``total`` also the
-    sum of the counts beside the empty phrase, with ``numbered`` the ``prefixes`` of what is listed."""
+    sum of the counts beside the empty phrase, with ``numbered`` the ``prefixes`` of what is listed.
+    Beyond ``HELD`` of them, suffixes of three words and more that were met once leave first, as they
+    recur least; what stays is added up over the whole task, as long as it is less than half."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
         ways: dict[str, Callable] = {}
@@ -173,12 +175,14 @@ def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total
                 ways[lang] = found(lang)
             return ways[lang]
 
-        def rows() -> Iterator[pa.RecordBatch]:
+        def rows(rare: bool = False) -> Iterator[pa.RecordBatch]:
             for lang, counter in counts.items():
                 counter.pop(_BREAK, None)
-                if total:
-                    counter[b""] = sum(counter.values())
-                keys, n = list(counter), list(counter.values())
+                keys = [key for key, often in counter.items() if often == 1 and key.count(b" ") > 2] if rare else list(counter)
+                n = [counter.pop(key) for key in keys]
+                if total and keys:
+                    keys.append(b"")
+                    n.append(sum(n))
                 for at in range(0, len(keys), 1 << 16):
                     own = keys[at:at + (1 << 16)]
                     columns = {"lang": pa.array([lang] * len(own), pa.string()), "phrase": pa.array(own, pa.string()),
@@ -186,7 +190,10 @@ def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total
                     if numbered:
                         columns["pair"] = pa.array(way(lang).prefixes(own).view(np.int64))
                     yield pa.RecordBatch.from_pydict(columns)
-            counts.clear()
+            for lang in [lang for lang, counter in counts.items() if not counter]:
+                del counts[lang]
+            # a dict keeps the room of what has left it
+            counts.update([(lang, Counter(counter)) for lang, counter in counts.items()])
 
         held = 0
         for batch in batches:
@@ -196,8 +203,11 @@ def _counter(found: Callable[[str], Callable[[list[bytes]], list[bytes]]], total
                 counter.update(way(lang)(words))
                 held += len(counter)
                 if held >= HELD:
-                    yield from rows()
-                    held = 0
+                    yield from rows(rare=True)
+                    held = sum(map(len, counts.values()))
+                    if held >= HELD // 2:
+                        yield from rows()
+                        held = 0
         yield from rows()
     return run
 

@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablewright.llm import importance, phrases, secret_scan
@@ -248,6 +249,18 @@ def test_phrases_against_brute_force(spark, prose, monkeypatch, budget, held):
     assert len({r[0] for r in found}) > 3
 
 
+def test_recurring_suffixes_leave_a_full_counter_once(monkeypatch):
+    monkeypatch.setattr(phrases, "HELD", 100)
+    batches = [pa.RecordBatch.from_pydict({"lang": ["en"], "text": [" ".join(f"w{b}x{i}" for i in range(20))]}) for b in range(50)]
+
+    def suffixes(lang):
+        return lambda words: [b"in the ", b"a house of "] + [b"in the " + w + b" " for w in words if w != phrases._BREAK]
+    found = [r for b in phrases._counter(suffixes)(iter(batches)) for r in zip(*(b.column(i).to_pylist() for i in range(3)))]
+    once = [("en", f"in the w{b}x{i} ", 1) for b in range(50) for i in range(20)]
+    # what recurs is one row of its whole count, not one each time that the counter is full
+    assert sorted(found) == sorted([("en", "in the ", 50), ("en", "a house of ", 50)] + once)
+
+
 def test_phrases_of_empty_tables(spark, prose):
     assert phrases.collocations(table(spark, prose).limit(0)).collect() == []
     assert phrases.collocations(table(spark, prose[:1])).collect() == mined([(prose[0][2], prose[0][1])])
