@@ -311,3 +311,19 @@ def test_sixty_thousand_labels_train_and_score(spark):
     given = [f"label-{i:06d}" for i in range(5000)][::-1]
     ordered = TrainClassifier(model=NaiveBayes(), labelCol="label", labels=given).fit(df.limit(5000))
     assert ordered.getLevels() == given
+
+
+@pytest.mark.parametrize("most, dealt", [(100, True), (2000, False)])
+def test_no_task_trains_on_more_than_its_share(spark, monkeypatch, most, dealt):
+    from tablewright.operators import train
+    monkeypatch.setattr(train, "ROWS_PER_TASK", most)
+    seen, fit = [], DecisionTreeClassifier._fit
+
+    def fit_and_look(self, data):
+        seen.extend(r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect())
+        return fit(self, data)
+    monkeypatch.setattr(DecisionTreeClassifier, "_fit", fit_and_look)
+    rows = spark.range(0, 1000, 1, 1).select((F.col("id") % 10 > 4).cast("int").alias("high"), (F.col("id") % 10).cast("double").alias("x"))
+    model = TrainClassifier(model=DecisionTreeClassifier(), labelCol="high").fit(rows)
+    assert sum(seen) == 1000 and (max(seen) <= most if dealt else seen == [1000])
+    assert metric(model.transform(rows)) == 1.0
