@@ -3,11 +3,13 @@
 import io
 import json
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from tablewright.catalog import QUERIES
 from tablewright.sources.binary import read_binary_files, read_from_paths
 from tablewright.sources.export import export, to_vector_columns, to_vector_text
 from tablewright.sources.images import read_images, read_images_from_paths
@@ -204,6 +206,21 @@ def test_write_files_twice(spark, tmp_path):
     assert found == {"x/1.bin": b"one", "2.bin": b"", "3.bin": b""}
 
 
+def test_files_of_one_row_group_are_dealt_to_many_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i}", "en" if i % 3 else "fr") for i in range(400)] + [(7, "text 7", "en"), (401, "lost", None), (402, None, "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    seen, kind = [], type(spark.range(1))
+    arrow = kind.mapInArrow
+
+    def look(self, *given, **named):
+        seen.append([r["count"] for r in self.groupBy(F.spark_partition_id()).count().collect()])
+        return arrow(self, *given, **named)
+    monkeypatch.setattr(kind, "mapInArrow", look)
+    found = Counter(tuple(r) for r in QUERIES["a8_read_from_paths"](spark, str(tmp_path)).collect())
+    assert found == Counter((i, len(text), text) if lang and text else (i, 0, "") if lang else (i, None, None) for i, text, lang in rows)
+    assert len(seen) == 2 and all(sum(tasks) == 403 and max(tasks) < 200 for tasks in seen)
+
+
 def test_payloads_are_sent_by_the_process_that_packs_them(spark):
     plan = sent_payloads(spark.range(50), lambda part, n, payload: None, 20)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInPandas") == 1
