@@ -172,8 +172,10 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         value = F.col("_fp").bitwiseAND(F.lit(_signed(mask)))
         flips = [sum(1 << b for b in chosen) for r in range(threshold + 1) for chosen in combinations(bits, r)]
         index.append(nodes.select(F.lit(part).alias("p"), value.alias("v"), F.col("_fp").alias("a")))
-        probed = F.explode(F.array(*[F.lit(_signed(f)) for f in flips])) if len(flips) > 1 else F.lit(0)
-        probes.append(nodes.select(F.col("_fp").alias("b"), probed.cast("long").alias("_flip"), value.alias("_v"))
+        # the numbers are cast and not the generator, which Spark takes only by itself
+        flipped = [F.lit(_signed(f)).cast("long") for f in flips]
+        probed = F.explode(F.array(*flipped)) if len(flips) > 1 else flipped[0]
+        probes.append(nodes.select(F.col("_fp").alias("b"), probed.alias("_flip"), value.alias("_v"))
                       .select(F.lit(part).alias("p"), F.col("_v").bitwiseXOR(F.col("_flip")).alias("v"), "b"))
     if not index:
         return nodes.select(F.col("_fp").alias("a"), F.col("_fp").alias("b")).limit(0)

@@ -215,6 +215,25 @@ def test_pigeonhole_finds_every_link(spark):
     assert sum(t + 1 for t in chosen) == 5 and cost == 11
 
 
+@pytest.mark.parametrize("widths", [[(16, 0), (16, 1), (16, 0), (16, 0)], [(32, 1), (32, 2)], [(21, 1), (21, -1), (22, 2)]])
+def test_links_of_plans_that_flip_bits(spark, monkeypatch, widths):
+    """Plans of tables with millions of fingerprints: some values are probed within one or two bits."""
+    import random
+    draw = random.Random(6)
+    prints = [draw.getrandbits(64) for _ in range(60)]
+    prints += [p ^ sum(1 << b for b in draw.sample(range(64), k)) for p in prints for k in (1, 3, 4, 5)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in set(prints)]
+    plan, at = [], 0
+    for width, threshold in widths:
+        plan += [(list(range(at, at + width)), threshold)] if threshold >= 0 else []
+        at += width
+    monkeypatch.setattr(simhash, "search_plan", lambda *given: plan)
+    found = {(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame([(p,) for p in signed], "_fp long")).collect()}
+    mask = (1 << 64) - 1
+    assert found == {(a, b) for a in signed for b in signed
+                     if a < b and ((a ^ b) & mask).bit_count() <= 4}
+
+
 @pytest.mark.parametrize("held", [1_000_000, 5])
 def test_dense_groups_send_few_links(spark, monkeypatch, held):
     """700 fingerprints within 4 bits of a centre, and a chain; pairs within a group are far more than its rows."""
