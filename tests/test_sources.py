@@ -196,6 +196,30 @@ def test_image_stream_lists_a_batch_once_and_in_few_tasks(spark, tmp_path, monke
     assert tasks == [spark.sparkContext.defaultParallelism] and spark.conf.get(LISTING_TASKS, "10000") == outer
 
 
+def test_image_stream_lists_arrivals_in_few_tasks(spark, tmp_path):
+    """The source of the stream took a task for each file of a batch, and every batch was listed twice more."""
+    from tablewright.catalog.sources import _bitmap_header
+    from tablewright.sources.images import stream_images
+    (tmp_path / "in").mkdir()
+    for i in range(60):
+        (tmp_path / "in" / f"{i}.bmp").write_bytes(bytes.fromhex(_bitmap_header(1, 1)) + bytes(4))
+    tracker, seen = spark.sparkContext.statusTracker(), []
+    spark.sparkContext.setJobGroup("before", "before")
+    spark.range(1).count()
+    first = max(tracker.getJobIdsForGroup("before")) + 1
+
+    def sink(found, batch_id):
+        seen.append(found.count())
+    stream_images(spark, str(tmp_path / "in"), sink, str(tmp_path / "progress"), files_per_batch=40,
+                  availableNow=True).awaitTermination()
+    spark.sparkContext.setJobGroup("after", "after")
+    spark.range(1).count()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for job in range(first, min(tracker.getJobIdsForGroup("after")))
+              for s in tracker.getJobInfo(job).stageIds]
+    assert sum(seen) == 60 and max(s.numTasks for s in stages if s) < 40
+
+
 def test_write_files_twice(spark, tmp_path):
     df = spark.createDataFrame([("x/1.bin", bytearray(b"one")), ("2.bin", bytearray(b"")), ("3.bin", None)],
                                "name string, data binary")
