@@ -130,6 +130,37 @@ def test_files_outside_of_the_sample_are_not_opened(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
+def test_many_files_are_listed_and_opened_in_tasks(spark, tmp_path, monkeypatch):
+    """The driver held the status of every file, and a split of every scan for it."""
+    from tablewright.sources import binary
+    odd = ["a b+c%.txt", "ü ä\u2003%20.txt", "x[1]{2}#?.txt", "q&a=1;$,@!~'()*^`|<>\".txt", "e\u0301 日本.txt", "none.txt", "_hidden.txt", ".dot",
+           "_a=b.txt", "y._COPYING_", "deep/er/1.txt", "_no/2.txt", "deep/three.ZIP", "broken.zip", "empty.zip", "new\nline"]
+    for i, name in enumerate(odd):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(b"" if name in ("none.txt", "empty.zip") else b"%d" % i)
+    with zipfile.ZipFile(tmp_path / "in" / "deep" / "three.ZIP", "w") as z:
+        for i in range(9):
+            z.writestr(f"in/{i}", b"%d" % i)
+    folder, rows = str(tmp_path / "in"), {}
+    for most in (50_000, 0):
+        monkeypatch.setattr(binary, "DRIVER_FILES", most)
+        rows[most] = [sorted((r["value"]["path"], r["value"]["bytes"]) if r["value"]["bytes"] is not None else (r["value"]["path"], b"null")
+                             for r in read_binary_files(spark, at, deep, ratio, zips, 5).collect())
+                      for at in (folder, f"file://{folder}/") for deep in (True, False) for zips in (True, False) for ratio in (1.0, 0.5)]
+    assert rows[0] == rows[50_000] and len(rows[0][0]) == 19
+    scan = read_binary_files(spark, folder, recursive=True)
+    assert not scan.inputFiles() and "binaryFile" not in scan._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1")
+    try:
+        with pytest.raises(Exception, match="(?i)length"):
+            read_binary_files(spark, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    (tmp_path / "in" / "k=1").mkdir()
+    (tmp_path / "in" / "k=1" / "p.txt").write_bytes(b"p")
+    assert binary.listed_files(spark, folder, False) is None and read_binary_files(spark, folder + "/*.txt").count() > 3
+
+
 def test_images_in_archives_and_by_path(spark, tmp_path):
     content, data = bitmap(2, 4)
     (tmp_path / "ü plain+%.bmp").write_bytes(content)
