@@ -142,11 +142,12 @@ def test_many_files_are_listed_and_opened_in_tasks(spark, tmp_path, monkeypatch)
         for i in range(9):
             z.writestr(f"in/{i}", b"%d" % i)
     folder, rows = str(tmp_path / "in"), {}
+    monkeypatch.setattr(binary, "TASKS_PER_CORE", 1)
     for most in (50_000, 0):
         monkeypatch.setattr(binary, "DRIVER_FILES", most)
-        rows[most] = [sorted((r["value"]["path"], r["value"]["bytes"]) if r["value"]["bytes"] is not None else (r["value"]["path"], b"null")
+        rows[most] = [sorted((r["value"]["path"], r["value"]["bytes"] or b"", r["value"]["bytes"] is None)
                              for r in read_binary_files(spark, at, deep, ratio, zips, 5).collect())
-                      for at in (folder, f"file://{folder}/") for deep in (True, False) for zips in (True, False) for ratio in (1.0, 0.5)]
+                      for at, deep, zips, ratio in ((folder, True, True, 1.0), (f"file://{folder}/", False, False, 1.0), (folder, True, True, 0.5))]
     assert rows[0] == rows[50_000] and len(rows[0][0]) == 19
     scan = read_binary_files(spark, folder, recursive=True)
     assert not scan.inputFiles() and "binaryFile" not in scan._jdf.queryExecution().executedPlan().toString()
@@ -185,6 +186,29 @@ def test_images_in_archives_and_by_path(spark, tmp_path):
     assert bytes(got[0]["bytes"]) == data == bytes(got[1]["bytes"]) and [got[i] for i in (2, 3, 4, 5)] == [None] * 4
 
 
+def test_images_are_decoded_a_bounded_number_at_a_time(spark, tmp_path, monkeypatch):
+    """All files to decode were listed on the driver at once."""
+    from tablewright.sources import images as module
+    content, data = bitmap(1, 4)
+    for i in range(30):
+        (tmp_path / f"{i}.bmp").write_bytes(content)
+    (tmp_path / "note.txt").write_text("no image")
+    places = [(i, f"{tmp_path}/{i}.bmp") for i in range(30)] + [(30, f"{tmp_path}/note.txt"), (31, None), (32, f"{tmp_path}/0.bmp")]
+    named = spark.createDataFrame(places, "id int, path string")
+    listed, reader = [], type(spark.read)
+    load = reader.load
+    monkeypatch.setattr(reader, "load", lambda self, path=None, *a, **k: (lambda df: listed.append(len(df.inputFiles())) or df)(load(self, path, *a, **k)))
+    found = []
+    for most in (20_000, 5):
+        monkeypatch.setattr(module, "DECODE_FILES", most)
+        listed.clear()
+        found.append({r["id"]: r["image"] and (r["image"]["path"], r["image"]["height"], bytes(r["image"]["bytes"]))
+                      for r in read_images_from_paths(named, "path").collect()})
+    assert found[0] == found[1] and len(found[0]) == 33 and found[0][30] is None and found[0][31] is None
+    assert all(found[0][i] == (f"{tmp_path}/{i % 32}.bmp", 1, data) for i in (*range(30), 32))
+    assert len(listed) > 3 and sum(listed) == 31 and max(listed) < 16
+
+
 def test_tasks_do_not_grow_with_the_files(spark, folder, monkeypatch):
     """Small files took a task for each 32 of them."""
     from tablewright.sources import binary
